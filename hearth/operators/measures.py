@@ -39,16 +39,22 @@ VACANCY = {
 
 # M11-M17: planning.  Granted / Refused ignore an outcome filter (S10): the
 # caller evaluates them on the frame *before* any outcome filter.
-_GRANTED = F.col("DecisionOutcome") == "Granted"
-_REFUSED = F.col("DecisionOutcome") == "Refused"
+def _granted() -> Column:
+    return F.col("DecisionOutcome") == "Granted"
+
+
+def _refused() -> Column:
+    return F.col("DecisionOutcome") == "Refused"
+
+
 PLANNING = {
     "Total Planning Applications": lambda: F.sum("ApplicationCount"),
-    "Granted Applications": lambda: _sum_if(_GRANTED, F.col("ApplicationCount")),
-    "Refused Applications": lambda: _sum_if(_REFUSED, F.col("ApplicationCount")),
+    "Granted Applications": lambda: _sum_if(_granted(), F.col("ApplicationCount")),
+    "Refused Applications": lambda: _sum_if(_refused(), F.col("ApplicationCount")),
     "Planning Grant Rate": lambda: F.try_divide(
-        _sum_if(_GRANTED, F.col("ApplicationCount")).cast("double"),
-        (F.coalesce(_sum_if(_GRANTED, F.col("ApplicationCount")), F.lit(0))
-         + F.coalesce(_sum_if(_REFUSED, F.col("ApplicationCount")), F.lit(0))).cast("double")),
+        _sum_if(_granted(), F.col("ApplicationCount")).cast("double"),
+        (F.coalesce(_sum_if(_granted(), F.col("ApplicationCount")), F.lit(0))
+         + F.coalesce(_sum_if(_refused(), F.col("ApplicationCount")), F.lit(0))).cast("double")),
     "One-Off House Applications": lambda: _sum_if(F.col("OneOffHouseFlag") == 1,
                                                   F.col("ApplicationCount")),
     "Total Residential Units": lambda: F.sum("NumResidentialUnits"),
