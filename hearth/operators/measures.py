@@ -82,6 +82,30 @@ def evaluate(df: DataFrame, names: Sequence[str], by: Sequence[str] = (),
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
+def exact_median(df: DataFrame, col: str, out: str = "Median") -> DataFrame:
+    """Exact median of a whole column without a one-task buffer.
+
+    ``median()`` merges every partition's value map in a single final task,
+    which does not scale with the number of distinct values.  Here the
+    values are numbered 1..n in sorted order by the distributed
+    ``sequential_keys`` (range partitioning; a row id breaks ties so a
+    value held by a third of all rows is still spread over partitions),
+    then the one or two middle ranks are averaged — the same interpolation
+    as ``median`` (``(a + b) / 2`` as double)."""
+    from hearth.operators.keys import sequential_keys
+
+    vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    n = vals.count()                                    # one scalar
+    if n == 0:
+        return df.sparkSession.createDataFrame([(None,)], f"{out} double")
+    lo, hi = (n + 1) // 2, (n + 2) // 2
+    ranked = sequential_keys(vals.withColumn("_tb", F.monotonically_increasing_id()),
+                             ["_v", "_tb"], key="_rank")
+    mid = ranked.filter(F.col("_rank").isin(lo, hi))
+    return mid.agg(F.when(F.count(F.lit(1)) == 1, F.first("_v"))
+                   .otherwise(F.min("_v") + (F.max("_v") - F.min("_v")) * 0.5).alias(out))
+
+
 def latest_run_duration(run_log: DataFrame) -> DataFrame:
     """M21: minutes of the run with the latest start: (max end − min start)
     seconds / 60; NULL while the run has no end.  ``max_by`` skips NULL

@@ -3,6 +3,8 @@ DM12, DM15, AG1, AG11)."""
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,11 +93,21 @@ class SalesModel:
         self.silver = silver_sales(raw, load_ts)
         self.gold = gold_sales(self.silver)
         self.dim_date = dim_date(spark)
-        self.dim_county = dim_county(self.gold)
-        self.dim_property_type = dim_property_type(self.gold)
-        self.dim_sale_type = dim_sale_type(self.gold)
 
-    @property
+    # dimensions are built on first use only: numbering them runs a job
+    @cached_property
+    def dim_county(self) -> DataFrame:
+        return dim_county(self.gold)
+
+    @cached_property
+    def dim_property_type(self) -> DataFrame:
+        return dim_property_type(self.gold)
+
+    @cached_property
+    def dim_sale_type(self) -> DataFrame:
+        return dim_sale_type(self.gold)
+
+    @cached_property
     def fact(self) -> DataFrame:
         return fact_property_sales(self.gold, self.dim_date, self.dim_county,
                                    self.dim_property_type, self.dim_sale_type)

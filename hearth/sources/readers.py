@@ -69,6 +69,19 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guard for under-split inputs: a scan of one unsplittable file (one
+    Parquet row group) runs in a single task, so every operator fused into
+    that stage runs single-threaded.  Only when the scan yields fewer
+    partitions than the cluster's default parallelism is it round-robin
+    repartitioned; a large input (thousands of splits) is left untouched,
+    so this adds no shuffle at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """SC7: a literal frame (unknown members, control rows)."""
     return spark.createDataFrame(list(rows), ddl)
