@@ -59,11 +59,6 @@ def cube_unwrap(json_col) -> Column:
     return F.element_at(F.from_json(c, T.ArrayType(DOCUMENT)), 1)
 
 
-def _dims(doc: Column, dim_ids: Sequence[str] | None) -> Column:
-    return F.coalesce(doc["id"], F.array(*[F.lit(d) for d in dim_ids])) if dim_ids \
-        else doc["id"]
-
-
 # --- JS2 ---------------------------------------------------------------------------------------
 def cube_cells(doc: Column) -> Column:
     """Product of the dimension sizes."""
@@ -81,12 +76,15 @@ def cube_validate(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
 
 
 def require_valid(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """Strict mode: fail the job when any document's sizes disagree."""
+    """Strict mode: fail the job when any document's sizes disagree.  The
+    check is part of the document column itself, so it cannot be pruned
+    away by the optimizer."""
     v = cube_validate(docs, doc_col)
-    return v.withColumn("_chk", F.when(~F.col("IsValid"), F.raise_error(
-        F.concat(F.lit("cube size mismatch: expected "), F.col("ExpectedCells").cast("string"),
-                 F.lit(" values, got "), F.col("ValueCount").cast("string")))))\
-        .drop("_chk")
+    msg = F.concat(F.lit("cube size mismatch: expected "), F.col("ExpectedCells").cast("string"),
+                   F.lit(" values, got "), F.col("ValueCount").cast("string"))
+    checked = F.when(F.col("IsValid"), F.col(doc_col)).otherwise(
+        F.raise_error(msg).cast(docs.schema[doc_col].dataType))
+    return v.withColumn(doc_col, checked)
 
 
 # --- JS3 ---------------------------------------------------------------------------------------
