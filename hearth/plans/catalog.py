@@ -504,10 +504,11 @@ def q_staging_load(spark, sf):
 
 
 def q_catalog_list(spark, sf):
-    from hearth.sources.sinks import save_staging, list_tables
+    from hearth.session import fresh_subdir
+    from hearth.sources.sinks import list_tables, save_all
     m = _sales(spark, sf)
-    save_staging(m.dim_county, "stg_dim_county")
-    save_staging(m.dim_sale_type, "stg_dim_sale_type")
+    save_all({"stg_dim_county": m.dim_county, "stg_dim_sale_type": m.dim_sale_type},
+             root=fresh_subdir(spark, "staging"))
     return list_tables(spark, "stg_*")
 
 

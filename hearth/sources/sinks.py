@@ -27,15 +27,19 @@ FACT_PROPERTY_SALES = (
 )
 
 
-def save_staging(df: DataFrame, name: str) -> None:
-    """SK3: overwrite a catalog table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def save_staging(df: DataFrame, name: str, location: str | None = None) -> None:
+    """SK3: overwrite a catalog table; with ``location`` the table's files
+    live at that (shared) path instead of the session's warehouse folder."""
+    w = df.write.mode("overwrite")
+    if location:
+        w = w.option("path", location)
+    w.saveAsTable(name)
 
 
-def save_all(tables: Mapping[str, DataFrame]) -> None:
+def save_all(tables: Mapping[str, DataFrame], root: str | None = None) -> None:
     """SK4."""
     for name, df in tables.items():
-        save_staging(df, name)
+        save_staging(df, name, f"{root.rstrip('/')}/{name}" if root else None)
 
 
 def list_tables(spark: SparkSession, pattern: str = "*") -> DataFrame:
