@@ -28,22 +28,20 @@ def sequential_keys(df: DataFrame, order_by: Sequence, key: str = "Key",
     """Dense 1-based row numbers in ``order_by`` order (ties broken by the
     remaining columns so that the numbering is deterministic).
 
-    The range-partitioned, id-stamped frame is checkpointed (reliable
-    storage under ``spark.checkpoint.dir``) before it is read twice — once
-    to count rows per partition, once to number them.  Without it each
-    read would re-run the range exchange with its own sampled boundaries,
-    and the counts could disagree with the partitions they describe.
+    The range-partitioned, id-stamped frame is materialized (written once
+    to the shared folder) before it is read twice — once to count rows per
+    partition, once to number them.  Without it each read would re-run the
+    range exchange with its own sampled boundaries, and the counts could
+    disagree with the partitions they describe.
     """
-    from hearth.session import shared_dir
+    from hearth.session import materialize
 
     order = _cols(order_by)
     rest = [F.col(c) for c in df.columns
             if c not in {o for o in order_by if isinstance(o, str)}]
-    shared_dir(df.sparkSession)
-    ordered = (df.repartitionByRange(*order, *rest)
-               .sortWithinPartitions(*order, *rest)
-               .withColumn("_mid", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+    ordered = materialize(df.repartitionByRange(*order, *rest)
+                          .sortWithinPartitions(*order, *rest)
+                          .withColumn("_mid", F.monotonically_increasing_id()), "keys")
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     counts = ordered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

@@ -67,3 +67,15 @@ def fresh_subdir(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared folder and return the
+    stored table.  This cuts the lineage (a lost executor recomputes from
+    the stored files, not from the sources) in ONE job — ``checkpoint()``
+    computes its input twice unless it is also persisted — and the stored
+    table is columnar, so later narrow reads scan only their columns."""
+    spark = df.sparkSession
+    path = fresh_subdir(spark, name) + "/data"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
