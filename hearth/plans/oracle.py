@@ -717,3 +717,38 @@ LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
 # catalog_list: rows-only (the catalog is session state, not table data)
+
+# ---------------------------------------------------------------------------------------------
+# sources, control and measure queries added for full coverage
+# ---------------------------------------------------------------------------------------------
+SQL["cube_from_files"] = SQL["cube_flatten"]
+SQL["planning_from_extracts"] = SQL["planning_silver"]
+SQL["staging_table_roundtrip"] = SQL["dim_county"]
+SQL["latest_run"] = f"""WITH {RUN_LOG}
+SELECT * FROM run_log ORDER BY StartTime DESC NULLS LAST, LogID DESC LIMIT 1"""
+SQL["unmatched_reference"] = f"""WITH {PLAN}
+SELECT 'PlanningAuthorityName' AS ColumnName, COUNT(*) FILTER (WHERE PlanningAuthorityName IS NULL) AS NullCount FROM joined
+UNION ALL SELECT 'ApplicationTypeName', COUNT(*) FILTER (WHERE ApplicationTypeName IS NULL) FROM joined
+UNION ALL SELECT 'ApplicationStatusName', COUNT(*) FILTER (WHERE ApplicationStatusName IS NULL) FROM joined
+UNION ALL SELECT 'DecisionTypeName', COUNT(*) FILTER (WHERE DecisionTypeName IS NULL) FROM joined
+UNION ALL SELECT 'LandUseTypeName', COUNT(*) FILTER (WHERE LandUseTypeName IS NULL) FROM joined"""
+SQL["sales_measures"] = f"""WITH {STAR_SALES}
+SELECT c.CountyName, SUM(f.SalePrice) AS TotalSales, COUNT(*) AS SalesCount,
+       {avg6('f.SalePrice')} AS AverageSalePrice, MAX(f.SalePrice) AS HighestSalePrice,
+       MIN(f.SalePrice) AS LowestSalePrice
+FROM fact_sales f LEFT JOIN dim_county c ON f.CountyKey = c.CountyKey GROUP BY c.CountyName"""
+SQL["planning_measures"] = f"""WITH {PLAN_STAR}, {DIM_DATE}, s AS (
+  SELECT f.*, d.DecisionOutcome, dd.Year FROM fact_planning f
+  LEFT JOIN dim_decision d ON f.DecisionTypeKey = d.DecisionTypeKey
+  LEFT JOIN dim_date dd ON f.DateKey = dd.DateKey)
+SELECT Year, SUM(ApplicationCount) AS TotalPlanningApplications,
+       SUM(ApplicationCount) FILTER (WHERE DecisionOutcome = 'Granted') AS GrantedApplications,
+       SUM(ApplicationCount) FILTER (WHERE DecisionOutcome = 'Refused') AS RefusedApplications,
+       CAST(SUM(ApplicationCount) FILTER (WHERE DecisionOutcome = 'Granted') AS DOUBLE)
+         / NULLIF(CAST(COALESCE(SUM(ApplicationCount) FILTER (WHERE DecisionOutcome = 'Granted'), 0)
+                     + COALESCE(SUM(ApplicationCount) FILTER (WHERE DecisionOutcome = 'Refused'), 0)
+                  AS DOUBLE), 0) AS PlanningGrantRate,
+       SUM(ApplicationCount) FILTER (WHERE OneOffHouseFlag = 1) AS OneOffHouseApplications,
+       SUM(NumResidentialUnits) AS TotalResidentialUnits,
+       MAX(LoadDate) AS PlanningDataLastUpdated
+FROM s GROUP BY Year"""
