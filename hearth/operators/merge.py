@@ -195,5 +195,54 @@ class SnapshotStore:
         return self.read(table).count() == expected
 
 
+class BucketedTable:
+    """An upsert target hash-partitioned into ``buckets`` folders by key
+    (``bucket = pmod(xxhash64(key), buckets)``).
+
+    ``upsert`` touches only the buckets the source hits: those folders are
+    read (partition pruning), merged, staged once, and replaced with
+    *dynamic* partition overwrite — a small batch against a huge target
+    rewrites a few buckets, not the table.  The list of touched buckets
+    is at most ``buckets`` integers.  Merging is idempotent
+    (merge(merge(t, s), s) = merge(t, s)), so re-running a batch after a
+    failure during the folder swap converges to the same table.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
+
+    def exists(self) -> bool:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return fs.exists(p.suffix("/_SUCCESS")) or (
+            fs.exists(p) and any(st.getPath().getName().startswith("bucket=")
+                                 for st in fs.listStatus(p)))
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path).drop("bucket")
+
+    def upsert(self, source: DataFrame, ts: str | None = None,
+               keep_newer_target: bool = False) -> None:
+        from hearth.session import materialize
+        src = source.withColumn("bucket", self._bucket())
+        writer = lambda df: (df.write.mode("overwrite")
+                             .option("partitionOverwriteMode", "dynamic")
+                             .partitionBy("bucket").parquet(self.path))
+        if not self.exists():
+            first = latest_per_key(src, self.key, ts) if ts else src
+            writer(first)
+            return
+        touched = [r[0] for r in src.select("bucket").distinct().collect()]  # ≤ buckets ints
+        current = self.spark.read.parquet(self.path).filter(F.col("bucket").isin(touched))
+        merged = merge_upsert(current, src.select(*current.columns), self.key, ts=ts,
+                              keep_newer_target=keep_newer_target)
+        # stage first: the swap must not read the folders it replaces
+        writer(materialize(merged, "bucket-stage"))
+
+
 def now_utc() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

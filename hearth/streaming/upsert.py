@@ -3,41 +3,39 @@
 New extract files land in an input folder; each trigger processes only the
 files not seen before (the stream checkpoint plays the high-watermark
 role), keeps the newest row per key of the micro-batch (WN2) and merges it
-into the target snapshot store (MG1) with late-row protection: a target row
-is kept when its timestamp is not older than the incoming one.
-
-``foreachBatch`` writes a new snapshot version per micro-batch; the batch id
-is recorded in the version so a replayed batch (after a failure between
-write and checkpoint commit) is detected and skipped — exactly-once output.
+into a bucketed target (MG1) with late-row protection: a target row is kept
+when its timestamp is not older than the incoming one.  Only the buckets a
+micro-batch touches are rewritten, so the cost of a batch follows the batch,
+not the size of the target.
+
+``foreachBatch`` records a marker per applied batch id under the stream
+checkpoint; a batch replayed after a failure between the table write and
+the checkpoint commit is skipped, and a batch interrupted mid-write is
+re-applied — the merge is idempotent, so both converge (exactly-once
+output).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from hearth.operators.merge import SnapshotStore, merge_upsert
+from hearth.operators.merge import BucketedTable
 from hearth.session import fresh_subdir
 
 
-def stream_upsert(spark: SparkSession, input_dir: str, schema, store: SnapshotStore,
-                  table: str, key: str, ts: str, checkpoint: str):
-    """Start the query; returns the ``StreamingQuery`` (call
-    ``awaitTermination()``; with ``availableNow`` it stops by itself)."""
-    seen_file = f"{checkpoint.rstrip('/')}/_batches"
+def stream_upsert(spark: SparkSession, input_dir: str, schema, table: BucketedTable,
+                  ts: str, checkpoint: str):
+    """Start the query; returns the ``StreamingQuery`` (``availableNow``:
+    it stops by itself once the files present at start are processed)."""
+    markers = f"{checkpoint.rstrip('/')}/_applied"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        marker = f"{seen_file}/{batch_id}"
-        fs, p = store._fs(marker)
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{markers}/{batch_id}")
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(p):                       # batch already applied
             return
-        if store.exists(table):
-            merged = merge_upsert(store.read(table), batch, key, ts=ts,
-                                  keep_newer_target=True)
-        else:
-            from hearth.operators.keys import latest_per_key
-            merged = latest_per_key(batch, key, ts)
-        store.overwrite(merged, table)
+        table.upsert(batch, ts=ts, keep_newer_target=True)
         fs.mkdirs(p)
 
     stream = spark.readStream.schema(schema).parquet(input_dir)
@@ -47,16 +45,13 @@ def stream_upsert(spark: SparkSession, input_dir: str, schema, store: SnapshotSt
 
 
 def run_stream_upsert_on_slices(spark: SparkSession, target: DataFrame, source: DataFrame,
-                                key: str, ts: str) -> DataFrame:
+                                key: str, ts: str, buckets: int = 16) -> DataFrame:
     """Drive ST1 over two file slices: the target rows arrive first, the
     change rows second; two ``availableNow`` runs must equal one batch merge."""
     root = fresh_subdir(spark, "stream")
     input_dir, ckpt = f"{root}/input", f"{root}/checkpoint"
-    store = SnapshotStore(spark, f"{root}/store")
-    target.write.mode("append").parquet(input_dir)
-    q = stream_upsert(spark, input_dir, target.schema, store, "target", key, ts, ckpt)
-    q.awaitTermination()
-    source.write.mode("append").parquet(input_dir)
-    q = stream_upsert(spark, input_dir, target.schema, store, "target", key, ts, ckpt)
-    q.awaitTermination()
-    return store.read("target")
+    table = BucketedTable(spark, f"{root}/target", key, buckets)
+    for part in (target, source):
+        part.write.mode("append").parquet(input_dir)
+        stream_upsert(spark, input_dir, target.schema, table, ts, ckpt).awaitTermination()
+    return table.read()
