@@ -192,8 +192,11 @@ def add_audit_columns(df: DataFrame, source: str | None = None, load_ts=None,
                       source_col: str = "SourceSystem",
                       date_col: str | None = None) -> DataFrame:
     """Stamp a run: one timestamp for the whole run (S13), a source label and
-    optionally a load date.  ``load_ts`` defaults to ``current_timestamp``."""
-    ts = F.current_timestamp() if load_ts is None else F.lit(load_ts).cast("timestamp")
+    optionally a load date.  A given ``load_ts`` is a zone-free wall-clock
+    stamp (like the warehouse's datetime2), so it does not move with the
+    session time zone; the default is ``current_timestamp``."""
+    ts = (F.current_timestamp() if load_ts is None
+          else F.lit(load_ts).cast("timestamp_ntz"))
     cols = {ts_col: ts}
     if source is not None:
         cols[source_col] = F.lit(source)

@@ -41,7 +41,16 @@ def quarter_start(label) -> Column:
         else F.when(y.isNotNull() & q.isNotNull(), F.make_date(y, (q - 1) * 3 + 1, F.lit(1)))
 
 
+def wall_seconds(ts) -> Column:
+    """Seconds since 1970-01-01 00:00:00 of a zone-free timestamp's wall
+    clock, truncated to whole seconds.  Built from the date and time parts,
+    so it does not depend on the session time zone (no DST shifts)."""
+    t = _c(ts)
+    return (F.unix_date(F.to_date(t)).cast("bigint") * 86400 + F.hour(t) * 3600
+            + F.minute(t) * 60 + F.second(t))
+
+
 def seconds_between(start, end) -> Column:
-    """Whole-second boundary count, like SQL ``DATEDIFF(SECOND, a, b)``."""
-    return (F.unix_timestamp(_c(end).cast("timestamp"))
-            - F.unix_timestamp(_c(start).cast("timestamp")))
+    """Whole-second boundary count, like SQL ``DATEDIFF(SECOND, a, b)``
+    (00.9 → 01.1 counts one boundary)."""
+    return wall_seconds(end) - wall_seconds(start)

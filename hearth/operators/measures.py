@@ -112,8 +112,8 @@ def latest_run_duration(run_log: DataFrame) -> DataFrame:
     starts.  Two small aggregates, no sort of the whole log."""
     latest = run_log.agg(F.max_by("ParentRunID", "StartTime").alias("_rid"))
     rows = run_log.join(F.broadcast(latest), run_log["ParentRunID"] == latest["_rid"], "inner")
-    secs = (F.unix_timestamp(F.max("EndTime").cast("timestamp"))
-            - F.unix_timestamp(F.min("StartTime").cast("timestamp")))
+    from hearth.functions.dates import seconds_between
+    secs = seconds_between(F.min("StartTime"), F.max("EndTime"))
     return rows.agg(F.first("_rid").alias("LatestParentRunID"),
                     F.when(F.count_if(F.col("EndTime").isNull()) == 0, secs / F.lit(60.0))
                     .alias("LatestRunDurationMinutes"))

@@ -15,6 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearth.functions.dates import seconds_between
 from hearth.operators.aggregates import duplicate_keys
 from hearth.operators.keys import latest_per_key
 
@@ -64,16 +65,30 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str] | str,
 
 
 # --- high watermark (MG3-MG5) -----------------------------------------------------------------
+def wall_clock_literal(value) -> Column:
+    """A watermark value as a zone-free timestamp literal.  A Python
+    ``datetime`` goes through its ISO text, so it means the same wall clock
+    whatever the session or process time zone; Columns pass through."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, (dt.datetime, dt.date)):
+        return F.lit(value.isoformat(sep=" ") if isinstance(value, dt.datetime)
+                     else value.isoformat()).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def incremental_window(df: DataFrame, ts: str, last, current) -> DataFrame:
     """MG3: rows newer than the last watermark up to the current one,
     ``(last, current]``.  Bare-column comparisons push down to the scan."""
-    return df.filter((F.col(ts) > F.lit(last)) & (F.col(ts) <= F.lit(current)))
+    return df.filter((F.col(ts) > wall_clock_literal(last))
+                     & (F.col(ts) <= wall_clock_literal(current)))
 
 
 def watermark_probe(df: DataFrame, ts: str, last) -> DataFrame:
     """MG4: one row — the source's current maximum and whether it is newer."""
     return df.agg(F.max(ts).alias("CurrentWatermark")).withColumn(
-        "HasNewData", F.coalesce(F.col("CurrentWatermark") > F.lit(last), F.lit(False)))
+        "HasNewData", F.coalesce(F.col("CurrentWatermark") > wall_clock_literal(last),
+                                 F.lit(False)))
 
 
 def advance_watermark(watermarks: DataFrame, probes: DataFrame,
@@ -111,8 +126,7 @@ def run_log_finish(log: DataFrame, finishes: DataFrame,
                         F.col("ErrorMessage").alias("_err"))
     j = log.join(f, keys, "left")
     upd = F.col("_st").isNotNull() & (F.col("RunStatus") == "Running")
-    secs = (F.unix_timestamp(F.col("_end").cast("timestamp"))
-            - F.unix_timestamp(F.col("StartTime").cast("timestamp"))).cast("int")
+    secs = seconds_between("StartTime", "_end").cast("int")
     repl = {"RunStatus": F.col("_st"), "EndTime": F.col("_end"),
             "DurationSeconds": secs, "ErrorMessage": F.col("_err")}
     return j.select(*[F.when(upd, repl[c]).otherwise(F.col(c)).alias(c) if c in repl

@@ -460,7 +460,7 @@ def q_incremental_window(spark, sf):
     probe = mg.watermark_probe(o, "o_orderdate", F.lit(WINDOW_LAST).cast("timestamp_ntz"))
     current = probe.first()["CurrentWatermark"]  # one scalar
     return mg.incremental_window(o, "o_orderdate", F.lit(WINDOW_LAST).cast("timestamp_ntz"),
-                                 F.lit(current).cast("timestamp_ntz"))
+                                 current)
 
 
 def _watermark_table(spark):

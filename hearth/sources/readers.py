@@ -76,9 +76,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions than the cluster's default parallelism is it round-robin
     repartitioned; a large input (thousands of splits) is left untouched,
     so this adds no shuffle at scale."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — no RDD view (e.g. a Connect session)
+        return df
     return df.repartition(want) if have < want else df
 
 

@@ -48,3 +48,23 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["CountyName", "AverageSalePrice"]
     assert df.count() > 0
+
+
+ZONE_SENSITIVE = ["silver_sales_clean", "incremental_window", "run_summary", "cube_flatten",
+                  "kpi_operations", "run_log_transitions"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    """Zone-free timestamps (run stamps, watermarks, durations) must give the
+    oracle's values under a session zone with daylight saving time too."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = QUERIES[name](spark, SF)
+        s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = con.execute(SQL[name])
+    o_cols = [d[0] for d in cur.description]
+    assert digest(s_cols, s_rows)[0] == digest(o_cols, cur.fetchall())[0]
