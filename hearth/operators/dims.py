@@ -62,6 +62,24 @@ def dim_from_values(df: DataFrame, value_col: str, key: str,
     return dim
 
 
+def dims_from_values(df: DataFrame, specs: Sequence[tuple[str, str, str]],
+                     unknown: str | None = NOT_RECORDED) -> list[DataFrame]:
+    """Several DM1-style dimensions in one pass: ``specs`` are
+    ``(value column, key column, name column)``; the value columns must
+    share one type.  All distinct (dimension, value) pairs are numbered by
+    one grouped ``sequential_keys`` run instead of one job per dimension."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("_dim"), F.col(v).alias("_val"))
+                      for i, (v, _, _) in enumerate(specs)])
+    values = (df.select(F.inline(pairs)).filter(F.col("_val").isNotNull()).distinct())
+    numbered = sequential_keys(values, ["_val"], key="_key", partition_by=["_dim"])
+    out = []
+    for i, (_, key, name) in enumerate(specs):
+        d = numbered.filter(F.col("_dim") == i).select(F.col("_key").alias(key),
+                                                       F.col("_val").alias(name))
+        out.append(with_unknown_member(d, {key: 0, name: unknown}) if unknown is not None else d)
+    return out
+
+
 def dim_from_source_ids(df: DataFrame, id_col: str, key: str,
                         attrs: Sequence[tuple[str, str]],
                         unknown: dict | None = None) -> DataFrame:

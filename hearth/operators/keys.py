@@ -24,33 +24,46 @@ def _cols(cols) -> list[Column]:
 
 
 def sequential_keys(df: DataFrame, order_by: Sequence, key: str = "Key",
-                    start: int = 1) -> DataFrame:
-    """Dense 1-based row numbers in ``order_by`` order (ties broken by the
-    remaining columns so that the numbering is deterministic).
+                    start: int = 1, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Dense row numbers from ``start`` in ``order_by`` order (ties broken by
+    the remaining columns so that the numbering is deterministic); with
+    ``partition_by`` the numbering restarts in every group.
 
     The range-partitioned, id-stamped frame is materialized (written once
     to the shared folder) before it is read twice — once to count rows per
-    partition, once to number them.  Without it each read would re-run the
-    range exchange with its own sampled boundaries, and the counts could
-    disagree with the partitions they describe.
+    (partition, group), once to number them.  Without it each read would
+    re-run the range exchange with its own sampled boundaries, and the
+    counts could disagree with the partitions they describe.  Rows of one
+    group are contiguous inside a partition (sorted by group first), so a
+    row's number is its group's offset from earlier partitions plus its
+    position after the group's first row in this partition.
     """
     from hearth.session import materialize
 
+    groups = list(partition_by)
     order = _cols(order_by)
-    rest = [F.col(c) for c in df.columns
-            if c not in {o for o in order_by if isinstance(o, str)}]
-    ordered = materialize(df.repartitionByRange(*order, *rest)
-                          .sortWithinPartitions(*order, *rest)
+    named = set(groups) | {o for o in order_by if isinstance(o, str)}
+    rest = [F.col(c) for c in df.columns if c not in named]
+    gcols = [F.col(g) for g in groups]
+    ordered = materialize(df.repartitionByRange(*gcols, *order, *rest)
+                          .sortWithinPartitions(*gcols, *order, *rest)
                           .withColumn("_mid", F.monotonically_increasing_id()), "keys")
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    counts = ordered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    out = ordered.join(F.broadcast(offsets), pid == offsets["_pid"], "inner")
     local = F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK))
-    return out.select(*[F.col(c) for c in df.columns],
-                      (F.col("_off") + local + F.lit(start)).cast("int").alias(key))
+    counts = ordered.groupBy(pid.alias("_pid"), *gcols).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(local).alias("_first"))
+    w = Window.partitionBy(*gcols).orderBy("_pid") if groups else Window.orderBy("_pid")
+    offsets = counts.select(
+        F.col("_pid"), *[F.col(g).alias(f"_g_{g}") for g in groups], "_first",
+        (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
+    cond = pid == offsets["_pid"]
+    for g in groups:
+        cond = cond & ordered[g].eqNullSafe(offsets[f"_g_{g}"])
+    # (#partitions × groups-per-partition) rows: broadcast only without groups,
+    # where the size is bounded by the partition count; else AQE decides
+    out = ordered.join(offsets if groups else F.broadcast(offsets), cond, "inner")
+    number = F.col("_off") + local - F.col("_first") + F.lit(start)
+    return out.select(*[ordered[c] for c in df.columns], number.cast("int").alias(key))
 
 
 def window_keys(df: DataFrame, order_by: Sequence, key: str = "Key") -> DataFrame:

@@ -109,7 +109,9 @@ class SalesModel:
         source columns it needs (the full-row dedup is dropped)."""
         return self.__dict__.get("stored_gold", self.gold)
 
-    # dimensions are built on first use only: numbering them runs a job
+    # dimensions are built on first use only (a report needing one dimension
+    # does not pay for the others); ``dims_from_values`` numbers several in
+    # one pass when that is preferred
     @cached_property
     def dim_county(self) -> DataFrame:
         return dim_county(self._dim_source)

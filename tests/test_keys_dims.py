@@ -66,3 +66,18 @@ def test_dim_from_source_ids_first_per_key(spark):
     d = od.dim_from_source_ids(g, "id", "Key", [("name", "Name")],
                                unknown={"Key": 0, "Name": "Not recorded"})
     assert rows(d, ["Key"]) == [(0, "Not recorded"), (1, "one"), (2, "alpha")]
+
+
+def test_sequential_keys_grouped(spark):
+    df = spark.range(0, 3000, 1, 5).select(
+        (F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 3000).alias("v"))
+    k = sequential_keys(df, ["v"], key="k", partition_by=["g"])
+    ref = df.withColumn("k", F.row_number().over(Window.partitionBy("g").orderBy("v")))
+    assert rows(k.select("g", "v", "k")) == rows(ref.select("g", "v", "k"))
+
+
+def test_dims_from_values_one_pass(spark):
+    g = spark.createDataFrame([("b", "x"), (None, "y"), ("a", "x")], "c string, t string")
+    dc, dt_ = od.dims_from_values(g, [("c", "CKey", "CName"), ("t", "TKey", "TName")])
+    assert rows(dc, ["CKey"]) == [(0, "Not recorded"), (1, "a"), (2, "b")]
+    assert rows(dt_, ["TKey"]) == [(0, "Not recorded"), (1, "x"), (2, "y")]
