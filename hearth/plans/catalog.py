@@ -591,6 +591,20 @@ def q_planning_measures(spark, sf):
                           "Planning Data Last Updated"], by=["Year"])
 
 
+def q_audit_columns(spark, sf):
+    """PR17 / PR18 / PR19: run stamps, source label and load date on every
+    application row, the constant application count and the 4000-character
+    description cut of the warehouse column."""
+    from hearth.functions import cleaning as fc
+    app = st.planning_extracts(spark, sf)["PlanningApplication"]
+    stamped = fc.add_audit_columns(app, pl.SOURCE_SYSTEM, st.RUN_TS, load_date=st.RUN_DATE,
+                                   date_col="LoadDate")
+    return stamped.select("SourceObjectID", "LoadTimestamp", "SourceSystem", "LoadDate",
+                          fc.constant_count().alias("ApplicationCount"),
+                          fc.truncate_text("DevelopmentDescription", 4000)
+                          .alias("DevelopmentDescription"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

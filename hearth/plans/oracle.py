@@ -752,3 +752,8 @@ SELECT Year, SUM(ApplicationCount) AS TotalPlanningApplications,
        SUM(NumResidentialUnits) AS TotalResidentialUnits,
        MAX(LoadDate) AS PlanningDataLastUpdated
 FROM s GROUP BY Year"""
+SQL["audit_columns"] = f"""WITH {PLAN}
+SELECT SourceObjectID, {RUN_TS} AS LoadTimestamp, 'Irish Planning Applications' AS SourceSystem,
+       {RUN_DATE} AS LoadDate, 1 AS ApplicationCount,
+       substr(DevelopmentDescription, 1, 4000) AS DevelopmentDescription
+FROM app"""
