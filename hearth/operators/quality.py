@@ -76,14 +76,28 @@ def invalid_coordinates(df: DataFrame, lat="Latitude", lon="Longitude") -> DataF
 
 def missing_dimension_keys(fact: DataFrame,
                            dims: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
-    """DQ8: JN4 for many keys as one report: (Dimension, MissingKeys)."""
-    parts = [missing_keys(fact, dim, fk, dk).agg(F.count(F.lit(1)).alias("MissingKeys"))
-             .select(F.lit(name).alias("Dimension"), "MissingKeys")
-             for name, dim, fk, dk in dims]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """DQ8: JN4 for many keys as one report: (Dimension, MissingKeys).
+
+    One pass over the fact: every row yields its (dimension, key) pairs,
+    the distinct pairs are anti-joined once against the union of all
+    dimensions' keys, and the rest are counted per dimension.  A NULL fact
+    key never matches, so it counts as missing (S8)."""
+    spark = fact.sparkSession
+    pairs = F.array(*[F.struct(F.lit(name).alias("Dimension"),
+                               F.col(fk).cast("bigint").alias("_k"))
+                      for name, _, fk, _ in dims])
+    keys = fact.select(F.inline(pairs)).distinct()
+    dim_keys = None
+    for name, dim, _, dk in dims:
+        d = dim.select(F.lit(name).alias("Dimension"), F.col(dk).cast("bigint").alias("_k"))
+        dim_keys = d if dim_keys is None else dim_keys.unionByName(d)
+    missing = (keys.join(dim_keys.filter(F.col("_k").isNotNull()).distinct(),
+                         ["Dimension", "_k"], "left_anti")
+               .groupBy("Dimension").agg(F.count(F.lit(1)).alias("_n")))
+    names = spark.createDataFrame([(n,) for n, _, _, _ in dims], "Dimension string")
+    return (names.join(missing, "Dimension", "left")
+            .select("Dimension", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint")
+                    .alias("MissingKeys")))
 
 
 def profile(df: DataFrame, keys: Sequence[str], mandatory: Sequence[str]) -> DataFrame:

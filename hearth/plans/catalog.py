@@ -117,9 +117,15 @@ def q_dim_sale_type(spark, sf):
 
 
 def q_dim_date(spark, sf):
-    # the calendar does not depend on the data; its *use* is checked by
-    # missing_dates / price_by_year.  Registered to check the generator.
-    return dim_date(spark)
+    """DM4 / SC8: every calendar day with its attributes and the number of
+    sales on that day (0 where none), so the generated dimension is checked
+    together with the data that lands in it."""
+    per_day = _sales(spark, sf).gold.groupBy("SaleDate").agg(
+        F.count(F.lit(1)).alias("SalesCount"))
+    d = dim_date(spark)
+    return (d.join(per_day, d["FullDate"] == per_day["SaleDate"], "left")
+            .select(*[d[c] for c in d.columns],
+                    F.coalesce(F.col("SalesCount"), F.lit(0)).alias("SalesCount")))
 
 
 def q_fact_sales(spark, sf):

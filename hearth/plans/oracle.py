@@ -142,7 +142,10 @@ FROM fact_sales"""
 SQL["dim_county"] = f"WITH {STAR_SALES} SELECT * FROM dim_county"
 SQL["dim_property_type"] = f"WITH {STAR_SALES} SELECT * FROM dim_property_type"
 SQL["dim_sale_type"] = f"WITH {STAR_SALES} SELECT * FROM dim_sale_type"
-SQL["dim_date"] = f"WITH {DIM_DATE} SELECT * FROM dim_date"
+SQL["dim_date"] = f"""WITH {GOLD_SALES}, {DIM_DATE},
+per_day AS (SELECT SaleDate, COUNT(*) AS SalesCount FROM gold_sales GROUP BY SaleDate)
+SELECT d.*, COALESCE(p.SalesCount, 0) AS SalesCount
+FROM dim_date d LEFT JOIN per_day p ON d.FullDate = p.SaleDate"""
 SQL["fact_sales"] = f"""WITH {STAR_SALES}
 SELECT DateKey, CountyKey, PropertyTypeKey, SaleTypeKey, Address, Eircode, SalePrice,
        IsFullMarketPrice, LoadTimestamp FROM fact_sales"""
