@@ -315,16 +315,9 @@ def q_dim_land_use(spark, sf):
 
 def q_missing_keys(spark, sf):
     p = _planning(spark, sf)
-    g, fact = p.gold, p.fact
-    return dq.missing_dimension_keys(fact, [
-        ("dim_planning_authority", pl.dim_planning_authority(g), "PlanningAuthorityKey",
-         "PlanningAuthorityKey"),
-        ("dim_application_type", pl.dim_application_type(g), "ApplicationTypeKey",
-         "ApplicationTypeKey"),
-        ("dim_application_status", pl.dim_application_status(g), "ApplicationStatusKey",
-         "ApplicationStatusKey"),
-        ("dim_decision_type", pl.dim_decision_type(g), "DecisionTypeKey", "DecisionTypeKey"),
-        ("dim_land_use_type", pl.dim_land_use_type(g), "LandUseTypeKey", "LandUseTypeKey"),
+    dims = pl.planning_dimensions(p.gold)               # five dimensions, one pass
+    return dq.missing_dimension_keys(p.fact, [
+        *[(name, dims[name], key, key) for name, (_, key, _, _) in pl.DIMENSIONS.items()],
         ("dim_date", dim_date(spark), "DateKey", "DateKey"),
     ])
 

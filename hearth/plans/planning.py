@@ -10,6 +10,7 @@ from hearth.functions import cleaning as fc
 from hearth.functions import dates as fd
 from hearth.operators.dims import dim_from_source_ids
 from hearth.operators.joins import denormalise
+from hearth.operators.keys import with_unknown_member
 from hearth.sources import standins as st
 
 SOURCE_SYSTEM = "Irish Planning Applications"
@@ -104,6 +105,50 @@ def dim_land_use_type(gold: DataFrame) -> DataFrame:
                                         "LandUseTypeName": fc.NOT_RECORDED})
 
 
+# (source id, dimension key, [(source column, dimension column)], unknown member)
+DIMENSIONS = {
+    "dim_planning_authority": ("PlanningAuthorityID", "PlanningAuthorityKey",
+                               [("PlanningAuthority", "PlanningAuthorityName")], None),
+    "dim_application_type": ("ApplicationTypeID", "ApplicationTypeKey",
+                             [("ApplicationType", "ApplicationTypeName")], None),
+    "dim_application_status": ("ApplicationStatusID", "ApplicationStatusKey",
+                               [("ApplicationStatus", "ApplicationStatusName")],
+                               {"ApplicationStatusKey": 0,
+                                "ApplicationStatusName": fc.NOT_RECORDED}),
+    "dim_decision_type": ("DecisionTypeID", "DecisionTypeKey",
+                          [("DecisionType", "DecisionTypeName"),
+                           ("DecisionOutcome", "DecisionOutcome")],
+                          {"DecisionTypeKey": 0, "DecisionTypeName": fc.NOT_RECORDED,
+                           "DecisionOutcome": fc.NO_DECISION}),
+    "dim_land_use_type": ("LandUseTypeID", "LandUseTypeKey",
+                          [("LandUseType", "LandUseTypeName")],
+                          {"LandUseTypeKey": 0, "LandUseTypeName": fc.NOT_RECORDED}),
+}
+
+
+def planning_dimensions(gold: DataFrame) -> dict[str, DataFrame]:
+    """All five DM7/DM8 dimensions from ONE aggregation pass: GROUPING SETS
+    over the five source ids (one set per id), ``min(struct(attrs))`` per
+    member as in ``first_per_key``, split by ``grouping_id()``.  Map-side
+    partial aggregation collapses the expanded rows at once, so the shuffle
+    carries one row per member per map task."""
+    specs = list(DIMENSIONS.items())
+    ids = [F.col(spec[0]) for _, spec in specs]
+    n = len(ids)
+    g = gold.groupingSets([[c] for c in ids], *ids).agg(
+        F.grouping_id().alias("_gid"),
+        *[F.min(F.struct(*[F.col(src).alias(dst) for src, dst in spec[2]])).alias(f"_m{i}")
+          for i, (_, spec) in enumerate(specs)])
+    out = {}
+    for i, (name, (src_id, key, attrs, unknown)) in enumerate(specs):
+        gid = (1 << n) - 1 - (1 << (n - 1 - i))       # only column i is grouped
+        d = (g.filter((F.col("_gid") == gid) & F.col(src_id).isNotNull())
+             .select(F.col(src_id).cast("int").alias(key),
+                     *[F.col(f"_m{i}.{dst}").alias(dst) for _, dst in attrs]))
+        out[name] = with_unknown_member(d, unknown) if unknown is not None else d
+    return out
+
+
 def fact_planning(gold: DataFrame) -> DataFrame:
     """DM11: keys (unknown → 0), DateKey, flags, measures, truncated text."""
     return gold.select(

@@ -62,3 +62,15 @@ def test_decision_recorded_matches_outcome(planning):
     bad = planning.gold.filter(
         (F.col("DecisionRecorded") == 0) != (F.col("DecisionOutcome") == "No decision recorded"))
     assert bad.count() == 0
+
+
+def test_one_pass_planning_dimensions_equal_single_builds(planning):
+    from tests.conftest import rows
+    together = pl.planning_dimensions(planning.gold)
+    singles = {"dim_planning_authority": pl.dim_planning_authority,
+               "dim_application_type": pl.dim_application_type,
+               "dim_application_status": pl.dim_application_status,
+               "dim_decision_type": pl.dim_decision_type,
+               "dim_land_use_type": pl.dim_land_use_type}
+    for name, build in singles.items():
+        assert rows(together[name]) == rows(build(planning.gold)), name
