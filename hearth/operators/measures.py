@@ -95,12 +95,13 @@ def exact_median(df: DataFrame, col: str, out: str = "Median") -> DataFrame:
     from hearth.operators.keys import sequential_keys
 
     vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    n = vals.count()                                    # one scalar
+    ranked = sequential_keys(vals.withColumn("_tb", F.monotonically_increasing_id()),
+                             ["_v", "_tb"], key="_rank")
+    # n = highest rank, read from the materialized ranking (one scalar)
+    n = ranked.agg(F.max("_rank")).first()[0] or 0
     if n == 0:
         return df.sparkSession.createDataFrame([(None,)], f"{out} double")
     lo, hi = (n + 1) // 2, (n + 2) // 2
-    ranked = sequential_keys(vals.withColumn("_tb", F.monotonically_increasing_id()),
-                             ["_v", "_tb"], key="_rank")
     mid = ranked.filter(F.col("_rank").isin(lo, hi))
     return mid.agg(F.when(F.count(F.lit(1)) == 1, F.first("_v"))
                    .otherwise(F.min("_v") + (F.max("_v") - F.min("_v")) * 0.5).alias(out))
