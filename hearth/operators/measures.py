@@ -82,29 +82,44 @@ def evaluate(df: DataFrame, names: Sequence[str], by: Sequence[str] = (),
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def exact_median(df: DataFrame, col: str, out: str = "Median") -> DataFrame:
-    """Exact median of a whole column without a one-task buffer.
-
-    ``median()`` merges every partition's value map in a single final task,
-    which does not scale with the number of distinct values.  Here the
-    values are numbered 1..n in sorted order by the distributed
-    ``sequential_keys`` (range partitioning; a row id breaks ties so a
-    value held by a third of all rows is still spread over partitions),
-    then the one or two middle ranks are averaged — the same interpolation
-    as ``median`` (``(a + b) / 2`` as double)."""
+def exact_median(df: DataFrame, col: str, out: str = "Median",
+                 by: Sequence[str] = ()) -> DataFrame:
+    """Exact median of a column (per group of ``by``) without a one-task
+    buffer.
+
+    ``median()`` merges every partition's value map in a single task per
+    group, which does not scale with the number of distinct values of a
+    big group.  Here the values are numbered 1..n in sorted order (per
+    group) by the distributed ``sequential_keys``: range partitioning on
+    (group, value, row id), so a group — or a single value — holding a
+    third of all rows is still spread over many partitions.  The one or
+    two middle ranks are then averaged, the same interpolation as
+    ``median`` (``a + (b - a) * 0.5`` as double)."""
     from hearth.operators.keys import sequential_keys
 
-    vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    by = list(by)
+    vals = (df.select(*by, F.col(col).cast("double").alias("_v"))
+            .filter(F.col("_v").isNotNull()))
     ranked = sequential_keys(vals.withColumn("_tb", F.monotonically_increasing_id()),
-                             ["_v", "_tb"], key="_rank")
-    # n = highest rank, read from the materialized ranking (one scalar)
-    n = ranked.agg(F.max("_rank")).first()[0] or 0
-    if n == 0:
-        return df.sparkSession.createDataFrame([(None,)], f"{out} double")
-    lo, hi = (n + 1) // 2, (n + 2) // 2
-    mid = ranked.filter(F.col("_rank").isin(lo, hi))
-    return mid.agg(F.when(F.count(F.lit(1)) == 1, F.first("_v"))
-                   .otherwise(F.min("_v") + (F.max("_v") - F.min("_v")) * 0.5).alias(out))
+                             ["_v", "_tb"], key="_rank", partition_by=by)
+    interp = (F.when(F.count(F.lit(1)) == 1, F.first("_v"))
+              .otherwise(F.min("_v") + (F.max("_v") - F.min("_v")) * 0.5).alias(out))
+    if not by:
+        # n = highest rank, read from the materialized ranking (one scalar)
+        n = ranked.agg(F.max("_rank")).first()[0] or 0
+        if n == 0:
+            return df.sparkSession.createDataFrame([(None,)], f"{out} double")
+        return ranked.filter(F.col("_rank").isin((n + 1) // 2, (n + 2) // 2)).agg(interp)
+    sizes = ranked.groupBy(*[F.col(b).alias(f"_s_{b}") for b in by]).agg(
+        F.max("_rank").alias("_n"))                                 # one row per group
+    cond = [F.col(b).eqNullSafe(F.col(f"_s_{b}")) for b in by]
+    mid = (ranked.join(sizes, cond, "inner")
+           .filter((F.col("_rank") == F.floor((F.col("_n") + 1) / 2))
+                   | (F.col("_rank") == F.floor((F.col("_n") + 2) / 2))))
+    med = mid.groupBy(*[F.col(b).alias(f"_m_{b}") for b in by]).agg(interp)
+    groups = df.select(*by).distinct()                 # groups with only NULL values stay
+    return (groups.join(med, [F.col(b).eqNullSafe(F.col(f"_m_{b}")) for b in by], "left")
+            .select(*by, out))
 
 
 def latest_run_duration(run_log: DataFrame) -> DataFrame:

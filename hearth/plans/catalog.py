@@ -578,6 +578,15 @@ def q_sales_measures(spark, sf):
                           "Highest Sale Price", "Lowest Sale Price"], by=["CountyName"])
 
 
+def q_median_by_county(spark, sf):
+    """M4 under a county filter context: exact median per county, ranked in
+    a distributed way (a county with a third of all sales still spreads)."""
+    m = _sales(spark, sf)
+    from hearth.operators.joins import star_join
+    s = star_join(m.fact, [(m.dim_county, "CountyKey", "CountyKey")])
+    return M.exact_median(s, "SalePrice", "MedianSalePrice", by=["CountyName"])
+
+
 def q_planning_measures(spark, sf):
     """M11-M17 by calendar year over the planning star."""
     p, fact, dec = _planning_star(spark, sf)

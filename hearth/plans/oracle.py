@@ -760,3 +760,6 @@ SELECT SourceObjectID, {RUN_TS} AS LoadTimestamp, 'Irish Planning Applications'
        {RUN_DATE} AS LoadDate, 1 AS ApplicationCount,
        substr(DevelopmentDescription, 1, 4000) AS DevelopmentDescription
 FROM app"""
+SQL["median_by_county"] = f"""WITH {STAR_SALES}
+SELECT c.CountyName, median(CAST(f.SalePrice AS DOUBLE)) AS MedianSalePrice
+FROM fact_sales f LEFT JOIN dim_county c ON f.CountyKey = c.CountyKey GROUP BY c.CountyName"""

@@ -115,6 +115,17 @@ def test_exact_median_with_hot_value(spark):
     assert M.exact_median(even, "p", "m").first().m == 3.0
 
 
+def test_exact_median_by_group_with_hot_group(spark):
+    import statistics
+    data = [("hot", float(v)) for v in [5.0] * 300 + list(range(301))] + \
+           [("b", 1.0), ("b", 4.0), ("c", None), (None, 2.0), (None, 3.0), (None, 9.0)]
+    df = spark.createDataFrame(data, "g string, p double").repartition(4)
+    got = dict(rows(M.exact_median(df, "p", "m", by=["g"])))
+    want = {"hot": statistics.median([5.0] * 300 + list(range(301))), "b": 2.5,
+            "c": None, None: 3.0}
+    assert got == want
+
+
 def test_missing_keys_null_counts_as_missing(spark):
     fact = spark.createDataFrame([(1,), (2,), (None,), (2,)], "k int")
     dim = spark.createDataFrame([(1,), (None,)], "k int")
