@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from hearth.functions.predicates import invalid_coordinates as _invalid_coords
 from hearth.operators.aggregates import duplicate_key_summary
-from hearth.operators.joins import missing_keys
 
 
 def _long(d: DataFrame, names: Sequence[str], name_col="Check", value_col="Value") -> DataFrame:

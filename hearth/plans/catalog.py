@@ -13,7 +13,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.functions import predicates as fp
 from hearth.operators import aggregates as ag
 from hearth.operators import cube as oc
 from hearth.operators import measures as M

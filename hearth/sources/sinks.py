@@ -6,7 +6,6 @@ from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hearth.operators.merge import SnapshotStore
 from hearth.session import fresh_subdir
