@@ -84,7 +84,8 @@ def q_market_summary(spark, sf):
 
 
 def q_count_by_flag(spark, sf):
-    return ag.count_by(_sales(spark, sf).silver, "IsFullMarketPrice", "RowCount")
+    return (ag.count_by(_sales(spark, sf).silver, "IsFullMarketPrice", "RowCount")
+            .orderBy(F.desc("RowCount")))
 
 
 def q_distinct_values(spark, sf):
@@ -166,7 +167,7 @@ def q_ordered_months(spark, sf):
     g = _sales(spark, sf).gold
     return g.groupBy(F.month("SaleDate").alias("Month"),
                      F.date_format("SaleDate", "MMMM").alias("MonthName")) \
-        .agg(F.count(F.lit(1)).alias("SalesCount"))
+        .agg(F.count(F.lit(1)).alias("SalesCount")).orderBy("Month")   # SO5: name by number
 
 
 def q_business_rules(spark, sf):
@@ -285,11 +286,13 @@ def q_fact_planning(spark, sf):
 
 
 def q_decision_outcomes(spark, sf):
-    return ag.count_by(_planning(spark, sf).gold, "DecisionOutcome", "ApplicationCount")
+    return (ag.count_by(_planning(spark, sf).gold, "DecisionOutcome", "ApplicationCount")
+            .orderBy(F.desc("ApplicationCount"), "DecisionOutcome"))
 
 
 def q_one_off_house(spark, sf):
-    return ag.count_by(_planning(spark, sf).gold, "OneOffHouseCategory", "ApplicationCount")
+    return (ag.count_by(_planning(spark, sf).gold, "OneOffHouseCategory", "ApplicationCount")
+            .orderBy(F.desc("ApplicationCount"), "OneOffHouseCategory"))
 
 
 def q_dim_decision_type(spark, sf):

@@ -37,13 +37,15 @@ def kpi_sales(fact: DataFrame) -> DataFrame:
 def price_by_county(fact: DataFrame, counties: DataFrame) -> DataFrame:
     """RQ2: average price by county (present descending)."""
     s = star_join(fact, [(counties, "CountyKey", "CountyKey")])
-    return s.groupBy("CountyName").agg(F.round(F.avg("SalePrice"), 2).alias("AverageSalePrice"))
+    return (s.groupBy("CountyName").agg(F.round(F.avg("SalePrice"), 2).alias("AverageSalePrice"))
+            .orderBy(F.desc("AverageSalePrice"), "CountyName"))
 
 
 def price_by_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """RQ3: average price by calendar year."""
     s = star_join(fact, [(dates, "DateKey", "DateKey")], bounded=[True])
-    return s.groupBy("Year").agg(F.round(F.avg("SalePrice"), 2).alias("AverageSalePrice"))
+    return (s.groupBy("Year").agg(F.round(F.avg("SalePrice"), 2).alias("AverageSalePrice"))
+            .orderBy("Year"))
 
 
 def slicer_choices(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -54,7 +56,7 @@ def slicer_choices(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("Slicer", "Value")
 
 
 # --- vacancy page ------------------------------------------------------------------------------
@@ -76,19 +78,21 @@ def kpi_vacancy(fact: DataFrame, quarters: DataFrame, sales_fact: DataFrame,
 def vacant_by_county(fact, quarters, counties, selected) -> DataFrame:
     """RQ6."""
     s = star_join(_quarter_filter(fact, quarters, selected), [(counties, "CountyKey", "CountyKey")])
-    return M.evaluate(s, ["Total Vacant Dwellings"], by=["CountyName"])
+    return (M.evaluate(s, ["Total Vacant Dwellings"], by=["CountyName"])
+            .orderBy(F.desc("TotalVacantDwellings"), "CountyName"))
 
 
 def rate_by_county(fact, quarters, counties, selected) -> DataFrame:
     """RQ7."""
     s = star_join(_quarter_filter(fact, quarters, selected), [(counties, "CountyKey", "CountyKey")])
-    return M.evaluate(s, ["Vacancy Rate"], by=["CountyName"])
+    return (M.evaluate(s, ["Vacancy Rate"], by=["CountyName"])
+            .orderBy(F.desc("VacancyRate"), "CountyName"))
 
 
 def rate_by_year(fact, quarters) -> DataFrame:
     """RQ8: not filtered by the quarter slicer."""
     s = star_join(fact, [(quarters, "QuarterKey", "QuarterKey")])
-    return M.evaluate(s, ["Vacancy Rate"], by=["Year"])
+    return M.evaluate(s, ["Vacancy Rate"], by=["Year"]).orderBy("Year")
 
 
 def vacancy_map(fact, quarters, counties) -> DataFrame:
@@ -123,7 +127,7 @@ def kpi_planning(fact: DataFrame, decisions: DataFrame, sales_fact: DataFrame) -
 def applications_by_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """RQ11."""
     s = star_join(fact, [(dates, "DateKey", "DateKey")], bounded=[True])
-    return M.evaluate(s, ["Total Planning Applications"], by=["Year"])
+    return M.evaluate(s, ["Total Planning Applications"], by=["Year"]).orderBy("Year")
 
 
 def application_points(fact: DataFrame, decisions: DataFrame, authorities: DataFrame
@@ -142,7 +146,8 @@ def application_points(fact: DataFrame, decisions: DataFrame, authorities: DataF
 
 def year_choices(dates_or_star: DataFrame, lo: int, hi: int, col: str = "Year") -> DataFrame:
     """FL6: the years a slicer offers, limited to [lo, hi]."""
-    return (dates_or_star.select(col).filter(F.col(col).between(lo, hi)).distinct())
+    return (dates_or_star.select(col).filter(F.col(col).between(lo, hi)).distinct()
+            .orderBy(col))
 
 
 # --- operations page ---------------------------------------------------------------------------
@@ -160,5 +165,5 @@ RUN_LOG_DETAIL = ("ParentRunID", "DatasetName", "ChildPipelineName", "ExecutionO
 
 
 def run_log_detail(run_log: DataFrame) -> DataFrame:
-    """RQ14: the detail table (present ``orderBy(desc('StartTime'))``)."""
-    return run_log.select(*RUN_LOG_DETAIL)
+    """RQ14: the detail table, newest first (a distributed range sort)."""
+    return run_log.select(*RUN_LOG_DETAIL).orderBy(F.desc_nulls_last("StartTime"), "LogID")
