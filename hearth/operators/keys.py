@@ -23,6 +23,48 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def range_stamped(df: DataFrame, order_by: Sequence,
+                  partition_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` range-partitioned and sorted by (groups, ``order_by``, the
+    remaining columns), each row stamped with ``_mid`` (partition index in
+    the high bits, position in the partition in the low bits), written
+    once to the shared folder and read back, so every later read sees the
+    same partition boundaries."""
+    from hearth.session import materialize
+
+    groups = list(partition_by)
+    order = _cols(order_by)
+    named = set(groups) | {o for o in order_by if isinstance(o, str)}
+    rest = [F.col(c) for c in df.columns if c not in named]
+    gcols = [F.col(g) for g in groups]
+    return materialize(df.repartitionByRange(*gcols, *order, *rest)
+                       .sortWithinPartitions(*gcols, *order, *rest)
+                       .withColumn("_mid", F.monotonically_increasing_id()), "keys")
+
+
+def rows_at_ranks(ordered: DataFrame, ranks) -> DataFrame:
+    """The rows of a ``range_stamped`` frame at global 1-based ``ranks`` (a
+    list, or a function of the row count n giving the list).
+
+    Only the per-partition counts (one row per partition, bounded by the
+    partition count) come to the driver; the wanted ``_mid`` stamps are
+    computed from them and read back with a filter on the stored column,
+    which the Parquet reader can answer from row-group statistics."""
+    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
+    local = F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK))
+    counts = (ordered.groupBy(pid.alias("_pid"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(local).alias("_first"))
+              .collect())
+    if callable(ranks):
+        ranks = ranks(sum(r["_n"] for r in counts))
+    ids, off = [], 0
+    for r in sorted(counts, key=lambda r: r["_pid"]):
+        ids += [(r["_pid"] << _LOCAL_BITS) + r["_first"] + (k - off - 1)
+                for k in ranks if off < k <= off + r["_n"]]
+        off += r["_n"]
+    return ordered.filter(F.col("_mid").isin(ids) if ids else F.lit(False))
+
+
 def sequential_keys(df: DataFrame, order_by: Sequence, key: str = "Key",
                     start: int = 1, partition_by: Sequence[str] = ()) -> DataFrame:
     """Dense row numbers from ``start`` in ``order_by`` order (ties broken by
@@ -38,16 +80,9 @@ def sequential_keys(df: DataFrame, order_by: Sequence, key: str = "Key",
     row's number is its group's offset from earlier partitions plus its
     position after the group's first row in this partition.
     """
-    from hearth.session import materialize
-
     groups = list(partition_by)
-    order = _cols(order_by)
-    named = set(groups) | {o for o in order_by if isinstance(o, str)}
-    rest = [F.col(c) for c in df.columns if c not in named]
     gcols = [F.col(g) for g in groups]
-    ordered = materialize(df.repartitionByRange(*gcols, *order, *rest)
-                          .sortWithinPartitions(*gcols, *order, *rest)
-                          .withColumn("_mid", F.monotonically_increasing_id()), "keys")
+    ordered = range_stamped(df, order_by, groups)
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     local = F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK))
     counts = ordered.groupBy(pid.alias("_pid"), *gcols).agg(

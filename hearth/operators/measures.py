@@ -95,21 +95,22 @@ def exact_median(df: DataFrame, col: str, out: str = "Median",
     third of all rows is still spread over many partitions.  The one or
     two middle ranks are then averaged, the same interpolation as
     ``median`` (``a + (b - a) * 0.5`` as double)."""
-    from hearth.operators.keys import sequential_keys
+    from hearth.operators.keys import range_stamped, rows_at_ranks, sequential_keys
 
     by = list(by)
     vals = (df.select(*by, F.col(col).cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull()))
-    ranked = sequential_keys(vals.withColumn("_tb", F.monotonically_increasing_id()),
-                             ["_v", "_tb"], key="_rank", partition_by=by)
     interp = (F.when(F.count(F.lit(1)) == 1, F.first("_v"))
               .otherwise(F.min("_v") + (F.max("_v") - F.min("_v")) * 0.5).alias(out))
     if not by:
-        # n = highest rank, read from the materialized ranking (one scalar)
-        n = ranked.agg(F.max("_rank")).first()[0] or 0
-        if n == 0:
-            return df.sparkSession.createDataFrame([(None,)], f"{out} double")
-        return ranked.filter(F.col("_rank").isin((n + 1) // 2, (n + 2) // 2)).agg(interp)
+        # one sorted, stamped copy; the per-partition counts locate the one or
+        # two middle rows, which are read back by stamp (no join, no re-scan)
+        ordered = range_stamped(vals.withColumn("_tb", F.monotonically_increasing_id()),
+                                ["_v", "_tb"])
+        middle = lambda n: sorted({(n + 1) // 2, (n + 2) // 2} - {0})
+        return rows_at_ranks(ordered, middle).agg(interp)
+    ranked = sequential_keys(vals.withColumn("_tb", F.monotonically_increasing_id()),
+                             ["_v", "_tb"], key="_rank", partition_by=by)
     sizes = ranked.groupBy(*[F.col(b).alias(f"_s_{b}") for b in by]).agg(
         F.max("_rank").alias("_n"))                                 # one row per group
     cond = [F.col(b).eqNullSafe(F.col(f"_s_{b}")) for b in by]

@@ -115,6 +115,24 @@ def test_exact_median_with_hot_value(spark):
     assert M.exact_median(even, "p", "m").first().m == 3.0
 
 
+def test_exact_median_edge_sizes(spark):
+    none = spark.createDataFrame([(None,), (None,)], "p double")
+    assert M.exact_median(none, "p", "m").collect()[0].m is None
+    one = spark.createDataFrame([(None,), (4.5,)], "p double")
+    assert M.exact_median(one, "p", "m").collect()[0].m == 4.5
+
+
+def test_rows_at_ranks_across_partitions(spark):
+    from hearth.operators.keys import range_stamped, rows_at_ranks
+    vals = [3] * 50 + list(range(100))
+    df = spark.createDataFrame([(v,) for v in vals], "v int").repartition(6)
+    ordered = range_stamped(df.withColumn("tb", F.monotonically_increasing_id()), ["v", "tb"])
+    want = sorted(vals)
+    got = [r.v for r in rows_at_ranks(ordered, [1, 51, 75, 150]).orderBy("_mid").collect()]
+    assert got == [want[0], want[50], want[74], want[149]]
+    assert rows_at_ranks(ordered, lambda n: [n + 1]).count() == 0
+
+
 def test_exact_median_by_group_with_hot_group(spark):
     import statistics
     data = [("hot", float(v)) for v in [5.0] * 300 + list(range(301))] + \
