@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Measure = Callable[[], Column]
@@ -89,13 +89,14 @@ def exact_median(df: DataFrame, col: str, out: str = "Median",
 
     ``median()`` merges every partition's value map in a single task per
     group, which does not scale with the number of distinct values of a
-    big group.  Here the values are numbered 1..n in sorted order (per
-    group) by the distributed ``sequential_keys``: range partitioning on
-    (group, value, row id), so a group — or a single value — holding a
-    third of all rows is still spread over many partitions.  The one or
-    two middle ranks are then averaged, the same interpolation as
-    ``median`` (``a + (b - a) * 0.5`` as double)."""
-    from hearth.operators.keys import range_stamped, rows_at_ranks, sequential_keys
+    big group.  Here the values are sorted once by range partitioning on
+    (group, value, row id) and stamped (``keys.range_stamped``), so a
+    group — or a single value — holding a third of all rows is still
+    spread over many partitions.  Row counts per partition give each
+    group's middle ranks as stamps; only those one or two rows are read
+    and averaged, the same interpolation as ``median``
+    (``a + (b - a) * 0.5`` as double)."""
+    from hearth.operators.keys import _LOCAL_BITS, _LOCAL_MASK, range_stamped, rows_at_ranks
 
     by = list(by)
     vals = (df.select(*by, F.col(col).cast("double").alias("_v"))
@@ -109,14 +110,27 @@ def exact_median(df: DataFrame, col: str, out: str = "Median",
                                 ["_v", "_tb"])
         middle = lambda n: sorted({(n + 1) // 2, (n + 2) // 2} - {0})
         return rows_at_ranks(ordered, middle).agg(interp)
-    ranked = sequential_keys(vals.withColumn("_tb", F.monotonically_increasing_id()),
-                             ["_v", "_tb"], key="_rank", partition_by=by)
-    sizes = ranked.groupBy(*[F.col(b).alias(f"_s_{b}") for b in by]).agg(
-        F.max("_rank").alias("_n"))                                 # one row per group
-    cond = [F.col(b).eqNullSafe(F.col(f"_s_{b}")) for b in by]
-    mid = (ranked.join(sizes, cond, "inner")
-           .filter((F.col("_rank") == F.floor((F.col("_n") + 1) / 2))
-                   | (F.col("_rank") == F.floor((F.col("_n") + 2) / 2))))
+    # per group: the same sorted, stamped copy; the (partition, group) counts
+    # — at most #partitions rows per group, so a hot group stays small here —
+    # give each group's running offsets and the stamps of its middle rows,
+    # and one semi-join on the stamp picks those rows (<= 2 per group)
+    ordered = range_stamped(vals.withColumn("_tb", F.monotonically_increasing_id()),
+                            ["_v", "_tb"], by)
+    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
+    local = F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK))
+    counts = ordered.groupBy(pid.alias("_pid"), *by).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(local).alias("_first"))
+    w = Window.partitionBy(*by).orderBy("_pid")
+    spans = counts.select("_pid", "_n", "_first",
+                          (F.sum("_n").over(w) - F.col("_n")).alias("_off"),
+                          F.sum("_n").over(Window.partitionBy(*by)).alias("_t"))
+    k = F.array_distinct(F.array(F.floor((F.col("_t") + 1) / 2), F.floor((F.col("_t") + 2) / 2)))
+    spans = spans.select("_pid", "_n", "_first", "_off", F.explode(k).alias("_k"))
+    wanted = spans.filter((F.col("_k") > F.col("_off"))
+                          & (F.col("_k") <= F.col("_off") + F.col("_n"))).select(
+        (F.shiftleft(F.col("_pid"), _LOCAL_BITS) + F.col("_first")
+         + F.col("_k") - F.col("_off") - 1).alias("_mid"))
+    mid = ordered.join(wanted, "_mid", "left_semi")
     med = mid.groupBy(*[F.col(b).alias(f"_m_{b}") for b in by]).agg(interp)
     groups = df.select(*by).distinct()                 # groups with only NULL values stay
     return (groups.join(med, [F.col(b).eqNullSafe(F.col(f"_m_{b}")) for b in by], "left")
