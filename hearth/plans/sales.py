@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions import cleaning as fc
 from hearth.operators.aggregates import drop_duplicates, market_metrics, price_metrics
-from hearth.operators.dims import dim_date, dim_from_values
+from hearth.operators.dims import dim_date, dim_from_values, dims_from_values
 from hearth.operators.joins import lookup_keys
 from hearth.operators.keys import hash_key
 
@@ -21,6 +21,10 @@ SILVER_COLUMNS = ("SaleDate", "Address", "County", "Eircode", "SalePrice",
 GOLD_COLUMNS = ("SaleDate", "County", "PropertyType", "PropertySizeCategory", "SaleType",
                 "SalePrice", "IsFullMarketPrice", "Eircode", "Address", "LoadTimestamp",
                 "SourceSystem")
+# (value column, key column, name column) of the sales star's value dimensions
+STAR_DIMS = (("County", "CountyKey", "CountyName"),
+             ("PropertyType", "PropertyTypeKey", "PropertyType"),
+             ("SaleType", "SaleTypeKey", "SaleType"))
 NATURAL_KEY = ("SaleDate", "Address", "County", "Eircode", "SalePrice", "IsFullMarketPrice",
                "PropertyType", "PropertySizeCategory", "SaleType")
 
@@ -102,27 +106,29 @@ class SalesModel:
         from hearth.session import materialize
         return materialize(self.gold, "gold_sales")
 
-    @property
-    def _dim_source(self) -> DataFrame:
-        """Stored gold once it exists (fact builds); otherwise the lazy gold,
-        where Catalyst prunes a dimension's distinct values down to the few
-        source columns it needs (the full-row dedup is dropped)."""
-        return self.__dict__.get("stored_gold", self.gold)
+    # dimensions are built on first use only: a report needing one dimension
+    # reads the lazy gold, pruned to that column; once the stored gold exists
+    # (a fact build) the three are numbered together in one pass
+    @cached_property
+    def _star_dims(self) -> list[DataFrame]:
+        return dims_from_values(self.stored_gold, STAR_DIMS)
+
+    def _dim(self, i: int, build) -> DataFrame:
+        if "stored_gold" in self.__dict__:
+            return self._star_dims[i]
+        return build(self.gold)
 
-    # dimensions are built on first use only (a report needing one dimension
-    # does not pay for the others); ``dims_from_values`` numbers several in
-    # one pass when that is preferred
     @cached_property
     def dim_county(self) -> DataFrame:
-        return dim_county(self._dim_source)
+        return self._dim(0, dim_county)
 
     @cached_property
     def dim_property_type(self) -> DataFrame:
-        return dim_property_type(self._dim_source)
+        return self._dim(1, dim_property_type)
 
     @cached_property
     def dim_sale_type(self) -> DataFrame:
-        return dim_sale_type(self._dim_source)
+        return self._dim(2, dim_sale_type)
 
     @cached_property
     def fact(self) -> DataFrame:
