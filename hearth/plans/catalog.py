@@ -320,7 +320,7 @@ def q_dim_land_use(spark, sf):
 
 def q_missing_keys(spark, sf):
     p = _planning(spark, sf)
-    dims = pl.planning_dimensions(p.gold)               # five dimensions, one pass
+    dims = pl.planning_dimensions(p.stored_gold)        # five dimensions, one pass
     return dq.missing_dimension_keys(p.fact, [
         *[(name, dims[name], key, key) for name, (_, key, _, _) in pl.DIMENSIONS.items()],
         ("dim_date", dim_date(spark), "DateKey", "DateKey"),

@@ -3,6 +3,8 @@ PR10, PR14, PR15) → dimensions (DM7, DM8) and fact (DM11)."""
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,6 +181,14 @@ class PlanningModel:
         self.silver = silver_planning(self.joined, load_date, load_ts)
         self.gold = gold_planning(self.silver, load_ts)
 
+    @cached_property
+    def stored_gold(self) -> DataFrame:
+        """The gold layer written once (Parquet under the shared folder), for
+        queries that read it in several branches (fact + five dimensions):
+        otherwise each branch re-derives the extracts and their joins."""
+        from hearth.session import materialize
+        return materialize(self.gold, "gold_planning")
+
     @property
     def fact(self) -> DataFrame:
-        return fact_planning(self.gold)
+        return fact_planning(self.__dict__.get("stored_gold", self.gold))
