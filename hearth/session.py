@@ -1,14 +1,13 @@
-"""Session helpers for tests, the bench and local runs.
-
-The library itself never changes session configuration; these helpers are
-only used where *we* own the session (tests, ``bench.py``) or where a
-shared folder is needed and the cluster did not name one.
+"""Session helpers: a session for tests and the bench, the shared folder,
+and stage tables written into it.  The library never changes session
+configuration; only ``build_session``, where *we* own the session, sets any.
 """
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,34 +38,33 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints, snapshots and stream state.
+    """Folder for stage tables, checkpoints and stream state that the driver
+    and every executor see.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (a shared file system on a
-    cluster).  Only when it is unset — local tests — a fresh scratch folder
-    is created and registered, so that later calls agree.
+    Read from ``spark.checkpoint.dir``.  Where it is unset, a ``local``
+    master (tests, the bench) gets a scratch folder, because there driver
+    and executors are one machine; on a cluster it is an error, as a
+    machine-local folder would lose the other executors' files.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="hearth-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = _local_scratch()
+    return folder
+
+
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="hearth-")
 
 
 def fresh_subdir(spark: SparkSession, name: str) -> str:
-    """A new, unused folder under the shared folder (never reused)."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A new, unused path under the shared folder (never reused).  Spark's
+    writers create it, so any file system that Spark reads will do."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, name: str = "stage"):

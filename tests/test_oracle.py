@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from hearth.plans import catalog, oracle
 from scripts.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
@@ -24,6 +25,11 @@ def con():
     return c
 
 
+def test_entry_serves_the_whole_catalogue():
+    assert set(QUERIES) <= set(E.queries())
+    assert set(SQL) <= set(E.oracle_sql())
+
+
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"catalog_list"}
