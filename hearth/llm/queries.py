@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 from hearth.llm.bpe import decode_ids, encode_texts
 from hearth.llm.exact_dedup import exact_groups
+from hearth.llm.html_text import extract_main_text
+from hearth.llm.lattice_dedup import embedding_groups
+from hearth.llm.license_scan import RULES, SENTENCES, scan_licenses
 from hearth.llm.mixing import mix_sources
 from hearth.llm.simhash import simhash_components
+from hearth.llm.substring_dedup import substring_dedup
 from hearth.llm.token_files import read_token_files, write_token_files
 from hearth.llm.toxicity import toxicity_score, train_toxicity
 from hearth.session import fresh_subdir
@@ -34,6 +38,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn("score", toxicity_score(weights, F.col("text")))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"),
+                        F.array_join("licenses", ",").alias("licenses"),
+                        F.array_join("unmatched", ",").alias("unmatched"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
     return scored.select("doc_id", held_out().alias("held_out"), "score",
@@ -75,8 +86,24 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_main_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(table(spark, sf_dir, "documents"), window=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_groups(table(spark, sf_dir, "embeddings"), least=0.95)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_toxicity, op3_simhash, op4_token_files, op5_byte_bpe, op6_mixing, op7_exact_dedup)}
+    op1_license_scan, op2_toxicity, op3_simhash, op4_token_files, op5_byte_bpe, op6_mixing,
+    op7_exact_dedup, op8_html_text, op9_substring_dedup, op10_lattice_dedup)}
 
 _MIX_SIZES = r"""
 with sized as (
@@ -110,7 +137,39 @@ plan as (
   from targets)
 """
 
+
+
+def _license_sql() -> str:
+    """The same sentence table and rules, a rule at a time over the sequence."""
+    known = ", ".join(f"('{s}', '{n}')" for s, n in SENTENCES.items())
+    steps, last = [], "s0"
+    for k, (name, ids) in enumerate(RULES, 1):
+        seq = "".join(f"<{i}>" for i in ids)
+        steps.append(f"""s{k} as (select * exclude (ids, found), replace(ids, '{seq}', '') as ids,
+  case when contains(ids, '{seq}') and not list_contains(found, '{name}')
+       then list_append(found, '{name}') else found end as found from {last})""")
+        last = f"s{k}"
+    return rf"""
+with known(sentence, name) as (values {known}),
+texts as (select row_number() over () as r, doc_id,
+  regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '([.!?;:])[\x20\x09-\x0D]+', chr(10), 'g') as t from documents),
+lines as (select r, unnest(string_split(t, chr(10))) as line,
+                 generate_subscripts(string_split(t, chr(10)), 1) as pos from texts),
+hits as (select r, pos, name from lines join known
+         on trim(regexp_replace(line, '[^a-z0-9]+', ' ', 'g')) = sentence),
+seqs as (select r, string_agg(name, ',' order by pos) as sentence_ids,
+                string_agg('<' || name || '>', '' order by pos) as ids from hits group by r),
+s0 as (select doc_id, coalesce(sentence_ids, '') as sentence_ids, coalesce(ids, '') as ids,
+              cast([] as varchar[]) as found from texts left join seqs using (r)),
+{", ".join(steps)}
+select doc_id, sentence_ids, array_to_string(found, ',') as licenses,
+       replace(trim(replace(replace(ids, '<', ' '), '>', '')), ' ', ',') as unmatched
+from {last}"""
+
+
 ORACLE_SQL = {
+    "op1_license_scan": _license_sql(),
     "op6_mixing": _MIX_SIZES + r"""
 , before as (
   select d.doc_id, d.size, p.source_size, p.target, p.whole, p.quota,
