@@ -16,7 +16,7 @@ Before each exchange a batch of documents settles what it can by itself: an
 anchor that two of its documents hold is known to be shared, and a window that
 a smaller document of the batch holds is known to be a repeat.  What is sent
 is one row per batch and value, so a passage that a third of all documents
-hold is as many rows as there are batches.  Window hashes have 96 bits.
+hold is as many rows as there are batches.  Window hashes have 80 bits.
 
 The texts cross the network once, by identifier; both later joins use that
 same exchange.
@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.llm.frames import apart
+
 LAST = 2**63 - 1
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 ROOTS = (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93))
@@ -56,8 +58,9 @@ def run_hashes(h: np.ndarray, n: int, root: np.uint64) -> np.ndarray:
 
 
 def anchors(h: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """Per window of words the least hash of its ``gram``-word sequences."""
-    seeds = run_hashes(h, gram, ROOTS[0])
+    """Per window of words the least hash of its ``gram``-word sequences (48
+    bits: anchors only choose what is compared, and shorter ones travel lighter)."""
+    seeds = run_hashes(h, gram, ROOTS[0]) >> np.uint64(16)
     span = window - gram + 1
     size = max(0, len(seeds) - span + 1)
     if not size:
@@ -76,10 +79,11 @@ def runs(flags: np.ndarray) -> np.ndarray:
 
 
 def _rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents.select(
+    return apart(documents, id_col, text_col)[0].select(
         F.col(id_col).alias("_doc"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("_id"),
-        F.xxhash64(text_col).alias("_th"),
+        # tells rows of one identifier apart
+        F.xxhash64(text_col).bitwiseAND(0x7FFF).cast("smallint").alias("_th"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
 
 
@@ -106,29 +110,29 @@ def _seed(rows: DataFrame, window: int, gram: int) -> DataFrame:
             np.minimum.at(least, inverse, ids[of])
             np.maximum.at(most, inverse, ids[of])
             shared = least < most
+            one = np.argsort(at)  # in the documents' order: rows alike compress well
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values.view(np.int64)), pa.array(ids[of[at]]), pa.array(ths[of[at]]),
-                 pa.array(shared), pa.nulls(len(values), pa.binary())], names)
+                [pa.array(values[one].view(np.int64)), pa.array(ids[of[at[one]]]),
+                 pa.array(ths[of[at[one]]]), pa.array(shared[one]),
+                 pa.nulls(len(one), pa.binary())], names)
             told = shared[inverse]
             docs, begin = np.unique(of[told], return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ths[docs]), pa.array(ids[docs]), pa.array(ths[docs]),
+                [pa.array(ids[docs]), pa.array(ids[docs]), pa.array(ths[docs]),
                  pa.array(np.ones(len(docs), bool)),
                  _blobs(np.split(flat[told], begin[1:]) if len(docs) else [])], names)
 
     sent = rows.select("_id", "_th", "_text").mapInArrow(
-        run, "anchor bigint, _id bigint, _th bigint, shared boolean, known binary")
-    own = F.col("known").isNull()
+        run, "anchor bigint, _id bigint, _th smallint, shared boolean, known binary")
     # rows of one anchor: one per batch at most
-    same = Window.partitionBy("anchor", own)
-    told = (sent.withColumn("_n", F.count(F.lit(1)).over(same))
-            .withColumn("_any", F.max("shared").over(same))
-            .withColumn("_least", F.min("_id").over(same))
-            .withColumn("_most", F.max("_id").over(same)))
+    same = Window.partitionBy("anchor", "list")
+    told = sent.withColumn("list", F.col("known").isNotNull()).select(
+        "*", F.max("shared").over(same).alias("_any"), F.min("_id").over(same).alias("_least"),
+        F.max("_id").over(same).alias("_most"))
     # a batch's shared anchor is in its ``known`` lists already
     news = ~F.col("shared") & (F.col("_any") | (F.col("_least") < F.col("_most")))
-    return (told.where(~own | news)
-            .select("_id", "_th", F.when(own, F.col("anchor")).alias("anchor"), "known")
+    return (told.where(F.col("list") | news)
+            .select("_id", "_th", F.when(~F.col("list"), F.col("anchor")).alias("anchor"), "known")
             .groupBy("_id", "_th")
             .agg(F.collect_list("anchor").alias("_anchors"), F.collect_list("known").alias("_known")))
 
@@ -151,7 +155,7 @@ def _extend(seeded: DataFrame, window: int, gram: int) -> DataFrame:
                 start.append(at)
                 of.append(np.full(len(at), k))
                 h1.append(run_hashes(h, window, ROOTS[0])[at])
-                h2.append(run_hashes(h, window, ROOTS[1])[at] >> np.uint64(32))
+                h2.append((run_hashes(h, window, ROOTS[1])[at] >> np.uint64(48)).astype(np.uint16))
             if not sum(map(len, of)):
                 continue
             of, start, h1, h2 = map(np.concatenate, (of, start, h1, h2))
@@ -161,9 +165,10 @@ def _extend(seeded: DataFrame, window: int, gram: int) -> DataFrame:
             least = ids[of][np.flatnonzero(new)][np.cumsum(new) - 1]
             settled = ids[of] > least
             ask = np.flatnonzero(~settled)
+            ask = ask[np.lexsort((start[ask], of[ask]))]
             # only the smallest document of a window asks, from one text per identifier
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[ask].view(np.int64)), pa.array(h2[ask].astype(np.int32)),
+                [pa.array(h1[ask].view(np.int64)), pa.array(h2[ask].view(np.int16)),
                  pa.array(ids[of[ask]]), pa.array(ths[of[ask]]),
                  pa.array(start[ask].astype(np.int32)), pa.nulls(len(ask), pa.binary())], names)
             of, start = of[settled], start[settled]
@@ -178,11 +183,11 @@ def _extend(seeded: DataFrame, window: int, gram: int) -> DataFrame:
                                            s[np.concatenate([cut - 1, [len(s) - 1]])] + 1], axis=1)
                                  .astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ths[docs]), pa.nulls(len(docs), pa.int32()), pa.array(ids[docs]),
+                    [pa.array(ids[docs]), pa.nulls(len(docs), pa.int16()), pa.array(ids[docs]),
                      pa.array(ths[docs]), pa.nulls(len(docs), pa.int32()), _blobs(spans)], names)
 
     asked = seeded.mapInArrow(
-        run, "h1 bigint, h2 int, _id bigint, _th bigint, start int, spans binary")
+        run, "h1 bigint, h2 smallint, _id bigint, _th smallint, start int, spans binary")
     least = F.min("_id").over(Window.partitionBy("h1", "h2"))
     found = asked.withColumn("_least", least).where("spans is not null or _id > _least")
     return found.groupBy("_id", "_th").agg(F.collect_list("start").alias("_starts"),
