@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hearth.llm.frames import apart
+
 NONE = np.int32(2**31 - 1)
 LONGEST_ROW = 512
 #: cells of one padded matrix, distinct pieces remembered, bytes of text per step
@@ -206,13 +208,16 @@ def _steps(texts: pa.Array) -> Iterator[list[str]]:
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
                  ids_col: str = "ids") -> DataFrame:
-    """``docs`` with ``ids_col`` (array<int>) in place of ``text_col``."""
+    """``docs`` with ``ids_col`` (array<int>) in place of ``text_col`` (and of any
+    column of that name)."""
     spark = docs.sparkSession
     vocab = read_ranks(ranks_path)
     shared = spark.sparkContext.broadcast((vocab, PairTable(vocab)))
-    kept = [f for f in docs.schema.fields if f.name != text_col]
+    kept = [f for f in docs.schema.fields if f.name not in (text_col, ids_col)]
     schema = T.StructType([*kept, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
-    source = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).alias("_text"))
+    inner, _ = apart(docs, text_col)
+    at = [c for c, f in zip(inner.columns, docs.schema.fields, strict=True) if f in kept]
+    source = inner.select(*at, F.col(text_col).alias("_text"))
 
     def run(batches):
         import regex

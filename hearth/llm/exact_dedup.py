@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.llm.frames import apart
 from hearth.session import materialize
 
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
@@ -58,7 +59,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  fan_in: int = 16) -> DataFrame:
     """One row per input row: identifier, ``keep_id``, ``group_size``, ``kept``
     and ``text_sha256`` of the normalised text."""
-    rows = _runs(docs, id_col, text_col)
+    rows = _runs(apart(docs, id_col, text_col)[0], id_col, text_col)
     first = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"),
                      F.col("_row").alias("row"))
     level = rows.groupBy("_run", *KEY).agg(F.min(first).alias("_first"),
@@ -91,9 +92,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     identifier holds; of rows that repeat identifier and text, one stays."""
     kept = (exact_groups(docs, id_col, text_col, fan_in).where("kept")
             .select(F.col(id_col).alias("_kid"), F.col("text_sha256").alias("_ksha")))
-    marked = docs.withColumn("_sha", text_sha256(F.col(text_col)))
+    inner, back = apart(docs, id_col, text_col)
+    marked = inner.withColumn("_sha", text_sha256(F.col(text_col)))
     one = Window.partitionBy(id_col, "_sha").orderBy(F.lit(1))
-    return (marked.join(kept, F.col(id_col).eqNullSafe(F.col("_kid"))
-                        & (F.col("_sha") == F.col("_ksha")), "left_semi")
-            .withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return back(marked.join(kept, F.col(id_col).eqNullSafe(F.col("_kid"))
+                            & (F.col("_sha") == F.col("_ksha")), "left_semi")
+                .withColumn("_nth", F.row_number().over(one)).where("_nth = 1"))

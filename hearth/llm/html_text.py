@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from hearth.llm.frames import apart
+
 # Element names by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -292,4 +294,6 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", text_col: str =
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:last], pa.array(texts, pa.string())], schema.names)
 
-    return pages.select(*[f"`{f.name}`" for f in rest], f"`{html_col}`").mapInArrow(run, schema)
+    inner, _ = apart(pages, html_col)
+    at = [c for c, f in zip(inner.columns, pages.schema.fields, strict=True) if f in rest]
+    return inner.select(*at, html_col).mapInArrow(run, schema)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.components import components
+from hearth.llm.frames import apart
 from hearth.llm.simhash import grouped, union
 from hearth.session import materialize
 
@@ -247,9 +248,10 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     usable = (v.isNotNull() & (F.size(v) > 0)
               & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
               & F.exists(v, lambda x: x != 0))
-    rows = vectors.select(F.col(id_col).alias("_id"), v.alias("_vector"),
-                          F.coalesce(usable, F.lit(False)).alias("_usable"),
-                          F.xxhash64(v).alias("_h1"), F.hash(v).alias("_h2"))
+    rows = apart(vectors, id_col, vector_col)[0].select(
+        F.col(id_col).alias("_id"), v.alias("_vector"),
+        F.coalesce(usable, F.lit(False)).alias("_usable"),
+        F.xxhash64(v).alias("_h1"), F.hash(v).alias("_h2"))
     distinct = (rows.where("_usable").groupBy("_h1", "_h2")
                 .agg(F.min("_id").alias("least_id"), F.count(F.lit(1)).alias("copies"),
                      F.first("_vector").alias("vector"))

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.llm.frames import apart
+
 # Normalised sentences of public licence notices.
 SENTENCES = {
     "licensed under the apache license version 2 0": "ApacheShort",
@@ -111,8 +113,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order), ``licenses`` (array of names, in the rules' order) and ``unmatched``
     (the sentence names that no rule took)."""
     known, rules = known or SENTENCES, rules or RULES
-    marked = docs.select(F.col(id_col).alias(id_col),
-                         identifiers(F.col(text_col), known).alias("sentence_ids"))
+    marked = apart(docs, id_col, text_col)[0].select(
+        id_col, identifiers(F.col(text_col), known).alias("sentence_ids"))
 
     def tokens(names: list[str]) -> str:
         return "".join(f"<{n}>" for n in names)

@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.llm.frames import apart
 from hearth.operators.keys import sequential_keys
 from hearth.session import materialize
 
@@ -82,7 +83,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     row per source: ``source_size``, ``target``, ``whole`` repetitions and the
     crossing place ``_cut`` with the words ``_part`` that its document gives.
     Weights repeat over the sources in code-point order, null last."""
-    sizes = materialize(docs.select(
+    sizes = materialize(apart(docs, id_col, source_col, text_col)[0].select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("_source"),
         word_count(F.col(text_col)).alias("_size")), "mix-sizes")
     by_source = sizes.groupBy("_source").agg(F.sum("_size").alias("source_size"))
@@ -154,8 +155,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     _, plan = plan_mix(docs, id_col, source_col, text_col, weights, max_epochs, seed)
     plan = plan.select(F.col("_source").alias("_s"), "_cut", "_part",
                        F.when(F.col("source_size") > 0, F.col("whole")).otherwise(1).alias("_whole"))
-    size = word_count(F.col(text_col))
-    sized = docs.withColumn("_size", size)
+    named = [c for c in (id_col, source_col, text_col, length_col) if c]
+    inner, back = apart(docs, *named)
+    sized = inner.withColumn("_size", word_count(F.col(text_col)))
     joined = sized.join(plan, F.col(source_col).eqNullSafe(F.col("_s")))
     part = _given(_place(F.col(id_col), F.col("_size"), seed), F.col("_size"))
     first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)),
@@ -166,14 +168,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     out = (joined.withColumn("_given", part).withColumn("_times", times)
            .withColumn("_take", F.explode("_times")))
     in_part = (F.col("_take") >= 0) & (F.col("_take") < F.col("_size"))
-    text = F.when(in_part, first).otherwise(F.col(text_col))
-    picked = []
-    for c in docs.columns:
-        if c == text_col:
-            picked.append(text.alias(c))
-        elif c == length_col:
-            picked.append(F.when(in_part, F.length(first).cast("long"))
-                          .otherwise(F.col(c)).alias(c))
-        else:
-            picked.append(F.col(f"`{c}`"))
-    return out.select(*picked)
+    changed = {text_col: F.when(in_part, first).otherwise(F.col(text_col))}
+    if length_col:
+        changed[length_col] = F.when(in_part, F.length(first)).otherwise(F.col(length_col))
+    return back(out.withColumns(
+        {c: v.cast(docs.schema[c].dataType) for c, v in changed.items()}))

@@ -32,10 +32,10 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with ``score``, learnt from the labels that aren't held out."""
+def toxicity_of(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """The score of a text of ``docs``, learnt from the labels that aren't held out."""
     weights = train_toxicity(docs, table(spark, sf_dir, "labels"), learn=~held_out())
-    return docs.withColumn("score", toxicity_score(weights, F.col("text")))
+    return toxicity_score(weights, F.col("text"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = toxicity(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    scored = docs.select("doc_id", toxicity_of(spark, docs, sf_dir).alias("score"))
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

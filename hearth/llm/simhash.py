@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.llm.components import components
+from hearth.llm.frames import apart
 from hearth.session import materialize
 
 BITS = 64
@@ -57,6 +58,7 @@ def fingerprint(words: list[bytes], shingle: int, seed: int) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3, seed: int = 42) -> DataFrame:
     """(``_id``, ``_text`` hash, ``fp`` bigint) of every whole text, A-Z lower-cased."""
+    docs = apart(docs, id_col, text_col)[0]
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"),
                         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_bytes"))
 
@@ -237,8 +239,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kept = (rows.where(F.col("_id").eqNullSafe(F.col("component_id")))
             .groupBy("_root", F.col("_id").alias("_kid")).agg(F.min("_text").alias("_ktext")))
     one = Window.partitionBy(id_col, "_th").orderBy(F.lit(1))
-    return (docs.withColumn("_th", F.xxhash64(text_col))
-            .join(kept, F.col(id_col).eqNullSafe(F.col("_kid"))
-                  & (F.col("_th") == F.col("_ktext")), "left_semi")
-            .withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    inner, back = apart(docs, id_col, text_col)
+    return back(inner.withColumn("_th", F.xxhash64(text_col))
+                .join(kept, F.col(id_col).eqNullSafe(F.col("_kid"))
+                      & (F.col("_th") == F.col("_ktext")), "left_semi")
+                .withColumn("_nth", F.row_number().over(one)).where("_nth = 1"))

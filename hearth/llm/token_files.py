@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hearth.llm.frames import apart
+
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
 #: distinct words whose ids a task remembers
 REMEMBERED = 200_000
@@ -62,8 +64,9 @@ class WordTokens:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    return apart(docs, id_col, text_col)[0].select(
+        F.col(id_col).cast("bigint").alias("_id"),
+        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
 
 
 def train_dictionary(docs: DataFrame, definition: str, end_id: int, text_col: str = "text",

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.llm.frames import apart
+
 #: white space or ASCII punctuation separates words
 SEPARATORS = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -76,8 +78,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
               .agg(F.max(F.col(label_col).cast("int")).alias("_label"))
               .withColumn("_order", F.xxhash64("_lid"))
               .orderBy("_order", "_lid").limit(sample_rows))
-    sample = (docs.select(F.col(id_col).alias("_id"),
-                          F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    sample = (apart(docs, id_col, text_col)[0]
+              .select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
               .join(F.broadcast(picked), F.col("_id") == F.col("_lid"))  # sample_rows ids
               .select("_order", "_label", "_text"))
 
