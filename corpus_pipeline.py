@@ -19,8 +19,7 @@ from hearth.session import materialize
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score 0.5 or more) go."""
-    scored = queries.toxicity(spark, docs, sf_dir)
-    return scored.where("score < 0.5").select(*docs.columns)
+    return docs.where(queries.toxicity_of(spark, docs, sf_dir) < 0.5)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
