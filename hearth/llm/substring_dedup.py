@@ -78,6 +78,14 @@ def runs(flags: np.ndarray) -> np.ndarray:
     return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], axis=1)
 
 
+def packed(starts: np.ndarray) -> bytes:
+    """Ascending starts as (first, past last) pairs of their stretches."""
+    cut = np.flatnonzero(np.diff(starts) > 1)
+    return np.stack([starts[np.concatenate([[0], cut + 1])],
+                     starts[np.concatenate([cut, [len(starts) - 1]])] + 1],
+                    axis=1).astype(np.int32).tobytes()
+
+
 def _rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return apart(documents, id_col, text_col)[0].select(
         F.col(id_col).alias("_doc"),
@@ -159,37 +167,45 @@ def _extend(seeded: DataFrame, window: int, gram: int) -> DataFrame:
             if not sum(map(len, of)):
                 continue
             of, start, h1, h2 = map(np.concatenate, (of, start, h1, h2))
-            order = np.lexsort((start, ids[of], h2, h1))
+            order = np.lexsort((start, of, ids[of], h2, h1))
             of, start, h1, h2 = of[order], start[order], h1[order], h2[order]
             new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-            least = ids[of][np.flatnonzero(new)][np.cumsum(new) - 1]
+            kind = np.cumsum(new) - 1
+            least = ids[of][np.flatnonzero(new)][kind]
             settled = ids[of] > least
+            # only the smallest document of a window asks, once, whatever it repeats
             ask = np.flatnonzero(~settled)
-            ask = ask[np.lexsort((start[ask], of[ask]))]
-            # only the smallest document of a window asks, from one text per identifier
+            head = np.concatenate([[True], (kind[ask[1:]] != kind[ask[:-1]])
+                                   | (of[ask[1:]] != of[ask[:-1]])])
+            first = np.flatnonzero(head)
+            again: list = [None] * len(first)
+            for k, n in enumerate(np.diff(np.append(first, len(ask))).tolist()):
+                if n > 1:
+                    again[k] = packed(start[ask[first[k] + 1:first[k] + n]])
+            ask = ask[first]
+            # in the documents' order: rows alike compress well
+            one = np.lexsort((start[ask], of[ask]))
+            ask = ask[one]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1[ask].view(np.int64)), pa.array(h2[ask].view(np.int16)),
                  pa.array(ids[of[ask]]), pa.array(ths[of[ask]]),
-                 pa.array(start[ask].astype(np.int32)), pa.nulls(len(ask), pa.binary())], names)
+                 pa.array(start[ask].astype(np.int32)),
+                 pa.array([again[k] for k in one.tolist()], pa.binary())], names)
             of, start = of[settled], start[settled]
             if len(of):
                 order = np.lexsort((start, of))
                 of, start = of[order], start[order]
                 docs, begin = np.unique(of, return_index=True)
-                spans = []
-                for s in np.split(start, begin[1:]):
-                    cut = np.flatnonzero(np.diff(s) > 1) + 1
-                    spans.append(np.stack([s[np.concatenate([[0], cut])],
-                                           s[np.concatenate([cut - 1, [len(s) - 1]])] + 1], axis=1)
-                                 .astype(np.int32))
+                spans = [packed(s) for s in np.split(start, begin[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[docs]), pa.nulls(len(docs), pa.int16()), pa.array(ids[docs]),
-                     pa.array(ths[docs]), pa.nulls(len(docs), pa.int32()), _blobs(spans)], names)
+                     pa.array(ths[docs]), pa.nulls(len(docs), pa.int32()), pa.array(spans, pa.binary())], names)
 
     asked = seeded.mapInArrow(
         run, "h1 bigint, h2 smallint, _id bigint, _th smallint, start int, spans binary")
     least = F.min("_id").over(Window.partitionBy("h1", "h2"))
-    found = asked.withColumn("_least", least).where("spans is not null or _id > _least")
+    # rows without h2 were settled in their batch
+    found = asked.withColumn("_least", least).where("h2 is null or _id > _least")
     return found.groupBy("_id", "_th").agg(F.collect_list("start").alias("_starts"),
                                            F.collect_list("spans").alias("_spans"))
 
