@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -192,18 +193,18 @@ class Encoder:
         return np.array(out, np.int32)
 
 
-def _steps(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts of a batch, in lists of about ``STEP_BYTES``."""
-    step, held = [], 0
-    for t in texts:
-        t = t.as_py() or ""
-        step.append(t)
-        held += len(t)
-        if held >= STEP_BYTES:
-            yield step
-            step, held = [], 0
-    if step:
-        yield step
+def _steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``STEP_BYTES`` bytes of text, or values of a list,
+    in ``column``: what a task holds beside its batch."""
+    held = batch.column(column)
+    sizes = (pc.list_value_length if pa.types.is_list(held.type) else pc.binary_length)(held)
+    ends = np.concatenate([[0], np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False))])
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(ends, ends[at] + STEP_BYTES, side="right"))
+        upto = min(max(upto - 1, at + 1), batch.num_rows)
+        yield batch.slice(at, upto - at)
+        at = upto
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
@@ -225,22 +226,21 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
         split, encoder = regex.compile(pattern).findall, Encoder(*shared.value)
         known: dict[str, bytes] = {}
         for batch in batches:
-            data, sizes = [], []
-            for step in _steps(batch.column(batch.num_columns - 1)):
-                pieces = [split(t) for t in step]
+            for step in _steps(batch, batch.num_columns - 1):
+                pieces = [split(t.as_py() or "") for t in step.column(step.num_columns - 1)]
                 new = {p for ps in pieces for p in ps}.difference(known)
                 if len(known) + len(new) > REMEMBERED:
                     known, new = {}, {p for ps in pieces for p in ps}
                 new = list(new)
                 known.update(zip(new, (x.tobytes() for x in encoder.encode(
                     [p.encode() for p in new])), strict=True))
-                for ps in pieces:
-                    data.append(b"".join(map(known.__getitem__, ps)))
-                    sizes.append(len(data[-1]) // 4)
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            flat = pa.Array.from_buffers(pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(data))])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.ListArray.from_arrays(ends, flat)], schema.names)
+                data = [b"".join(map(known.__getitem__, ps)) for ps in pieces]
+                sizes = [len(d) // 4 for d in data]
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                flat = pa.Array.from_buffers(
+                    pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(data))])
+                yield pa.RecordBatch.from_arrays(
+                    [*step.columns[:-1], pa.ListArray.from_arrays(ends, flat)], schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -257,12 +257,11 @@ def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids",
     def run(batches):
         token = shared.value.__getitem__
         for batch in batches:
-            ids = batch.column(at)
-            flat = ids.values.to_numpy(zero_copy_only=False)
-            ends = ids.offsets.to_numpy()
-            texts = [b"".join(map(token, flat[a:b].tolist())) if ok else b""
-                     for a, b, ok in zip(ends[:-1], ends[1:], ids.is_valid().to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], schema.names)
+            for step in _steps(batch, at):
+                ids = step.column(at)
+                texts = [b"".join(map(token, x.values.to_numpy().tolist())) if x.is_valid else b""
+                         for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [*step.columns, pa.array(texts, pa.binary())], schema.names)
 
     return encoded.mapInArrow(run, schema)
