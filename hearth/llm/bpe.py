@@ -247,12 +247,16 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
 
 def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids",
                bytes_col: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes of ``ids_col`` added.  A null array decodes to
+    """``encoded`` with the bytes of ``ids_col`` added (in place of any column of
+    that name).  A null array decodes to
     nothing; an id outside the vocabulary is an error."""
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = T.StructType([*encoded.schema.fields, T.StructField(bytes_col, T.BinaryType(), False)])
-    at = encoded.columns.index(ids_col)
+    fields = [f for f in encoded.schema.fields if f.name != bytes_col]
+    schema = T.StructType([*fields, T.StructField(bytes_col, T.BinaryType(), False)])
+    inner, _ = apart(encoded, ids_col)
+    kept = [c for c, f in zip(inner.columns, encoded.schema.fields, strict=True) if f in fields]
+    at = kept.index(ids_col)
 
     def run(batches):
         token = shared.value.__getitem__
@@ -264,4 +268,4 @@ def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids",
                 yield pa.RecordBatch.from_arrays(
                     [*step.columns, pa.array(texts, pa.binary())], schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return inner.select(*kept).mapInArrow(run, schema)

@@ -229,6 +229,10 @@ def kept(root: Node) -> list[Node]:
         if up is not None:
             best = up
             break
+    inside = [n for n in walk(best) if n.tag in ("article", "main") and n.points >= best.points / 5]
+    outer = [n for n in inside if n.parent not in inside]
+    if len(outer) == 1:  # the best container holds the article and more
+        best = outer[0]
     if best.tag in ("article", "main") or best.parent is None:
         return [best]
     size = measure(best.parent)
