@@ -20,23 +20,20 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.frames import apart
+from hearth.llm.frames import apart, steps
 
 NONE = np.int32(2**31 - 1)
 LONGEST_ROW = 512
-#: cells of one padded matrix, distinct pieces remembered, bytes of text per step
+#: cells of one padded matrix, distinct pieces remembered
 MATRIX_CELLS = 1 << 20
 REMEMBERED = 200_000
-STEP_BYTES = 1 << 21
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -193,20 +190,6 @@ class Encoder:
         return np.array(out, np.int32)
 
 
-def _steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``STEP_BYTES`` bytes of text, or values of a list,
-    in ``column``: what a task holds beside its batch."""
-    held = batch.column(column)
-    sizes = (pc.list_value_length if pa.types.is_list(held.type) else pc.binary_length)(held)
-    ends = np.concatenate([[0], np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False))])
-    at = 0
-    while at < batch.num_rows:
-        upto = int(np.searchsorted(ends, ends[at] + STEP_BYTES, side="right"))
-        upto = min(max(upto - 1, at + 1), batch.num_rows)
-        yield batch.slice(at, upto - at)
-        at = upto
-
-
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
                  ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids_col`` (array<int>) in place of ``text_col`` (and of any
@@ -226,7 +209,7 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
         split, encoder = regex.compile(pattern).findall, Encoder(*shared.value)
         known: dict[str, bytes] = {}
         for batch in batches:
-            for step in _steps(batch, batch.num_columns - 1):
+            for step in steps(batch, batch.num_columns - 1):
                 pieces = [split(t.as_py() or "") for t in step.column(step.num_columns - 1)]
                 new = {p for ps in pieces for p in ps}.difference(known)
                 if len(known) + len(new) > REMEMBERED:
@@ -261,7 +244,7 @@ def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids",
     def run(batches):
         token = shared.value.__getitem__
         for batch in batches:
-            for step in _steps(batch, at):
+            for step in steps(batch, at):
                 ids = step.column(at)
                 texts = [b"".join(map(token, x.values.to_numpy().tolist())) if x.is_valid else b""
                          for x in ids]

@@ -1,12 +1,17 @@
-"""Keeping a table's own columns out of an operator's way."""
+"""Keeping a table's own columns out of an operator's way, and batches small."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+STEP_BYTES = 1 << 21
+
 
 def apart(df: DataFrame, *named: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``df`` with every column but ``named`` under a neutral name (whatever it is
@@ -18,3 +23,17 @@ def apart(df: DataFrame, *named: str) -> tuple[DataFrame, Callable[[DataFrame],
         return out.select(*[F.col(f"`{n}`") for n in inner]).toDF(*df.columns)
 
     return df.toDF(*inner), back
+
+
+def steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``STEP_BYTES`` bytes of text, or values of a list,
+    in ``column``: what a task holds beside its batch."""
+    held = batch.column(column)
+    sizes = (pc.list_value_length if pa.types.is_list(held.type) else pc.binary_length)(held)
+    ends = np.concatenate([[0], np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False))])
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(ends, ends[at] + STEP_BYTES, side="right"))
+        upto = min(max(upto - 1, at + 1), batch.num_rows)
+        yield batch.slice(at, upto - at)
+        at = upto

@@ -21,6 +21,8 @@ columns are not stored.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.frames import apart
+from hearth.llm.frames import apart, steps
 
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
 #: distinct words whose ids a task remembers
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: where special tokens begin; punctuation after a letter at the end of a word
+SPECIAL, ENDING = b"<|", re.compile(rb"([a-z])([.,!?;:]+)(?=[\x20\x09-\x0D]|\Z)")
 
 BLOCKS = ("shard int, block int, first_id bigint, last_id bigint, dict_hash string, "
           "start_in_shard bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, "
@@ -40,26 +44,53 @@ BLOCKS = ("shard int, block int, first_id bigint, last_id bigint, dict_hash stri
 
 
 class WordTokens:
-    """Ids of whole texts by a tokenizers file whose normalizer and splitter
-    never look across white space: every distinct word goes through the
-    library once, and a text's ids are its words' ids in order."""
+    """Ids of whole texts by a tokenizers file, each distinct word once.
+
+    Files that lower their input, whose normalizer and splitter never look
+    across white space nor keep letters and punctuation together (``by_word``),
+    allow this: a text's ids are its words' ids in order, A-Z may be lowered
+    before, and a space may go between a letter and the punctuation that ends a
+    word.  Both make more words alike.  Texts with a special token's opening
+    are left as they are.  Unseen words go to the library joined by spaces;
+    its offsets tell whose ids are whose.  Other files encode text by text."""
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.known: dict[bytes, bytes] = {}
+        made = json.loads(definition)
+        normal = (made["normalizer"] or {}).get("normalizers", [])
+        split = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        pattern = split.get("pattern", {}).get("Regex", "")
+        self.by_word = (
+            [n["type"] for n in normal] == ["NFC", "Replace", "Lowercase"]
+            and normal[1]["pattern"] == {"Regex": "\\s+"} and normal[1]["content"] == " "
+            and split.get("behavior") == "Removed" and split.get("invert")
+            and pattern.endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"))
+
+    def _learn(self, words: list[bytes]) -> None:
+        for k in range(0, len(words), 256):
+            part = [w.decode() for w in words[k:k + 256]]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            data = np.array(found.ids, "<u4").tobytes()
+            at = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+            begins = np.cumsum([0, *(len(w) + 1 for w in part)])
+            cut = (4 * np.searchsorted(at, begins)).tolist()
+            self.known.update((w, data[a:b]) for w, a, b in zip(
+                words[k:k + 256], cut[:-1], cut[1:], strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.split() for t in texts]  # of bytes: \x20 and \x09-\x0D
-        new = {w for ws in words for w in ws}.difference(self.known)
+        if not self.by_word:
+            found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() for e in found]
+        words = [(t if SPECIAL in t else ENDING.sub(rb"\1 \2", t.lower())).split() for t in texts]
+        seen = {w for ws in words for w in ws}
+        new = seen.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, {w for ws in words for w in ws}
-        new = list(new)
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes())
-                          for w, e in zip(new, found, strict=True))
+            self.known = {w: self.known[w] for w in seen.difference(new)}
+        self._learn(list(new))
         return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
 
 
@@ -129,10 +160,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: str, end_id: i
                 [c.split()[0] for c in BLOCKS.split(", ")]), total
 
         for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                step = batch.slice(at, 256)
-                at += 256
+            for step in steps(batch, 1):
                 texts = [t.as_py() for t in step.column(1)]
                 for i, data in zip(step.column(0).to_pylist(), encoder.encode(texts), strict=True):
                     data += end

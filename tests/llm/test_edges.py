@@ -362,3 +362,19 @@ def test_pipeline_stages_over_awkward_rows(spark):
             if name != "byte_bpe":
                 assert kept.columns == docs.columns
         assert len(kept.collect()) <= 3 * len(TEXTS)
+
+
+def test_words_encode_as_whole_texts_do():
+    from tokenizers import Tokenizer
+
+    texts = [t or "" for _, t in TEXTS] + [
+        "Don't stop, OK?! (really...) it's 3.14; e.g., U.S.A. x.y é, É. é. İ! ..., a.b.c.",
+        "<|ENDOFTEXT|>. <|endoftext|>, x<|startoftext|>y", "ß, ǅ.  z . 한국어. Ａ１. ²³.", "a\x00. b\x1c, c"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        with open(public_tokenizers.path(name), encoding="utf-8") as f:
+            encoder = token_files.WordTokens(f.read())
+        assert encoder.by_word == (name == "word_bpe_49k.json")
+        whole = Tokenizer.from_file(public_tokenizers.path(name))
+        for got, text in zip(encoder.encode([t.encode() for t in texts]), texts, strict=True):
+            ids = np.frombuffer(got, "<u4").tolist()
+            assert ids == whole.encode(text, add_special_tokens=False).ids, text[:80]
