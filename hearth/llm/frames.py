@@ -25,6 +25,14 @@ def apart(df: DataFrame, *named: str) -> tuple[DataFrame, Callable[[DataFrame],
     return df.toDF(*inner), back
 
 
+def spread_sample(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """Every n-th row by a hash of ``column``, so that about ``rows`` to twice as
+    many remain; never more than that, should one value repeat very often.
+    No partition sends more than its share."""
+    every = max(1, df.count() // rows)
+    return df.where(F.pmod(F.xxhash64(column), F.lit(every)) == 0).limit(2 * rows)
+
+
 def steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``STEP_BYTES`` bytes of text, or values of a list,
     in ``column``: what a task holds beside its batch."""

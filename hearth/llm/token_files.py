@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.frames import apart, steps
+from hearth.llm.frames import apart, spread_sample, steps
 
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
 #: distinct words whose ids a task remembers
@@ -101,18 +101,16 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def train_dictionary(docs: DataFrame, definition: str, end_id: int, text_col: str = "text",
-                     id_col: str = "doc_id", sample_docs: int = 1000, sample_bytes: int = 8192,
+                     id_col: str = "doc_id", sample_docs: int = 600, sample_bytes: int = 8192,
                      dictionary_bytes: int = 65536) -> bytes:
-    """A zstandard dictionary from serialized id arrays of a bounded sample:
-    ``sample_docs`` documents in the order of a hash of their identifier, of each
-    at most ``sample_bytes``.  Too little data for a dictionary gives ``b""``."""
+    """A zstandard dictionary from serialized id arrays of a bounded sample: about
+    ``sample_docs`` documents (at most twice as many) by a hash of their identifier,
+    of each at most ``sample_bytes``.  Too little data for one gives ``b""``."""
     import zstandard
 
-    order = F.xxhash64(F.col("_id"))
-    picked = (_texts(docs, id_col, text_col)
-              .select("_id", F.substring("_text", 1, sample_bytes).alias("_text"))
-              .orderBy(order, "_id", F.xxhash64("_text")).limit(sample_docs).collect())
-    whole = [bytes(r["_text"]).decode(errors="ignore").encode() for r in picked]
+    picked = (spread_sample(_texts(docs, id_col, text_col), "_id", sample_docs)
+              .select(F.substring("_text", 1, sample_bytes).alias("_text")).collect())
+    whole = sorted(bytes(r["_text"]).decode(errors="ignore").encode() for r in picked)
     end = np.array([end_id], "<u4").tobytes()
     samples = [ids + end for ids in WordTokens(definition).encode(whole)]
     try:

@@ -7,8 +7,8 @@ its L1 term leaves only few weights that aren't zero: these are collected (at
 most ``2**bits``, in practice hundreds) and broadcast to score all documents
 without a shuffle.
 
-The classifier is fitted on a bounded sample: ``sample_rows`` labelled rows in
-the order of a hash of their identifier.  Only that sample's features meet in
+The classifier is fitted on a bounded sample: ``sample_rows`` labelled rows (at
+most twice as many) by a hash of their identifier.  Only that sample's features meet in
 one task, which makes ``epochs`` passes over them; scoring covers all rows.
 
 Defined cases: a null text is empty and scores by the bias alone; null labels
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.frames import apart
+from hearth.llm.frames import apart, spread_sample
 
 #: white space or ASCII punctuation separates words
 SEPARATORS = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
@@ -73,14 +73,14 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """(``index``, ``weight``) of the weights that aren't zero; the bias is always
     there if anything was learnt.  ``learn`` (over ``id_col``) picks label rows."""
     usable = F.col(id_col).isNotNull() & F.col(label_col).isNotNull()
-    picked = (labels.where(usable if learn is None else usable & learn)
-              .groupBy(F.col(id_col).alias("_lid"))
-              .agg(F.max(F.col(label_col).cast("int")).alias("_label"))
-              .withColumn("_order", F.xxhash64("_lid"))
-              .orderBy("_order", "_lid").limit(sample_rows))
+    known = (labels.where(usable if learn is None else usable & learn)
+             .groupBy(F.col(id_col).alias("_lid"))
+             .agg(F.max(F.col(label_col).cast("int")).alias("_label")))
+    picked = (spread_sample(known, "_lid", sample_rows)
+              .withColumn("_order", F.xxhash64("_lid", F.lit(1))))
     sample = (apart(docs, id_col, text_col)[0]
               .select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-              .join(F.broadcast(picked), F.col("_id") == F.col("_lid"))  # sample_rows ids
+              .join(F.broadcast(picked), F.col("_id") == F.col("_lid"))  # 2 * sample_rows ids
               .select("_order", "_label", "_text"))
 
     def extract(batches):
