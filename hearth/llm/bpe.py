@@ -32,8 +32,8 @@ from hearth.llm.frames import apart, steps
 NONE = np.int32(2**31 - 1)
 LONGEST_ROW = 512
 #: cells of one padded matrix, distinct pieces remembered
-MATRIX_CELLS = 1 << 20
-REMEMBERED = 200_000
+MATRIX_CELLS = 1 << 18
+REMEMBERED = 120_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -211,10 +211,10 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
         for batch in batches:
             for step in steps(batch, batch.num_columns - 1):
                 pieces = [split(t.as_py() or "") for t in step.column(step.num_columns - 1)]
-                new = {p for ps in pieces for p in ps}.difference(known)
+                seen = {p for ps in pieces for p in ps}
+                new = list(seen.difference(known))
                 if len(known) + len(new) > REMEMBERED:
-                    known, new = {}, {p for ps in pieces for p in ps}
-                new = list(new)
+                    known = {p: known[p] for p in seen.difference(new)}
                 known.update(zip(new, (x.tobytes() for x in encoder.encode(
                     [p.encode() for p in new])), strict=True))
                 data = [b"".join(map(known.__getitem__, ps)) for ps in pieces]

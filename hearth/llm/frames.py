@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 19
 
 
 def apart(df: DataFrame, *named: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
