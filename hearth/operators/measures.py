@@ -138,16 +138,16 @@ def exact_median(df: DataFrame, col: str, out: str = "Median",
 
 
 def latest_run_duration(run_log: DataFrame) -> DataFrame:
-    """M21: minutes of the run with the latest start: (max end − min start)
-    seconds / 60; NULL while the run has no end.  ``max_by`` skips NULL
-    starts.  Two small aggregates, no sort of the whole log."""
-    latest = run_log.agg(F.max_by("ParentRunID", "StartTime").alias("_rid"))
+    """M21: minutes of the run with the latest start (of equal starts the
+    largest run): (max end − min start) seconds / 60; NULL while no child of
+    the run has an end.  Two small aggregates, no sort of the whole log."""
+    latest = run_log.where(F.col("StartTime").isNotNull()).agg(
+        F.max_by("ParentRunID", F.struct("StartTime", "ParentRunID")).alias("_rid"))
     rows = run_log.join(F.broadcast(latest), run_log["ParentRunID"] == latest["_rid"], "inner")
     from hearth.functions.dates import seconds_between
     secs = seconds_between(F.min("StartTime"), F.max("EndTime"))
     return rows.agg(F.first("_rid").alias("LatestParentRunID"),
-                    F.when(F.count_if(F.col("EndTime").isNull()) == 0, secs / F.lit(60.0))
-                    .alias("LatestRunDurationMinutes"))
+                    (secs / F.lit(60.0)).alias("LatestRunDurationMinutes"))
 
 
 # M22: implicit column aggregates (the default summarisation of a column)

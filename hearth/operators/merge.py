@@ -35,8 +35,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str] | str,
     source rows are inserted.  Key equality never matches NULL, so NULL-key
     rows on both sides survive (as with SQL MERGE).
 
-    * duplicate source keys (S9): the newest by ``ts`` wins (WN2);
-      ``strict`` raises instead.
+    * duplicate source keys (S9): the newest by ``ts`` wins (WN2); with
+      ``strict``, or without a ``ts`` that could tell, they raise.
     * ``keep_newer_target``: a late source row (``source.ts <= target.ts``)
       does not replace the target row.
 
@@ -46,7 +46,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str] | str,
     """
     keys = _keys(key)
     src = source
-    if strict:
+    if strict or ts is None:
         # one bounded action: is there any duplicated source key?
         if duplicate_keys(src.filter(_all_not_null(keys)), keys).limit(1).count():
             raise ValueError("duplicate source keys in merge source")
@@ -94,9 +94,9 @@ def watermark_probe(df: DataFrame, ts: str, last) -> DataFrame:
 def advance_watermark(watermarks: DataFrame, probes: DataFrame,
                       updated_at, name_col: str = "DatasetName") -> DataFrame:
     """MG5: move ``LastWatermarkValue`` forward for datasets whose probe found
-    newer data; other rows are unchanged.  Call it last, after the branch
-    succeeded."""
-    p = probes.select(F.col(name_col).alias("_n"), F.col("CurrentWatermark").alias("_cw"))
+    newer data; other rows are unchanged.  Of several probes of one dataset
+    the largest counts.  Call it last, after the branch succeeded."""
+    p = probes.groupBy(F.col(name_col).alias("_n")).agg(F.max("CurrentWatermark").alias("_cw"))
     j = watermarks.join(p, watermarks[name_col] == p["_n"], "left")
     moved = F.col("_cw").isNotNull() & (F.col("_cw") > F.col("LastWatermarkValue"))
     return j.select(*[
@@ -117,11 +117,13 @@ def run_log_start(log: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def run_log_finish(log: DataFrame, finishes: DataFrame,
-                   keys: Sequence[str] = ("ParentRunID", "PipelineConfigID", "LogID")
-                   ) -> DataFrame:
+                   keys: Sequence[str] = ("ParentRunID", "PipelineConfigID")) -> DataFrame:
     """Close rows of the given (run, config) that are still Running with the
-    final status, end time, duration and error text (success or failure)."""
+    final status, end time, duration and error text (success or failure).
+    Two finishes of one key are an error (one bounded action)."""
     keys = list(keys)
+    if duplicate_keys(finishes, keys).limit(1).count():
+        raise ValueError("more than one finish for a run and configuration")
     f = finishes.select(*keys, F.col("RunStatus").alias("_st"), F.col("EndTime").alias("_end"),
                         F.col("ErrorMessage").alias("_err"))
     j = log.join(f, keys, "left")
@@ -213,25 +215,36 @@ class BucketedTable:
     """An upsert target hash-partitioned into ``buckets`` folders by key
     (``bucket = pmod(xxhash64(key), buckets)``).
 
-    ``upsert`` touches only the buckets the source hits: those folders are
-    read (partition pruning), merged, staged once, and replaced with
-    *dynamic* partition overwrite — a small batch against a huge target
-    rewrites a few buckets, not the table.  The list of touched buckets
-    is at most ``buckets`` integers.  Merging is idempotent
-    (merge(merge(t, s), s) = merge(t, s)), so re-running a batch after a
-    failure during the folder swap converges to the same table.
+    ``upsert`` rewrites only the buckets the source hits: they are read
+    (partition pruning), merged, staged once, and replaced with *dynamic*
+    partition overwrite.  A batch of scattered keys hits all buckets, so the
+    count should follow the target's size.  It is kept with the table; opening
+    it with another count is an error, as keys would move.  NULL keys, which no
+    replay could match again, are an error too.  Merging is idempotent, so
+    re-running a batch after a failure during the folder swap converges to the
+    same table; readers during the swap may see buckets of both states.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
         self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+        kept = self._kept_buckets()
+        if kept is not None and kept != buckets:
+            raise ValueError(f"{path} has {kept} buckets, not {buckets}")
+
+    def _fs(self):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _kept_buckets(self) -> int | None:
+        fs, p = self._fs()
+        names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+        return next((int(n.split("=")[1]) for n in names if n.startswith("_buckets=")), None)
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
 
     def exists(self) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, p = self._fs()
         return fs.exists(p.suffix("/_SUCCESS")) or (
             fs.exists(p) and any(st.getPath().getName().startswith("bucket=")
                                  for st in fs.listStatus(p)))
@@ -242,13 +255,18 @@ class BucketedTable:
     def upsert(self, source: DataFrame, ts: str | None = None,
                keep_newer_target: bool = False) -> None:
         from hearth.session import materialize
+        if source.filter(F.col(self.key).isNull()).limit(1).count():
+            raise ValueError("NULL keys can't be merged")
         src = source.withColumn("bucket", self._bucket())
-        writer = lambda df: (df.write.mode("overwrite")
+        # one task per bucket, so one file per bucket
+        writer = lambda df: (df.repartition("bucket").write.mode("overwrite")
                              .option("partitionOverwriteMode", "dynamic")
                              .partitionBy("bucket").parquet(self.path))
         if not self.exists():
             first = latest_per_key(src, self.key, ts) if ts else src
             writer(first)
+            fs, p = self._fs()
+            fs.mkdirs(p.suffix(f"/_buckets={self.buckets}"))
             return
         touched = [r[0] for r in src.select("bucket").distinct().collect()]  # ≤ buckets ints
         current = self.spark.read.parquet(self.path).filter(F.col("bucket").isin(touched))
@@ -256,7 +274,3 @@ class BucketedTable:
                               keep_newer_target=keep_newer_target)
         # stage first: the swap must not read the folders it replaces
         writer(materialize(merged, "bucket-stage"))
-
-
-def now_utc() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

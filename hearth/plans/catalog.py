@@ -510,17 +510,8 @@ def q_extract_roundtrip(spark, sf):
 
 def q_staging_load(spark, sf):
     from hearth.sources.sinks import load_warehouse_table, FACT_PROPERTY_SALES
-    return load_warehouse_table(_sales(spark, sf).fact, FACT_PROPERTY_SALES) \
-        .drop("PropertySaleKey")
-
-
-def q_catalog_list(spark, sf):
-    from hearth.session import fresh_subdir
-    from hearth.sources.sinks import list_tables, save_all
-    m = _sales(spark, sf)
-    save_all({"stg_dim_county": m.dim_county, "stg_dim_sale_type": m.dim_sale_type},
-             root=fresh_subdir(spark, "staging"))
-    return list_tables(spark, "stg_*")
+    priced = _sales(spark, sf).fact.where("SalePrice is not null")   # the column is NOT NULL there
+    return load_warehouse_table(priced, FACT_PROPERTY_SALES).drop("PropertySaleKey")
 
 
 def q_cube_from_files(spark, sf):

@@ -42,11 +42,13 @@ SILVER_SALES = f"""
 silver_sales AS (
   SELECT *, {RUN_TS} AS LoadTimestamp, 'PPR' AS SourceSystem FROM (
     SELECT DISTINCT
-      CAST(o.o_orderdate + INTERVAL 15 YEAR AS DATE) AS SaleDate,
+      CASE WHEN l.l_orderkey % 83 <> 0
+           THEN CAST(o.o_orderdate + INTERVAL 15 YEAR AS DATE) END AS SaleDate,
       c.c_name AS Address,
       n.n_name AS County,
       p.p_brand AS Eircode,
-      CAST(l.l_extendedprice AS DECIMAL(18,2)) AS SalePrice,
+      CASE WHEN l.l_orderkey % 97 <> 0
+           THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS SalePrice,
       CASE WHEN l.l_returnflag = 'R' THEN 'No' ELSE 'Yes' END AS IsFullMarketPrice,
       CASE WHEN l.l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS IsVATExclusive,
       CASE WHEN p.p_type = 'PROMO' THEN {_q(fc.SECOND_HAND_LABEL)}
@@ -205,8 +207,8 @@ agg AS (
          CAST(n.n_nationkey AS VARCHAR) AS LocalAuthorityCode, n.n_name AS LocalAuthority,
          n.n_regionkey AS RegionKey,
          COUNT(*) FILTER (WHERE o.o_orderstatus = 'F') AS vacant, COUNT(*) AS stock
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY ALL
 ),
 stats(StatisticCode, Statistic, Unit) AS (
@@ -340,12 +342,21 @@ DECISION_VALUES = ", ".join(f"({i}, {_q(t)})" for i, t in st.DECISION_TEXTS)
 def _planning_ctes(shift_years: int = 0) -> str:
     recv = (f"(o.o_orderdate + INTERVAL {shift_years} YEAR)" if shift_years
             else "o.o_orderdate")
-    outcome = "CASE WHEN DecisionType IS NULL OR DecisionType IN ('Not recorded', 'N/A') " \
-              "THEN 'No decision recorded'"
-    for name, words in fc.DECISION_RULES:
-        cond = " OR ".join(f"contains(upper(DecisionType), {_q(w)})" for w in words)
-        outcome += f" WHEN {cond} THEN {_q(name)}"
-    outcome += " ELSE 'Other' END"
+    # fixed values, written out here so that the code's own list is checked
+    outcome = """CASE WHEN DecisionType IS NULL OR DecisionType IN ('Not recorded', 'N/A')
+              THEN 'No decision recorded'
+         WHEN contains(upper(DecisionType), 'INVA') THEN 'Invalid'
+         WHEN contains(upper(DecisionType), 'WITHDRAW') THEN 'Withdrawn'
+         WHEN contains(upper(DecisionType), 'SPLIT') THEN 'Split decision'
+         WHEN contains(upper(DecisionType), 'REFUS') THEN 'Refused'
+         WHEN contains(upper(DecisionType), 'GRANT') OR contains(upper(DecisionType), 'CONDITIONAL')
+              OR contains(upper(DecisionType), 'APPROV') THEN 'Granted'
+         WHEN contains(upper(DecisionType), 'EXEMPT') THEN 'Exempt'
+         WHEN contains(upper(DecisionType), 'ADDITIONAL INFORMATION')
+              OR contains(upper(DecisionType), 'FURTHER INFORMATION')
+              OR contains(upper(DecisionType), 'REQUEST AI') OR contains(upper(DecisionType), 'REQ AI')
+              THEN 'Further information'
+         ELSE 'Other' END"""
     return f"""
 segments AS (
   SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY c_mktsegment) AS INTEGER) AS LandUseTypeID
@@ -377,13 +388,13 @@ app AS (
          'app/' || CAST(o.o_orderkey AS VARCHAR) AS LinkAppDetails,
          o.o_orderdate AS SourceETLDate, o.o_orderdate AS InsertedAt,
          o.o_orderdate AS RecordLastUpdatedAt
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN segments sg ON c.c_mktsegment = sg.c_mktsegment
 ),
 lk_authority AS (SELECT n_nationkey AS PlanningAuthorityID, n_name AS PlanningAuthorityName FROM nation),
 lk_type AS (
   SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS ApplicationTypeID,
-         substr(o_orderpriority, 3, 100) AS ApplicationTypeName FROM orders
+         substr(o_orderpriority, 3) AS ApplicationTypeName FROM orders
 ),
 lk_status AS (
   SELECT DISTINCT CAST(CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS INTEGER) AS ApplicationStatusID,
@@ -595,7 +606,7 @@ FROM fact_planning"""
 RUN_LOG = """
 run_log AS (
   SELECT CAST(event_id AS VARCHAR) AS LogID, CAST(user_id AS VARCHAR) AS ParentRunID,
-         CAST(user_id AS INTEGER) AS PipelineConfigID, event_type AS DatasetName,
+         CAST(event_id AS INTEGER) AS PipelineConfigID, event_type AS DatasetName,
          'pl_' || event_type AS ChildPipelineName, 1 AS ExecutionOrder,
          CASE event_type WHEN 'error' THEN 'Failed' WHEN 'signup' THEN 'Running'
               ELSE 'Succeeded' END AS RunStatus,
@@ -641,12 +652,12 @@ SELECT * FROM config c WHERE NOT EXISTS (SELECT 1 FROM changes s
                                          WHERE s.PipelineConfigID = c.PipelineConfigID)
 UNION ALL SELECT * FROM changes"""
 SQL["kpi_operations"] = f"""WITH {STAR_SALES}, {RUN_LOG},
-latest AS (SELECT arg_max(ParentRunID, StartTime) AS rid FROM run_log WHERE StartTime IS NOT NULL)
+latest AS (SELECT ParentRunID AS rid FROM run_log WHERE StartTime IS NOT NULL
+           ORDER BY StartTime DESC, ParentRunID DESC LIMIT 1)
 SELECT COUNT(DISTINCT ParentRunID) AS TotalPipelineRuns,
        COUNT(*) FILTER (WHERE RunStatus = 'Succeeded') AS SuccessfulChildExecutions,
        COUNT(*) FILTER (WHERE RunStatus = 'Failed') AS FailedChildExecutions,
-       (SELECT CASE WHEN COUNT(*) FILTER (WHERE EndTime IS NULL) = 0
-                    THEN date_diff('second', MIN(StartTime), MAX(EndTime)) / 60.0 END
+       (SELECT date_diff('second', MIN(StartTime), MAX(EndTime)) / 60.0
         FROM run_log WHERE ParentRunID = (SELECT rid FROM latest)) AS LatestRunDurationMinutes,
        (SELECT MAX(LoadTimestamp) FROM fact_sales) AS DataLastUpdated
 FROM run_log"""
@@ -701,11 +712,13 @@ FROM wm w LEFT JOIN probes p ON w.DatasetName = p.DatasetName"""
 # sources / sinks: the frame read back equals the frame written
 # ---------------------------------------------------------------------------------------------
 SQL["layer_roundtrip"] = SQL["gold_sales"]
-SQL["staging_load"] = SQL["fact_sales"]
+SQL["staging_load"] = SQL["fact_sales"] + " WHERE SalePrice IS NOT NULL"
 SQL["extract_roundtrip"] = f"""
-SELECT strftime(o.o_orderdate + INTERVAL 15 YEAR, '%d/%m/%Y') AS "Date of Sale (dd/mm/yyyy)",
+SELECT CASE WHEN l.l_orderkey % 83 <> 0 THEN strftime(o.o_orderdate + INTERVAL 15 YEAR, '%d/%m/%Y') END
+       AS "Date of Sale (dd/mm/yyyy)",
        c.c_name AS Address, n.n_name AS County, p.p_brand AS Eircode,
-       '€' || format('{{:,.2f}}', CAST(l.l_extendedprice AS DECIMAL(18,2))) AS "Price (€)",
+       CASE WHEN l.l_orderkey % 97 <> 0
+            THEN '€' || format('{{:,.2f}}', CAST(l.l_extendedprice AS DECIMAL(18,2))) END AS "Price (€)",
        CASE WHEN l.l_returnflag = 'R' THEN 'Yes' ELSE 'No' END AS "Not Full Market Price",
        CASE WHEN l.l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS "VAT Exclusive",
        CASE WHEN p.p_type = 'PROMO' THEN {_q(st.SECOND_HAND_IRISH)}
@@ -714,12 +727,11 @@ SELECT strftime(o.o_orderdate + INTERVAL 15 YEAR, '%d/%m/%Y') AS "Date of Sale (
        CASE WHEN p.p_size < 10 THEN {_q(st.SIZE_SMALL)}
             WHEN p.p_size < 30 THEN {_q(st.SIZE_MEDIUM)}
             ELSE {_q(st.SIZE_LARGE)} END AS "Property Size Description"
-FROM lineitem l
+FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 50 = 0) l
 LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
-# catalog_list: rows-only (the catalog is session state, not table data)
 
 # ---------------------------------------------------------------------------------------------
 # sources, control and measure queries added for full coverage

@@ -43,15 +43,13 @@ def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def read_parquet_extract(spark: SparkSession, base: str, table: str,
                          load_date: str | None = None) -> DataFrame:
-    """SC3: one extract table.  With ``load_date`` the dated folder is
-    selected by a partition filter on the table root (partition pruning);
-    without it every dated folder is read."""
+    """SC3: one extract table.  With ``load_date`` exactly that dated folder is
+    read; a date that isn't there, and a date asked of a table without dated
+    folders, is an error.  Without it every dated folder is read."""
     root = f"{base.rstrip('/')}/{table}"
-    df = spark.read.option("basePath", root).parquet(root)
-    if load_date is not None and "load_date" in df.columns:
-        from pyspark.sql import functions as F
-        df = df.filter(F.col("load_date") == F.lit(load_date).cast("date")).drop("load_date")
-    return df
+    if load_date is None:
+        return spark.read.option("basePath", root).parquet(root)
+    return spark.read.parquet(bronze_path(base, table, load_date))
 
 
 def read_extracts(spark: SparkSession, base: str, load_date: str | None = None,
@@ -69,21 +67,6 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Guard for under-split inputs: a scan of one unsplittable file (one
-    Parquet row group) runs in a single task, so every operator fused into
-    that stage runs single-threaded.  Only when the scan yields fewer
-    partitions than the cluster's default parallelism is it round-robin
-    repartitioned; a large input (thousands of splits) is left untouched,
-    so this adds no shuffle at scale."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — no RDD view (e.g. a Connect session)
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """SC7: a literal frame (unknown members, control rows)."""
     return spark.createDataFrame(list(rows), ddl)

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators.keys import window_keys
-from hearth.sources.readers import spread
 
 # Fixed values of the stand-in mapping (chosen for this fixture)
 DATE_SHIFT_MONTHS = 180                     # 1995-2001 → 2010-2016
@@ -30,6 +29,7 @@ SIZE_SMALL = "less than 38 sq metres"
 SIZE_MEDIUM = "greater than or equal to 38 sq metres and less than 125 sq metres"
 SIZE_LARGE = "greater than or equal to 125 sq metres"
 NULL_LAND_USE_SEGMENT = "HOUSEHOLD"
+REPEATED_EVERY, NO_DATE_EVERY, NO_PRICE_EVERY = 50, 83, 97   # by order key
 # decision texts by DecisionTypeID (id = orderkey mod 12; 0 → no decision)
 DECISION_TEXTS = (
     (1, "Grant Permission"),
@@ -51,14 +51,8 @@ SALES_CSV_COLUMNS = (
 )
 
 
-# the row-heavy tables; the others are small code tables at every scale
-# factor used here and are joined by broadcast or AQE's size check
-ROW_HEAVY = {"lineitem", "orders", "events"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in ROW_HEAVY else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,13 +68,18 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey, "left")
          .join(p, F.col("l_partkey") == p.p_partkey, "left"))
     sale_day = F.add_months(F.col("o_orderdate"), DATE_SHIFT_MONTHS)
+    k = F.col("l_orderkey")
+    # every REPEATED_EVERY-th order is in the extract twice; some dates and prices are missing
+    j = j.withColumn("_copy", F.explode(F.when(k % REPEATED_EVERY == 0, F.array(F.lit(1), F.lit(2)))
+                                        .otherwise(F.array(F.lit(1)))))
     return j.select(
-        F.date_format(sale_day, "dd/MM/yyyy").alias(SALES_CSV_COLUMNS[0]),
+        F.when(k % NO_DATE_EVERY != 0, F.date_format(sale_day, "dd/MM/yyyy"))
+        .alias(SALES_CSV_COLUMNS[0]),
         F.col("c_name").alias("Address"),
         F.col("n_name").alias("County"),
         F.col("p_brand").alias("Eircode"),
-        F.concat(F.lit("€"), F.format_number(
-            F.col("l_extendedprice").cast("decimal(18,2)"), 2)).alias("Price (€)"),
+        F.when(k % NO_PRICE_EVERY != 0, F.concat(F.lit("€"), F.format_number(
+            F.col("l_extendedprice").cast("decimal(18,2)"), 2))).alias("Price (€)"),
         F.when(F.col("l_returnflag") == "R", "Yes").otherwise("No")
         .alias("Not Full Market Price"),
         F.when(F.col("l_linestatus") == "O", "Yes").otherwise("No").alias("VAT Exclusive"),
@@ -103,8 +102,8 @@ def cube_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    j = (o.join(c, o.o_custkey == c.c_custkey, "inner")
-         .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey, "inner"))
+    j = (o.join(c, o.o_custkey == c.c_custkey, "left")
+         .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey, "left"))
     g = j.groupBy(
         (F.year("o_orderdate") * 10 + F.quarter("o_orderdate")).cast("string").alias("QuarterCode"),
         F.concat(F.year("o_orderdate").cast("string"), F.lit("Q"),
@@ -132,14 +131,6 @@ def cube_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "RegionKey", F.inline(stats))
 
 
-def authority_county_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapping table authority → county (nation → its region), 25 rows."""
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-            .select(F.col("n_name").alias("LocalAuthority"), F.col("r_name").alias("County")))
-
-
 # --- planning extracts ---------------------------------------------------------------------
 def planning_extracts(spark: SparkSession, sf_dir: str, shift_months: int = 0
                       ) -> dict[str, DataFrame]:
@@ -151,8 +142,8 @@ def planning_extracts(spark: SparkSession, sf_dir: str, shift_months: int = 0
     segments = window_keys(c.select("c_mktsegment").filter(F.col("c_mktsegment").isNotNull())
                            .distinct(), ["c_mktsegment"], "LandUseTypeID")  # 5 segments
     land_use = segments.select("LandUseTypeID", F.col("c_mktsegment").alias("LandUseTypeName"))
-    j = (o.join(c, o.o_custkey == c.c_custkey, "inner")
-         .join(F.broadcast(segments), "c_mktsegment", "left"))
+    j = (o.join(c, o.o_custkey == c.c_custkey, "left")
+         .join(segments, "c_mktsegment", "left"))
     received = (F.timestamp_add("MONTH", F.lit(shift_months), F.col("o_orderdate"))
                 if shift_months else F.col("o_orderdate"))
     k = F.col("o_orderkey")
@@ -192,7 +183,7 @@ def planning_extracts(spark: SparkSession, sf_dir: str, shift_months: int = 0
     authority = n.select(F.col("n_nationkey").alias("PlanningAuthorityID"),
                          F.col("n_name").alias("PlanningAuthorityName"))
     app_type = (o.select(F.substring("o_orderpriority", 1, 1).cast("int").alias("ApplicationTypeID"),
-                         F.substring("o_orderpriority", 3, 100).alias("ApplicationTypeName"))
+                         F.expr("substring(o_orderpriority, 3)").alias("ApplicationTypeName"))
                 .distinct())
     status = (o.filter(F.col("o_orderstatus").isin("F", "O"))
               .select(F.when(F.col("o_orderstatus") == "F", 1).otherwise(2)
@@ -219,7 +210,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("event_id").cast("string").alias("LogID"),
         F.col("user_id").cast("string").alias("ParentRunID"),
-        F.col("user_id").cast("int").alias("PipelineConfigID"),
+        F.col("event_id").cast("int").alias("PipelineConfigID"),
         F.col("event_type").alias("DatasetName"),
         F.concat(F.lit("pl_"), F.col("event_type")).alias("ChildPipelineName"),
         F.lit(1).alias("ExecutionOrder"),

@@ -5,14 +5,13 @@ files not seen before (the stream checkpoint plays the high-watermark
 role), keeps the newest row per key of the micro-batch (WN2) and merges it
 into a bucketed target (MG1) with late-row protection: a target row is kept
 when its timestamp is not older than the incoming one.  Only the buckets a
-micro-batch touches are rewritten, so the cost of a batch follows the batch,
-not the size of the target.
+micro-batch touches are rewritten; a batch of scattered keys touches all.
 
 ``foreachBatch`` records a marker per applied batch id under the stream
 checkpoint; a batch replayed after a failure between the table write and
 the checkpoint commit is skipped, and a batch interrupted mid-write is
-re-applied — the merge is idempotent, so both converge (exactly-once
-output).
+re-applied — the merge is idempotent (NULL keys are refused), so both
+converge to the same table.
 """
 
 from __future__ import annotations

@@ -172,3 +172,54 @@ def test_distinct_count_counts_null(spark):
     df = spark.createDataFrame([("a",), (None,), ("a",)], "c string")
     assert ag.distinct_count(df, "c").first()[0] == 2
     assert ag.distinct_count(df, "c", count_null=False).first()[0] == 1
+
+
+def test_merge_without_time_refuses_duplicate_source_keys(spark):
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    s = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(ValueError):
+        mg.merge_upsert(t, s, "k")
+
+
+def test_finish_closes_the_run_and_config_once(spark):
+    schema = ("LogID string, ParentRunID string, PipelineConfigID int, RunStatus string, "
+              "StartTime timestamp_ntz, EndTime timestamp_ntz, DurationSeconds int, ErrorMessage string")
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 1)
+    log = spark.createDataFrame([("l1", "r", 1, "Running", t0, None, None, None)], schema)
+    done = spark.createDataFrame([("r", 1, "Succeeded", t1, None)],
+                                 "ParentRunID string, PipelineConfigID int, RunStatus string, "
+                                 "EndTime timestamp_ntz, ErrorMessage string")
+    row = mg.run_log_finish(log, done).collect()
+    assert [(r.RunStatus, r.DurationSeconds) for r in row] == [("Succeeded", 60)]
+    with pytest.raises(ValueError):
+        mg.run_log_finish(log, done.unionByName(done))
+
+
+def test_repeated_probe_keeps_one_control_row(spark):
+    wm = spark.createDataFrame([("d", 1, None)], "DatasetName string, LastWatermarkValue int, UpdatedAt int")
+    probes = spark.createDataFrame([("d", 2), ("d", 5)], "DatasetName string, CurrentWatermark int")
+    assert [tuple(r) for r in mg.advance_watermark(wm, probes, 9).collect()] == [("d", 5, 9)]
+
+
+def test_latest_run_lasts_until_its_last_end(spark):
+    from hearth.operators.measures import latest_run_duration
+    h = lambda m: dt.datetime(2024, 1, 1, 10, m)
+    schema = "ParentRunID string, StartTime timestamp_ntz, EndTime timestamp_ntz"
+    rows = [("a", h(0), h(50)), ("b", h(5), h(20)), ("b", h(6), None), ("c", None, h(59))]
+    one = latest_run_duration(spark.createDataFrame(rows, schema)).first()
+    assert tuple(one) == ("b", 15.0)
+    tie = latest_run_duration(spark.createDataFrame(
+        [("a", h(0), h(9)), ("z", h(0), h(3))], schema)).first()
+    assert tuple(tie) == ("z", 3.0)
+    opened = latest_run_duration(spark.createDataFrame([("a", h(0), None)], schema)).first()
+    assert opened.LatestRunDurationMinutes is None
+
+
+def test_bucketed_table_keeps_its_bucket_count_and_refuses_null_keys(spark):
+    path = fresh_subdir(spark, "buckets") + "/t"
+    frame = spark.createDataFrame([(1, "a")], "k int, v string")
+    mg.BucketedTable(spark, path, "k", 4).upsert(frame)
+    with pytest.raises(ValueError):
+        mg.BucketedTable(spark, path, "k", 8)
+    with pytest.raises(ValueError):
+        mg.BucketedTable(spark, path, "k", 4).upsert(spark.createDataFrame([(None, "b")], frame.schema))

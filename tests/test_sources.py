@@ -3,8 +3,11 @@
 import os
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from hearth.plans import sales as sl
-from hearth.session import fresh_subdir
+from hearth.session import fresh_subdir, shared_dir
 from hearth.sources import readers
 
 HEADER = ("Date of Sale (dd/mm/yyyy),Address,County,Eircode,Price (€),"
@@ -52,3 +55,27 @@ def test_bronze_path_and_dated_extracts(spark):
     got = readers.read_parquet_extract(spark, base, "T", "2024-06-30").collect()
     assert [tuple(r) for r in got] == [(1, "a")]
     assert readers.bronze_path("/x", "s", "2024-01-02") == "/x/s/load_date=2024-01-02"
+
+
+def test_an_asked_for_load_date_must_be_there(spark):
+    base = fresh_subdir(spark, "extract-test")
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    df.write.parquet(readers.bronze_path(base, "dated", "2024-06-30"))
+    df.write.parquet(f"{base}/plain")
+    for name, day in (("dated", "2024-06-29"), ("plain", "2024-06-30")):
+        with pytest.raises(AnalysisException):
+            readers.read_parquet_extract(spark, base, name, day).count()
+
+
+def test_stage_tables_need_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Cluster())
+    assert shared_dir(spark)
