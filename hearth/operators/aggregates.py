@@ -44,20 +44,16 @@ def distinct_count(df: DataFrame, col: str, count_null: bool = True) -> DataFram
     return df.agg(F.coalesce(n, F.lit(0)).cast("bigint").alias("DistinctCount"))
 
 
-def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """AG4."""
-    return df.select(*cols).distinct()
-
-
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """AG5: full-row (or subset) dedup; hash aggregate with map-side combine."""
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
 def first_per_key(df: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
-    """AG6: one row per key; the smallest attribute tuple (deterministic,
-    where the reference picked an arbitrary row)."""
-    return (df.filter(F.col(key).isNotNull())
+    """AG6: one row per key; the smallest attribute tuple (deterministic).
+    The distinct tuples come first (a hash aggregate), so that the minimum,
+    which sorts, sees few rows."""
+    return (df.select(key, *attrs).filter(F.col(key).isNotNull()).distinct()
             .groupBy(key)
             .agg(F.min(F.struct(*attrs)).alias("_m"))
             .select(key, *[F.col(f"_m.{a}").alias(a) for a in attrs]))
@@ -69,14 +65,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter(F.col("DuplicateCount") > 1))
 
 
-def duplicate_key_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number of duplicated key values and of surplus rows, as one row."""
-    d = duplicate_keys(df, keys)
-    return d.agg(F.count(F.lit(1)).alias("DuplicateKeyCount"),
-                 F.coalesce(F.sum(F.col("DuplicateCount") - 1), F.lit(0))
-                 .cast("bigint").alias("SurplusRows"))
-
-
 def table_totals(tables: Mapping[str, DataFrame], ts_col: str | None = None) -> DataFrame:
     """AG13 / SE2: per table row count (+ min/max load timestamp), UNION ALL."""
     parts = []
@@ -127,8 +115,3 @@ def run_summary(run_log: DataFrame) -> DataFrame:
         .when(F.col("_running") > 0, "Running")
         .otherwise("Succeeded").alias("OverallRunStatus"),
         "LoadDate")
-
-
-def ratio(num: Column, den: Column) -> Column:
-    """Division that yields NULL (not an error) on a zero or NULL divisor."""
-    return F.try_divide(num, den)

@@ -94,32 +94,43 @@ def cube_flatten(docs: DataFrame, dim_ids: Sequence[str] = VACANCY_DIMS,
     plus the statistic unit, the value (NULL kept) and ``keep`` columns.
 
     Cell position p → index along dimension i = (p div stride_i) mod size_i,
-    stride_i = product of the sizes after i (row-major order)."""
+    stride_i = product of the sizes after i (row-major order).
+
+    The cells are built inside the document, from label arrays resolved once per
+    document, and only they leave the explode: no row carries the document."""
     d = F.col(doc_col)
     n = len(dim_ids)
-    exploded = docs.select(*keep, d.alias("_doc"),
-                           F.posexplode(d["value"]).alias("_pos", "Value"))
-    doc = F.col("_doc")
-    out_cols = []
-    for i, dim in enumerate(dim_ids):
-        size_i = F.element_at(doc["size"], i + 1).cast("bigint")
-        stride = reduce(lambda a, b: a * b,
-                        [F.element_at(doc["size"], j + 1).cast("bigint")
-                         for j in range(i + 1, n)], F.lit(1).cast("bigint"))
-        idx = F.pmod(F.floor(F.col("_pos") / stride), size_i)
-        cat = F.element_at(doc["dimension"], F.lit(dim))["category"]
-        code = F.element_at(cat["index"], (idx + 1).cast("int"))
-        out_cols.append(code.alias(f"_c{i}"))
-    base = exploded.select(*keep, "_doc", "Value", *out_cols)
-    labelled = []
-    for i, dim in enumerate(dim_ids):
-        cat = F.element_at(F.col("_doc")["dimension"], F.lit(dim))["category"]
-        labelled += [F.col(f"_c{i}").alias(f"{i}_code"),
-                     F.try_element_at(cat["label"], F.col(f"_c{i}")).alias(f"{i}_label")]
-    unit_cat = F.element_at(F.col("_doc")["dimension"], F.lit(dim_ids[0]))["category"]
-    unit = F.try_element_at(unit_cat["unit"], F.col("_c0"))["label"]
-    return base.select(*keep, *labelled, unit.alias("Unit"), "Value",
-                       F.col("_doc")["updated"].alias("updated"))
+    cats = [F.element_at(d["dimension"], F.lit(dim))["category"] for dim in dim_ids]
+
+    def labels(cat: Column) -> Column:
+        return F.transform(cat["index"], lambda c: F.try_element_at(cat["label"], c))
+
+    parts = [p for i, cat in enumerate(cats)
+             for p in (cat["index"].alias(f"codes{i}"), labels(cat).alias(f"labels{i}"))]
+    units = F.transform(cats[0]["index"],
+                        lambda c: F.try_element_at(cats[0]["unit"], c)["label"])
+    head = F.struct(*parts, units.alias("units"), d["size"].alias("sizes"),
+                    d["value"].alias("values"))
+
+    def cells(h: Column) -> Column:
+        size = [F.element_at(h["sizes"], i + 1).cast("bigint") for i in range(n)]
+
+        def cell(value: Column, pos: Column) -> Column:
+            at = []
+            for i in range(n):
+                stride = reduce(lambda a, b: a * b, size[i + 1:], F.lit(1).cast("bigint"))
+                at.append((F.pmod(F.call_function("div", pos, stride), size[i]) + 1).cast("int"))
+            named = [F.element_at(h[f"{kind}s{i}"], at[i]).alias(f"{i}_{kind}")
+                     for i in range(n) for kind in ("code", "label")]
+            return F.struct(*named, F.element_at(h["units"], at[0]).alias("Unit"),
+                            value.alias("Value"))
+
+        return F.transform(h["values"], cell)
+
+    # a one-element array binds ``head``, so that it is computed once per document
+    grid = F.element_at(F.transform(F.array(head), cells), 1)
+    return (docs.select(*keep, d["updated"].alias("_updated"), F.inline(grid))
+            .withColumnRenamed("_updated", "updated"))
 
 
 # --- JS5 ---------------------------------------------------------------------------------------

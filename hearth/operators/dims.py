@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hearth.functions.cleaning import NOT_RECORDED
 from hearth.functions.dates import date_key, month_name
 from hearth.operators.aggregates import first_per_key
-from hearth.operators.keys import sequential_keys, with_unknown_member
+from hearth.operators.keys import sequential_keys, stable_keys, with_unknown_member
 
 # Calendar range of the date dimension
 CALENDAR_START = "2010-01-01"
@@ -49,13 +49,17 @@ def dim_date(spark: SparkSession, start: str = CALENDAR_START,
 
 
 def dim_from_values(df: DataFrame, value_col: str, key: str,
-                    name: str | None = None, unknown: str | None = NOT_RECORDED
-                    ) -> DataFrame:
+                    name: str | None = None, unknown: str | None = NOT_RECORDED,
+                    existing: DataFrame | None = None) -> DataFrame:
     """DM1-DM3: distinct non-NULL values numbered in value order, plus an
-    optional key-0 unknown member (S5)."""
+    optional key-0 unknown member (S5).  With ``existing``, the dimension as
+    stored, its members keep their keys and new values are numbered after
+    them (S6); its unknown member is left as it is."""
     name = name or value_col
     members = (df.select(F.col(value_col).alias(name))
                .filter(F.col(name).isNotNull()).distinct())
+    if existing is not None:
+        return stable_keys(existing, members, key, [name])
     dim = sequential_keys(members, [name], key=key).select(key, name)
     if unknown is not None:
         dim = with_unknown_member(dim, {key: 0, name: unknown})

@@ -37,8 +37,8 @@ VACANCY = {
                                          F.sum("DwellingStock").cast("double")),
 }
 
-# M11-M17: planning.  Granted / Refused ignore an outcome filter (S10): the
-# caller evaluates them on the frame *before* any outcome filter.
+# M11-M17: planning.  Granted / Refused override an outcome filter (S10):
+# ``by_outcome`` evaluates them where the outcome is one of the groups.
 def _granted() -> Column:
     return F.col("DecisionOutcome") == "Granted"
 
@@ -82,6 +82,23 @@ def evaluate(df: DataFrame, names: Sequence[str], by: Sequence[str] = (),
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
+def by_outcome(star: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """M11-M14 grouped by ``by`` and DecisionOutcome.  Granted, refused and the
+    grant rate replace the outcome filter, so every outcome of a group shows
+    the group's overall figures.  The window runs over the grouped rows, one
+    per outcome."""
+    per = star.groupBy(*by, "DecisionOutcome").agg(
+        F.sum("ApplicationCount").alias("TotalPlanningApplications"))
+    w = Window.partitionBy(*by)
+    granted = F.sum(F.when(_granted(), F.col("TotalPlanningApplications"))).over(w)
+    refused = F.sum(F.when(_refused(), F.col("TotalPlanningApplications"))).over(w)
+    return per.select(*by, "DecisionOutcome", "TotalPlanningApplications",
+                      granted.alias("GrantedApplications"), refused.alias("RefusedApplications"),
+                      F.try_divide(granted.cast("double"),
+                                   (F.coalesce(granted, F.lit(0)) + F.coalesce(refused, F.lit(0)))
+                                   .cast("double")).alias("PlanningGrantRate"))
+
+
 def exact_median(df: DataFrame, col: str, out: str = "Median",
                  by: Sequence[str] = ()) -> DataFrame:
     """Exact median of a column (per group of ``by``) without a one-task

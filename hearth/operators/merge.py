@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from hearth.functions.dates import seconds_between
 from hearth.operators.aggregates import duplicate_keys
 from hearth.operators.keys import latest_per_key
+from hearth.session import materialize
 
 
 def _keys(key) -> list[str]:
@@ -51,7 +52,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str] | str,
         if duplicate_keys(src.filter(_all_not_null(keys)), keys).limit(1).count():
             raise ValueError("duplicate source keys in merge source")
     elif ts is not None:
-        src = latest_per_key(src, keys, ts)
+        # read twice below (keys and rows), so it is made once
+        src = materialize(latest_per_key(src, keys, ts), "merge_source")
     if keep_newer_target:
         if ts is None:
             raise ValueError("keep_newer_target needs ts")

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.predicates import invalid_coordinates as _invalid_coords
-from hearth.operators.aggregates import duplicate_key_summary
 
 
 def _long(d: DataFrame, names: Sequence[str], name_col="Check", value_col="Value") -> DataFrame:
@@ -22,6 +21,10 @@ def _long(d: DataFrame, names: Sequence[str], name_col="Check", value_col="Value
     return d.selectExpr(f"stack({len(names)}, {pairs}) as ({name_col}, {value_col})")
 
 
+def _total(c: str) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0))
+
+
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """DQ1: NULL count per column, one row per column."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
@@ -101,24 +104,22 @@ def missing_dimension_keys(fact: DataFrame,
 
 def profile(df: DataFrame, keys: Sequence[str], mandatory: Sequence[str]) -> DataFrame:
     """DQ9: rows, duplicate keys and NULLs per mandatory column, as rows
-    (Metric, Value)."""
-    base = df.agg(F.count(F.lit(1)).alias("RowCount"),
-                  *[F.count_if(F.col(c).isNull()).alias(f"Null {c}") for c in mandatory])
-    names = ["RowCount", *[f"Null {c}" for c in mandatory]]
-    rows = _long(base, names, "Metric", "Value")
-    dup = duplicate_key_summary(df, keys).select(
-        F.lit("DuplicateKeys").alias("Metric"), F.col("DuplicateKeyCount").alias("Value"))
-    return rows.unionByName(dup)
+    (Metric, Value).  One pass: counts per key, then their sums."""
+    nulls = [f"Null {c}" for c in mandatory]
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(n) for n, c in zip(nulls, mandatory)])
+    total = per_key.agg(_total("_n").alias("RowCount"), *[_total(n).alias(n) for n in nulls],
+                        F.count_if(F.col("_n") > 1).alias("DuplicateKeys"))
+    return _long(total, ["RowCount", *nulls, "DuplicateKeys"], "Metric", "Value")
 
 
 def fact_checks(fact: DataFrame, key: str, county_key: str = "CountyKey") -> DataFrame:
-    """DQ10: rows, rows without a county key, duplicated fact keys."""
-    base = fact.agg(F.count(F.lit(1)).alias("RowCount"),
-                    F.count_if(F.col(county_key).isNull()).alias("MissingCountyKeys"))
-    dup = duplicate_key_summary(fact, [key]).select("DuplicateKeyCount")
-    return base.unionByName(dup, allowMissingColumns=True).agg(
-        F.max("RowCount").alias("RowCount"), F.max("MissingCountyKeys").alias("MissingCountyKeys"),
-        F.max("DuplicateKeyCount").alias("DuplicateFactKeys"))
+    """DQ10: rows, rows without a county key, duplicated fact keys, in one pass."""
+    per_key = fact.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col(county_key).isNull()).alias("_missing"))
+    return per_key.agg(_total("_n").alias("RowCount"), _total("_missing").alias("MissingCountyKeys"),
+                       F.count_if(F.col("_n") > 1).alias("DuplicateFactKeys"))
 
 
 def schema_report(df: DataFrame) -> DataFrame:

@@ -19,12 +19,14 @@ from hearth.operators import measures as M
 from hearth.operators import merge as mg
 from hearth.operators import quality as dq
 from hearth.operators.dims import dim_date
-from hearth.operators.joins import missing_members
+from hearth.operators.joins import missing_members, star_join
 from hearth.plans import planning as pl
 from hearth.plans import reports as rq
 from hearth.plans import sales as sl
 from hearth.plans import vacancy as vc
+from hearth.sources import sinks
 from hearth.sources import standins as st
+from hearth.sources.readers import inline_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +37,9 @@ YEAR_CHOICES = (2010, 2014)
 MERGE_CUT = "1998-01-01 00:00:00"
 WINDOW_LAST = "1997-01-01 00:00:00"
 CHANGED_PRIORITY = "1-URGENT"
+EARLIER_RUN_DATE = "2024-06-29"
+SHORT_CALENDAR = "2012-01-01"
+REMOVED_MEMBERS = {"dim_planning_authority": 3, "dim_decision_type": 0}
 
 
 # --- model builders (lazy; each query builds only what it reads) ----------------------------
@@ -50,7 +55,7 @@ def _planning(spark, sf, shift=0) -> pl.PlanningModel:
     return pl.PlanningModel(spark, sf, shift_months=shift)
 
 
-FACT_SALES_COLS = ("DateKey", "CountyKey", "PropertyTypeKey", "SaleTypeKey", "Address",
+FACT_SALES_COLS = ("PropertySaleOrdinal", "DateKey", "CountyKey", "PropertyTypeKey", "SaleTypeKey", "Address",
                    "Eircode", "SalePrice", "IsFullMarketPrice", "LoadTimestamp")
 
 
@@ -100,8 +105,9 @@ def q_distinct_values(spark, sf):
 
 def q_table_totals(spark, sf):
     m = _sales(spark, sf)
-    return ag.table_totals({"silver_sales": m.silver, "gold_sales": m.gold,
-                            "fact_property_sales": m.fact}, ts_col="LoadTimestamp")
+    fact = m.fact                                    # stores the silver layer
+    return ag.table_totals({"silver_sales": m.stored_silver, "gold_sales": m.stored_gold,
+                            "fact_property_sales": fact}, ts_col="LoadTimestamp")
 
 
 def q_dim_county(spark, sf):
@@ -137,26 +143,26 @@ def q_fact_market_metrics(spark, sf):
 
 
 def q_star_sales_by_county_year(spark, sf):
-    m = _sales(spark, sf)
-    from hearth.operators.joins import star_join
-    s = star_join(m.fact, [(m.dim_county, "CountyKey", "CountyKey"),
-                           (m.dim_date, "DateKey", "DateKey")], bounded=[False, True])
+    fact, dims = _sales(spark, sf).star(["dim_county", "dim_date"])
+    s = star_join(fact, [(dims["dim_county"], "CountyKey", "CountyKey"),
+                         (dims["dim_date"], "DateKey", "DateKey")], bounded=[False, True])
     return s.groupBy("CountyName", "Year").agg(
         F.count(F.lit(1)).alias("SalesCount"), F.sum("SalePrice").alias("TotalSales"))
 
 
 def q_kpi_sales(spark, sf):
-    return rq.kpi_sales(_sales(spark, sf).fact)
+    """The fact keeps every gold row, so the cards need no dimension."""
+    return rq.kpi_sales(_sales(spark, sf).star([], ["SalePrice", "LoadTimestamp"])[0])
 
 
 def q_price_by_county(spark, sf):
-    m = _sales(spark, sf)
-    return rq.price_by_county(m.fact, m.dim_county)
+    fact, dims = _sales(spark, sf).star(["dim_county"])
+    return rq.price_by_county(fact, dims["dim_county"])
 
 
 def q_price_by_year(spark, sf):
-    m = _sales(spark, sf)
-    return rq.price_by_year(m.fact, m.dim_date)
+    fact, dims = _sales(spark, sf).star(["dim_date"])
+    return rq.price_by_year(fact, dims["dim_date"])
 
 
 def q_slicer_values(spark, sf):
@@ -299,38 +305,44 @@ def q_one_off_house(spark, sf):
 
 
 def q_dim_decision_type(spark, sf):
-    return pl.dim_decision_type(_planning(spark, sf).gold)
+    return pl.planning_dimension(_planning(spark, sf).gold, "dim_decision_type")
 
 
 def q_dim_status(spark, sf):
-    return pl.dim_application_status(_planning(spark, sf).gold)
+    return pl.planning_dimension(_planning(spark, sf).gold, "dim_application_status")
 
 
 def q_dim_authority(spark, sf):
-    return pl.dim_planning_authority(_planning(spark, sf).gold)
+    return pl.planning_dimension(_planning(spark, sf).gold, "dim_planning_authority")
 
 
 def q_dim_app_type(spark, sf):
-    return pl.dim_application_type(_planning(spark, sf).gold)
+    return pl.planning_dimension(_planning(spark, sf).gold, "dim_application_type")
 
 
 def q_dim_land_use(spark, sf):
-    return pl.dim_land_use_type(_planning(spark, sf).gold)
+    return pl.planning_dimension(_planning(spark, sf).gold, "dim_land_use_type")
 
 
 def q_missing_keys(spark, sf):
-    p = _planning(spark, sf)
-    dims = pl.planning_dimensions(p.stored_gold)        # five dimensions, one pass
-    return dq.missing_dimension_keys(p.fact, [
+    """Two members are taken out of their dimensions, and the calendar starts
+    after the first applications, so that there are keys to miss."""
+    keys = [key for _, key, _, _ in pl.DIMENSIONS.values()]
+    fact, source = _planning(spark, sf, st.DATE_SHIFT_MONTHS).star([*keys, "DateKey"],
+                                                                   list(pl.DIMENSIONS))
+    dims = pl.planning_dimensions(source)                    # five dimensions, one pass
+    for name, member in REMOVED_MEMBERS.items():
+        dims[name] = dims[name].where(F.col(pl.DIMENSIONS[name][1]) != member)
+    return dq.missing_dimension_keys(fact, [
         *[(name, dims[name], key, key) for name, (_, key, _, _) in pl.DIMENSIONS.items()],
-        ("dim_date", dim_date(spark), "DateKey", "DateKey"),
+        ("dim_date", dim_date(spark, start=SHORT_CALENDAR), "DateKey", "DateKey"),
     ])
 
 
 def q_missing_dates(spark, sf):
-    p = _planning(spark, sf)
-    return missing_members(p.fact, dim_date(spark), "DateKey", "DateKey",
-                           ["DateKey", "ReceivedDate"])
+    p = _planning(spark, sf, st.DATE_SHIFT_MONTHS)
+    return missing_members(p.fact, dim_date(spark, start=SHORT_CALENDAR), "DateKey", "DateKey",
+                           ["DateKey", "ReceivedDate"]).orderBy("DateKey")
 
 
 def q_lookup_quality(spark, sf):
@@ -357,37 +369,66 @@ def q_profile(spark, sf):
                        "ApplicationStatusID", "DecisionTypeID"])
 
 
-def _planning_star(spark, sf):
-    p = _planning(spark, sf, shift=st.DATE_SHIFT_MONTHS)
-    return p, p.fact, pl.dim_decision_type(p.gold)
+def _planning_star(spark, sf, columns, dims=("dim_decision_type",)):
+    fact, source = _planning(spark, sf, shift=st.DATE_SHIFT_MONTHS).star(columns, dims)
+    return fact, *[pl.planning_dimension(source, n) for n in dims]
 
 
 def q_kpi_planning(spark, sf):
-    p, fact, dec = _planning_star(spark, sf)
-    return rq.kpi_planning(fact, dec, _sales_stamp_source(spark, sf))
+    fact, decisions = _planning_star(spark, sf, ["DecisionTypeKey", "ApplicationCount"])
+    return rq.kpi_planning(fact, decisions, _sales_stamp_source(spark, sf))
 
 
 def q_applications_by_year(spark, sf):
-    p, fact, dec = _planning_star(spark, sf)
-    return rq.applications_by_year(fact, dim_date(spark))
+    return rq.applications_by_year(_planning(spark, sf, st.DATE_SHIFT_MONTHS).fact,
+                                   dim_date(spark))
 
 
 def q_application_points(spark, sf):
-    p, fact, dec = _planning_star(spark, sf)
-    return rq.application_points(fact, dec, pl.dim_planning_authority(p.gold))
+    fact, decisions, authorities = _planning_star(
+        spark, sf, ["DecisionTypeKey", "PlanningAuthorityKey", "Longitude", "Latitude",
+                    "ApplicationNumber", "ReceivedDate", "DevelopmentAddress", "ApplicationCount"],
+        ("dim_decision_type", "dim_planning_authority"))
+    return rq.application_points(fact, decisions, authorities)
 
 
 def q_year_choices(spark, sf):
-    p, fact, dec = _planning_star(spark, sf)
-    from hearth.operators.joins import star_join
-    s = star_join(fact, [(dim_date(spark), "DateKey", "DateKey")], bounded=[True])
+    s = star_join(_planning(spark, sf, st.DATE_SHIFT_MONTHS).fact,
+                  [(dim_date(spark), "DateKey", "DateKey")], bounded=[True])
     return rq.year_choices(s, *YEAR_CHOICES)
 
 
 def q_implicit_measures(spark, sf):
-    p, fact, dec = _planning_star(spark, sf)
-    return M.implicit_measures(fact, ["ApplicationCount", "NumResidentialUnits",
-                                      "AreaOfSite", "FloorArea", "PlanningApplicationKey"])
+    return M.implicit_measures(_planning(spark, sf, st.DATE_SHIFT_MONTHS).fact, [
+        "ApplicationCount", "NumResidentialUnits", "AreaOfSite", "FloorArea",
+        "PlanningApplicationKey"])
+
+
+def q_granted_by_outcome(spark, sf):
+    """M12-M14 where the outcome is a group: their own outcome wins."""
+    fact, decisions = _planning_star(spark, sf, ["DecisionTypeKey", "DateKey", "ApplicationCount"])
+    s = star_join(fact, [(decisions, "DecisionTypeKey", "DecisionTypeKey"),
+                         (dim_date(spark), "DateKey", "DateKey")], bounded=[False, True])
+    return M.by_outcome(s, ["Year"])
+
+
+def q_incremental_planning(spark, sf):
+    """MG2-MG5 as one run.  The target holds the applications up to the last
+    watermark, and an older version of every seventh newer one."""
+    last = F.lit(WINDOW_LAST).cast("timestamp_ntz")
+    x = st.planning_extracts(spark, sf)
+    app = x["PlanningApplication"]
+    old = app.where(F.col("RecordLastUpdatedAt") <= last).unionByName(
+        app.where((F.col("RecordLastUpdatedAt") > last) & (F.col("SourceObjectID") % 7 == 0))
+        .withColumns({"AreaOfSite": (F.col("AreaOfSite") + 1).cast("decimal(18,4)"),
+                      "RecordLastUpdatedAt": last}))
+    target = pl.silver_planning(pl.join_extracts({**x, "PlanningApplication": old}),
+                                EARLIER_RUN_DATE, st.RUN_TS)
+    merged, marks = pl.incremental_load(x, target, _watermark_table(spark), "orders",
+                                        st.RUN_DATE, st.RUN_TS)
+    mark = marks.where(F.col("DatasetName") == "orders").first()["LastWatermarkValue"]
+    return merged.select("SourceObjectID", "AreaOfSite", "SQLRecordLastUpdatedAt", "LoadDate",
+                         mg.wall_clock_literal(mark).alias("Watermark"))
 
 
 # --- operations -----------------------------------------------------------------------------------
@@ -567,9 +608,8 @@ def q_unmatched_reference(spark, sf):
 
 def q_sales_measures(spark, sf):
     """M1-M6 under a county filter context."""
-    m = _sales(spark, sf)
-    from hearth.operators.joins import star_join
-    s = star_join(m.fact, [(m.dim_county, "CountyKey", "CountyKey")])
+    fact, dims = _sales(spark, sf).star(["dim_county"])
+    s = star_join(fact, [(dims["dim_county"], "CountyKey", "CountyKey")])
     return M.evaluate(s, ["Total Sales", "Sales Count", "Average Sale Price",
                           "Highest Sale Price", "Lowest Sale Price"], by=["CountyName"])
 
@@ -577,17 +617,17 @@ def q_sales_measures(spark, sf):
 def q_median_by_county(spark, sf):
     """M4 under a county filter context: exact median per county, ranked in
     a distributed way (a county with a third of all sales still spreads)."""
-    m = _sales(spark, sf)
-    from hearth.operators.joins import star_join
-    s = star_join(m.fact, [(m.dim_county, "CountyKey", "CountyKey")])
+    fact, dims = _sales(spark, sf).star(["dim_county"])
+    s = star_join(fact, [(dims["dim_county"], "CountyKey", "CountyKey")])
     return M.exact_median(s, "SalePrice", "MedianSalePrice", by=["CountyName"])
 
 
 def q_planning_measures(spark, sf):
     """M11-M17 by calendar year over the planning star."""
-    p, fact, dec = _planning_star(spark, sf)
-    from hearth.operators.joins import star_join
-    s = star_join(fact, [(dec, "DecisionTypeKey", "DecisionTypeKey"),
+    fact, decisions = _planning_star(spark, sf, [
+        "DecisionTypeKey", "DateKey", "ApplicationCount", "OneOffHouseFlag",
+        "NumResidentialUnits", "LoadDate"])
+    s = star_join(fact, [(decisions, "DecisionTypeKey", "DecisionTypeKey"),
                          (dim_date(spark), "DateKey", "DateKey")], bounded=[False, True])
     return M.evaluate(s, ["Total Planning Applications", "Granted Applications",
                           "Refused Applications", "Planning Grant Rate",
@@ -609,6 +649,95 @@ def q_audit_columns(spark, sf):
                           .alias("DevelopmentDescription"))
 
 
+# --- row identity, stable keys, warehouse tables ----------------------------------------------------
+def q_sale_row_key(spark, sf):
+    """S7: (PropertySaleKey, PropertySaleOrdinal) names one row."""
+    per = _sales(spark, sf).fact.groupBy("PropertySaleKey", "PropertySaleOrdinal").agg(
+        F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("n").alias("RowCount"), F.count(F.lit(1)).alias("DistinctKeys"),
+                   F.count_if(F.col("PropertySaleOrdinal") > 1).alias("RepeatedSales"))
+
+
+def q_stable_county_keys(spark, sf):
+    """S6: a first load that knew only some counties, then the whole data."""
+    m = _sales(spark, sf)
+    first = sl.dim_county(m.gold.where(F.length("County") % 2 == 0))
+    return sl.dim_county(m.gold, existing=first)
+
+
+def q_largest_sales(spark, sf):
+    """SO3: the twenty largest sales."""
+    rest = ["Address", "SaleDate", "Eircode", "PropertyType", "PropertySizeCategory", "SaleType",
+            "IsFullMarketPrice"]
+    return (_sales(spark, sf).gold.select("SalePrice", *rest)
+            .orderBy(F.desc_nulls_last("SalePrice"), *rest).limit(20))
+
+
+def q_county_from_default_map(spark, sf):
+    """PR16 with the default map: the first nations stand for the authorities
+    that the map names, the others for ordinary county councils."""
+    from hearth.functions import cleaning as fc
+    named = inline_rows(spark, list(enumerate(fc.AUTHORITY_COUNTY)), "n_nationkey INT, name STRING")
+    authority = st.table(spark, sf, "nation").join(named, "n_nationkey", "left").select(
+        "n_nationkey", F.coalesce("name", F.concat("n_name", F.lit(" County Council")))
+        .alias("LocalAuthority"))
+    c = st.table(spark, sf, "customer").select("c_nationkey", "c_acctbal")
+    return (c.join(authority, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .groupBy("LocalAuthority").agg(F.count(F.lit(1)).alias("Dwellings"))
+            .withColumn("County", fc.local_authority_to_county("LocalAuthority")))
+
+
+def q_snapshot_merge(spark, sf):
+    """MG2 + SK2 + SK6: the first load creates the table, the second merges into
+    it, a third replaces its rows under the same schema and is counted."""
+    from hearth.session import fresh_subdir
+    target, source = merge_inputs(spark, sf)
+    store = mg.SnapshotStore(spark, fresh_subdir(spark, "snapshots"))
+    store.create_or_merge(target, "orders", "o_orderkey")
+    store.create_or_merge(source, "orders", "o_orderkey", ts="UpdatedAt")
+    merged = store.read("orders")
+    version = store.overwrite(merged, "orders", keep_schema=True)
+    if not store.readback_check("orders", merged.count()):
+        raise RuntimeError("the stored table lost rows")
+    return store.read("orders").withColumn("Version", F.lit(version))
+
+
+def _warehouse(spark, df, table, columns) -> DataFrame:
+    from hearth.session import fresh_subdir
+    from hearth.sources.sinks import replace_warehouse_table
+    store = mg.SnapshotStore(spark, fresh_subdir(spark, "warehouse"))
+    return replace_warehouse_table(store, df, table, columns)
+
+
+def q_warehouse_dim_county(spark, sf):
+    return _warehouse(spark, _sales(spark, sf).dim_county, "dim_county", sinks.DIM_COUNTY)
+
+
+def q_warehouse_dim_property_type(spark, sf):
+    return _warehouse(spark, _sales(spark, sf).dim_property_type, "dim_property_type",
+                      sinks.DIM_PROPERTY_TYPE)
+
+
+def q_warehouse_dim_sale_type(spark, sf):
+    return _warehouse(spark, _sales(spark, sf).dim_sale_type, "dim_sale_type", sinks.DIM_SALE_TYPE)
+
+
+def q_warehouse_dim_date(spark, sf):
+    """The calendar days on which something was sold."""
+    days = _sales(spark, sf).gold.select(F.col("SaleDate").alias("FullDate")).distinct()
+    return _warehouse(spark, dim_date(spark).join(days, "FullDate", "left_semi"), "dim_date",
+                      sinks.DIM_DATE)
+
+
+def q_warehouse_dim_quarter(spark, sf):
+    return _warehouse(spark, _vacancy(spark, sf).dim_quarter(), "dim_quarter", sinks.DIM_QUARTER)
+
+
+def q_warehouse_fact_vacancy(spark, sf):
+    return _warehouse(spark, _vacancy_star(spark, sf, stored=False)[2], "fact_housing_vacancy",
+                      sinks.FACT_HOUSING_VACANCY)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

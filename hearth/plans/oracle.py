@@ -40,8 +40,9 @@ RUN_DATE = f"DATE '{st.RUN_DATE}'"
 # ---------------------------------------------------------------------------------------------
 SILVER_SALES = f"""
 silver_sales AS (
-  SELECT *, {RUN_TS} AS LoadTimestamp, 'PPR' AS SourceSystem FROM (
+  SELECT * EXCLUDE (language), {RUN_TS} AS LoadTimestamp, 'PPR' AS SourceSystem FROM (
     SELECT DISTINCT
+      v.copy = 2 AND l.l_orderkey % 100 = 0 AND p.p_type = 'PROMO' AS language,
       CASE WHEN l.l_orderkey % 83 <> 0
            THEN CAST(o.o_orderdate + INTERVAL 15 YEAR AS DATE) END AS SaleDate,
       c.c_name AS Address,
@@ -58,6 +59,7 @@ silver_sales AS (
            WHEN p.p_size < 30 THEN {_q(st.SIZE_MEDIUM)}
            ELSE {_q(st.SIZE_LARGE)} END AS PropertySizeCategory
     FROM lineitem l
+    JOIN (VALUES (1), (2)) v(copy) ON v.copy = 1 OR l.l_orderkey % 50 = 0
     LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
     LEFT JOIN customer c ON o.o_custkey = c.c_custkey
     LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -99,7 +101,7 @@ fact_sales AS (
          COALESCE(t.PropertyTypeKey, 0) AS PropertyTypeKey,
          COALESCE(s.SaleTypeKey, 0) AS SaleTypeKey,
          g.Address, g.Eircode, g.SalePrice, g.IsFullMarketPrice, g.LoadTimestamp,
-         g.SaleDate, g.County, g.PropertyType, g.SaleType
+         g.SaleDate, g.County, g.PropertyType, g.SaleType, g.PropertySizeCategory
   FROM gold_sales g
   LEFT JOIN dim_date d ON g.SaleDate = d.FullDate
   LEFT JOIN dim_county c ON g.County = c.CountyName
@@ -149,7 +151,10 @@ per_day AS (SELECT SaleDate, COUNT(*) AS SalesCount FROM gold_sales GROUP BY Sal
 SELECT d.*, COALESCE(p.SalesCount, 0) AS SalesCount
 FROM dim_date d LEFT JOIN per_day p ON d.FullDate = p.SaleDate"""
 SQL["fact_sales"] = f"""WITH {STAR_SALES}
-SELECT DateKey, CountyKey, PropertyTypeKey, SaleTypeKey, Address, Eircode, SalePrice,
+SELECT CAST(row_number() OVER (PARTITION BY SaleDate, Address, County, Eircode, SalePrice,
+                               IsFullMarketPrice, PropertyType, PropertySizeCategory, SaleType)
+            AS INTEGER) AS PropertySaleOrdinal,
+       DateKey, CountyKey, PropertyTypeKey, SaleTypeKey, Address, Eircode, SalePrice,
        IsFullMarketPrice, LoadTimestamp FROM fact_sales"""
 SQL["fact_market_metrics"] = f"""WITH {STAR_SALES}
 SELECT DateKey, CountyKey, COUNT(*) AS SalesCount,
@@ -402,7 +407,8 @@ lk_status AS (
   FROM orders WHERE o_orderstatus IN ('F', 'O')
 ),
 lk_decision(DecisionTypeID, DecisionTypeName) AS (VALUES {DECISION_VALUES}),
-lk_land_use AS (SELECT LandUseTypeID, c_mktsegment AS LandUseTypeName FROM segments),
+lk_land_use AS (SELECT LandUseTypeID, c_mktsegment AS LandUseTypeName FROM segments
+                WHERE c_mktsegment <> 'MACHINERY'),
 joined AS (
   SELECT a.LandUseTypeID, a.DecisionTypeID, a.ApplicationStatusID, a.ApplicationTypeID,
          a.PlanningAuthorityID, a.SourceObjectID, a.ApplicationNumber, a.DevelopmentDescription,
@@ -523,17 +529,18 @@ def _missing(name: str, dim: str, fk: str, dk: str) -> str:
   WHERE f.k IS NULL OR NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{dk} = f.k)"""
 
 
-SQL["missing_keys"] = f"WITH {PLAN}, {DIM_DATE}\n" + "\nUNION ALL\n".join([
-    _missing("dim_planning_authority", "dim_authority", "PlanningAuthorityKey", "PlanningAuthorityKey"),
+SQL["missing_keys"] = f"WITH {PLAN_STAR}, {DIM_DATE}\n" + "\nUNION ALL\n".join([
+    _missing("dim_planning_authority",
+             "(SELECT * FROM dim_authority WHERE PlanningAuthorityKey <> 3)", "PlanningAuthorityKey", "PlanningAuthorityKey"),
     _missing("dim_application_type", "dim_app_type", "ApplicationTypeKey", "ApplicationTypeKey"),
     _missing("dim_application_status", "dim_status", "ApplicationStatusKey", "ApplicationStatusKey"),
-    _missing("dim_decision_type", "dim_decision", "DecisionTypeKey", "DecisionTypeKey"),
+    _missing("dim_decision_type", "(SELECT * FROM dim_decision WHERE DecisionTypeKey <> 0)", "DecisionTypeKey", "DecisionTypeKey"),
     _missing("dim_land_use_type", "dim_land_use", "LandUseTypeKey", "LandUseTypeKey"),
-    _missing("dim_date", "dim_date", "DateKey", "DateKey"),
+    _missing("dim_date", "(SELECT * FROM dim_date WHERE Year >= 2012)", "DateKey", "DateKey"),
 ])
-SQL["missing_dates"] = f"""WITH {PLAN}, {DIM_DATE}
+SQL["missing_dates"] = f"""WITH {PLAN_STAR}, {DIM_DATE}
 SELECT DISTINCT DateKey, ReceivedDate FROM fact_planning f
-WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.DateKey = f.DateKey)"""
+WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.DateKey = f.DateKey AND d.Year >= 2012)"""
 SQL["lookup_quality"] = f"""WITH {PLAN}
 SELECT 'ApplicationStatus' AS Lookup,
        COUNT(*) FILTER (WHERE ApplicationStatusID IS NULL) AS NullSourceIds,
@@ -712,7 +719,9 @@ FROM wm w LEFT JOIN probes p ON w.DatasetName = p.DatasetName"""
 # sources / sinks: the frame read back equals the frame written
 # ---------------------------------------------------------------------------------------------
 SQL["layer_roundtrip"] = SQL["gold_sales"]
-SQL["staging_load"] = SQL["fact_sales"] + " WHERE SalePrice IS NOT NULL"
+SQL["staging_load"] = f"""WITH {STAR_SALES}
+SELECT DateKey, CountyKey, PropertyTypeKey, SaleTypeKey, Address, Eircode, SalePrice,
+       IsFullMarketPrice, LoadTimestamp FROM fact_sales WHERE SalePrice IS NOT NULL"""
 SQL["extract_roundtrip"] = f"""
 SELECT CASE WHEN l.l_orderkey % 83 <> 0 THEN strftime(o.o_orderdate + INTERVAL 15 YEAR, '%d/%m/%Y') END
        AS "Date of Sale (dd/mm/yyyy)",
@@ -721,13 +730,16 @@ SELECT CASE WHEN l.l_orderkey % 83 <> 0 THEN strftime(o.o_orderdate + INTERVAL 1
             THEN '€' || format('{{:,.2f}}', CAST(l.l_extendedprice AS DECIMAL(18,2))) END AS "Price (€)",
        CASE WHEN l.l_returnflag = 'R' THEN 'Yes' ELSE 'No' END AS "Not Full Market Price",
        CASE WHEN l.l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS "VAT Exclusive",
-       CASE WHEN p.p_type = 'PROMO' THEN {_q(st.SECOND_HAND_IRISH)}
+       CASE WHEN p.p_type = 'PROMO' AND l.copy = 2 AND l.l_orderkey % 100 = 0
+            THEN {_q(fc.SECOND_HAND_LABEL)}
+            WHEN p.p_type = 'PROMO' THEN {_q(st.SECOND_HAND_IRISH)}
             WHEN p.p_type = 'SMALL' THEN {_q(st.NEW_IRISH)}
             ELSE p.p_type END AS "Description of Property",
        CASE WHEN p.p_size < 10 THEN {_q(st.SIZE_SMALL)}
             WHEN p.p_size < 30 THEN {_q(st.SIZE_MEDIUM)}
             ELSE {_q(st.SIZE_LARGE)} END AS "Property Size Description"
-FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 50 = 0) l
+FROM (SELECT *, 1 AS copy FROM lineitem
+      UNION ALL SELECT *, 2 FROM lineitem WHERE l_orderkey % 50 = 0) l
 LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -775,3 +787,65 @@ FROM app"""
 SQL["median_by_county"] = f"""WITH {STAR_SALES}
 SELECT c.CountyName, median(CAST(f.SalePrice AS DOUBLE)) AS MedianSalePrice
 FROM fact_sales f LEFT JOIN dim_county c ON f.CountyKey = c.CountyKey GROUP BY c.CountyName"""
+
+# ---------------------------------------------------------------------------------------------
+# row identity, stable keys, outcome override, warehouse tables
+# ---------------------------------------------------------------------------------------------
+SQL["sale_row_key"] = f"""WITH {GOLD_SALES}
+SELECT COUNT(*) AS RowCount, COUNT(*) AS DistinctKeys,
+       COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM gold_sales)) AS RepeatedSales
+FROM gold_sales"""
+SQL["stable_county_keys"] = f"""WITH {GOLD_SALES},
+counties AS (SELECT DISTINCT County AS v FROM gold_sales WHERE County IS NOT NULL),
+known AS (SELECT row_number() OVER (ORDER BY v) AS k, v FROM counties WHERE length(v) % 2 = 0)
+SELECT 0 AS CountyKey, 'Not recorded' AS CountyName
+UNION ALL SELECT CAST(k AS INTEGER), v FROM known
+UNION ALL SELECT CAST((SELECT MAX(k) FROM known) + row_number() OVER (ORDER BY v) AS INTEGER), v
+FROM counties WHERE length(v) % 2 = 1"""
+SQL["largest_sales"] = f"""WITH {GOLD_SALES}
+SELECT SalePrice, Address, SaleDate, Eircode, PropertyType, PropertySizeCategory, SaleType,
+       IsFullMarketPrice
+FROM gold_sales
+ORDER BY SalePrice DESC NULLS LAST, Address NULLS FIRST, SaleDate NULLS FIRST, Eircode NULLS FIRST,
+         PropertyType NULLS FIRST, PropertySizeCategory NULLS FIRST, SaleType NULLS FIRST,
+         IsFullMarketPrice NULLS FIRST
+LIMIT 20"""
+SQL["county_from_default_map"] = """
+WITH named(k, name, county) AS (VALUES
+  (0, 'Dublin City Council', 'Dublin'), (1, 'Dún Laoghaire Rathdown County Council', 'Dublin'),
+  (2, 'Fingal County Council', 'Dublin'), (3, 'South Dublin County Council', 'Dublin'),
+  (4, 'Cork City Council', 'Cork'), (5, 'Cork County Council', 'Cork'),
+  (6, 'Galway City Council', 'Galway'), (7, 'Galway County Council', 'Galway'),
+  (8, 'Limerick City & County Council', 'Limerick'),
+  (9, 'Waterford City & County Council', 'Waterford'))
+SELECT COALESCE(m.name, n.n_name || ' County Council') AS LocalAuthority, COUNT(*) AS Dwellings,
+       COALESCE(m.county, n.n_name) AS County
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN named m ON n.n_nationkey = m.k
+GROUP BY 1, 3"""
+SQL["snapshot_merge"] = f"SELECT *, 3 AS Version FROM ({SQL['merge_upsert']}) x"
+SQL["granted_by_outcome"] = f"""WITH {PLAN_STAR}, {DIM_DATE}, per AS (
+  SELECT dd.Year, d.DecisionOutcome, SUM(f.ApplicationCount) AS n FROM fact_planning f
+  LEFT JOIN dim_decision d ON f.DecisionTypeKey = d.DecisionTypeKey
+  LEFT JOIN dim_date dd ON f.DateKey = dd.DateKey GROUP BY 1, 2),
+overall AS (
+  SELECT Year, SUM(n) FILTER (WHERE DecisionOutcome = 'Granted') AS g,
+         SUM(n) FILTER (WHERE DecisionOutcome = 'Refused') AS r FROM per GROUP BY Year)
+SELECT p.Year, p.DecisionOutcome, p.n AS TotalPlanningApplications, o.g AS GrantedApplications,
+       o.r AS RefusedApplications,
+       CAST(o.g AS DOUBLE) / NULLIF(CAST(COALESCE(o.g, 0) + COALESCE(o.r, 0) AS DOUBLE), 0)
+         AS PlanningGrantRate
+FROM per p JOIN overall o ON p.Year IS NOT DISTINCT FROM o.Year"""
+SQL["incremental_planning"] = f"""WITH {PLAN}
+SELECT SourceObjectID, AreaOfSite, SQLRecordLastUpdatedAt,
+       CASE WHEN SQLRecordLastUpdatedAt <= TIMESTAMP '{cat.WINDOW_LAST}' THEN DATE '2024-06-29'
+            ELSE {RUN_DATE} END AS LoadDate,
+       (SELECT MAX(o_orderdate) FROM orders) AS Watermark
+FROM silver_planning"""
+SQL["warehouse_dim_county"] = SQL["dim_county"]
+SQL["warehouse_dim_property_type"] = SQL["dim_property_type"]
+SQL["warehouse_dim_sale_type"] = SQL["dim_sale_type"]
+SQL["warehouse_dim_date"] = f"""WITH {GOLD_SALES}, {DIM_DATE}
+SELECT * FROM dim_date WHERE FullDate IN (SELECT SaleDate FROM gold_sales)"""
+SQL["warehouse_dim_quarter"] = SQL["dim_quarter"]
+SQL["warehouse_fact_vacancy"] = SQL["fact_vacancy"]

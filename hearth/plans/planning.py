@@ -3,7 +3,7 @@ PR10, PR14, PR15) → dimensions (DM7, DM8) and fact (DM11)."""
 
 from __future__ import annotations
 
-from functools import cached_property
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hearth.functions import cleaning as fc
 from hearth.functions import dates as fd
 from hearth.operators.dims import dim_from_source_ids
+from hearth.operators import merge as mg
 from hearth.operators.joins import denormalise
 from hearth.operators.keys import with_unknown_member
 from hearth.sources import standins as st
@@ -74,39 +75,6 @@ def gold_planning(silver: DataFrame, load_ts=None) -> DataFrame:
     })
 
 
-def dim_planning_authority(gold: DataFrame) -> DataFrame:
-    return dim_from_source_ids(gold, "PlanningAuthorityID", "PlanningAuthorityKey",
-                               [("PlanningAuthority", "PlanningAuthorityName")])
-
-
-def dim_application_type(gold: DataFrame) -> DataFrame:
-    return dim_from_source_ids(gold, "ApplicationTypeID", "ApplicationTypeKey",
-                               [("ApplicationType", "ApplicationTypeName")])
-
-
-def dim_application_status(gold: DataFrame) -> DataFrame:
-    return dim_from_source_ids(gold, "ApplicationStatusID", "ApplicationStatusKey",
-                               [("ApplicationStatus", "ApplicationStatusName")],
-                               unknown={"ApplicationStatusKey": 0,
-                                        "ApplicationStatusName": fc.NOT_RECORDED})
-
-
-def dim_decision_type(gold: DataFrame) -> DataFrame:
-    return dim_from_source_ids(gold, "DecisionTypeID", "DecisionTypeKey",
-                               [("DecisionType", "DecisionTypeName"),
-                                ("DecisionOutcome", "DecisionOutcome")],
-                               unknown={"DecisionTypeKey": 0,
-                                        "DecisionTypeName": fc.NOT_RECORDED,
-                                        "DecisionOutcome": fc.NO_DECISION})
-
-
-def dim_land_use_type(gold: DataFrame) -> DataFrame:
-    return dim_from_source_ids(gold, "LandUseTypeID", "LandUseTypeKey",
-                               [("LandUseType", "LandUseTypeName")],
-                               unknown={"LandUseTypeKey": 0,
-                                        "LandUseTypeName": fc.NOT_RECORDED})
-
-
 # (source id, dimension key, [(source column, dimension column)], unknown member)
 DIMENSIONS = {
     "dim_planning_authority": ("PlanningAuthorityID", "PlanningAuthorityKey",
@@ -128,6 +96,12 @@ DIMENSIONS = {
 }
 
 
+def planning_dimension(gold: DataFrame, name: str) -> DataFrame:
+    """DM7 / DM8: one dimension of ``DIMENSIONS``."""
+    source_id, key, attrs, unknown = DIMENSIONS[name]
+    return dim_from_source_ids(gold, source_id, key, attrs, unknown=unknown)
+
+
 def planning_dimensions(gold: DataFrame) -> dict[str, DataFrame]:
     """All five DM7/DM8 dimensions from ONE aggregation pass: GROUPING SETS
     over the five source ids (one set per id), ``min(struct(attrs))`` per
@@ -137,7 +111,9 @@ def planning_dimensions(gold: DataFrame) -> dict[str, DataFrame]:
     specs = list(DIMENSIONS.items())
     ids = [F.col(spec[0]) for _, spec in specs]
     n = len(ids)
-    g = gold.groupingSets([[c] for c in ids], *ids).agg(
+    columns = {c for _, spec in specs for c in (spec[0], *[src for src, _ in spec[2]])}
+    few = gold.select(*sorted(columns)).distinct()      # a hash aggregate; the minima sort
+    g = few.groupingSets([[c] for c in ids], *ids).agg(
         F.grouping_id().alias("_gid"),
         *[F.min(F.struct(*[F.col(src).alias(dst) for src, dst in spec[2]])).alias(f"_m{i}")
           for i, (_, spec) in enumerate(specs)])
@@ -151,8 +127,9 @@ def planning_dimensions(gold: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def fact_planning(gold: DataFrame) -> DataFrame:
-    """DM11: keys (unknown → 0), DateKey, flags, measures, truncated text."""
+def fact_planning(gold: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """DM11: keys (unknown → 0), DateKey, flags, measures, truncated text; and
+    the columns of gold named in ``also``."""
     return gold.select(
         F.col("SourceObjectID").cast("bigint").alias("PlanningApplicationKey"),
         "ApplicationNumber",
@@ -170,7 +147,7 @@ def fact_planning(gold: DataFrame) -> DataFrame:
         "ITMEasting", "ITMNorthing",
         fc.truncate_text("DevelopmentDescription", 4000).alias("DevelopmentDescription"),
         "DevelopmentAddress", "DevelopmentPostcode", "ApplicationDetailsURL",
-        "SourceETLDate", "LoadDate", "GoldLoadTimestamp")
+        "SourceETLDate", "LoadDate", "GoldLoadTimestamp", *also)
 
 
 class PlanningModel:
@@ -181,14 +158,41 @@ class PlanningModel:
         self.silver = silver_planning(self.joined, load_date, load_ts)
         self.gold = gold_planning(self.silver, load_ts)
 
-    @cached_property
-    def stored_gold(self) -> DataFrame:
-        """The gold layer written once (Parquet under the shared folder), for
-        queries that read it in several branches (fact + five dimensions):
-        otherwise each branch re-derives the extracts and their joins."""
-        from hearth.session import materialize
-        return materialize(self.gold, "gold_planning")
-
     @property
     def fact(self) -> DataFrame:
-        return fact_planning(self.__dict__.get("stored_gold", self.gold))
+        return fact_planning(self.gold)
+
+    def star(self, columns: Sequence[str], dims: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """These columns of the fact, and the source columns of these dimensions
+        (for ``planning_dimension``).  Both are one narrow table, written once:
+        the extracts are joined once, and the planner sees the size of the rest."""
+        from hearth.session import materialize
+        sources = {c for n in dims for c in (DIMENSIONS[n][0], *[a for a, _ in DIMENSIONS[n][2]])}
+        also = sorted(sources - set(columns))
+        stored = materialize(fact_planning(self.gold, also).select(*columns, *also),
+                             "star_planning")
+        return stored.select(*columns), stored.select(*sorted(sources))
+
+
+def incremental_load(extracts: dict[str, DataFrame], target: DataFrame, watermarks: DataFrame,
+                     dataset: str, load_date: str, load_ts) -> tuple[DataFrame, DataFrame]:
+    """MG2-MG5 as one flow: probe the source; with nothing newer than the
+    dataset's watermark the target and the watermarks stay as they are; else
+    the rows of the window become silver, are merged into ``target`` on the
+    source id and stored, and the watermark moves last."""
+    from hearth.session import materialize
+    changed, app = "RecordLastUpdatedAt", extracts["PlanningApplication"]
+    last = watermarks.where(F.col("DatasetName") == dataset).first()["LastWatermarkValue"]
+    probe = mg.watermark_probe(app, changed, mg.wall_clock_literal(last))
+    found = probe.first()
+    if not found["HasNewData"]:
+        return target, watermarks
+    current = found["CurrentWatermark"]
+    window = mg.incremental_window(app, changed, last, current)
+    silver = silver_planning(join_extracts({**extracts, "PlanningApplication": window}),
+                             load_date, load_ts)
+    merged = materialize(mg.merge_upsert(target, silver, "SourceObjectID",
+                                         ts="SQLRecordLastUpdatedAt"), "silver_planning")
+    probes = merged.sparkSession.range(1).select(
+        F.lit(dataset).alias("DatasetName"), mg.wall_clock_literal(current).alias("CurrentWatermark"))
+    return merged, mg.advance_watermark(watermarks, probes, load_ts)

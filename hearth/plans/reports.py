@@ -51,12 +51,10 @@ def price_by_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
 def slicer_choices(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """RQ4 / FL8 / FL9: the non-NULL distinct values each slicer offers, as
     (Slicer, Value) rows."""
-    parts = [df.select(F.lit(c).alias("Slicer"), F.col(c).cast("string").alias("Value"))
-             .filter(F.col("Value").isNotNull()).distinct() for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("Slicer", "Value")
+    pairs = F.array(*[F.struct(F.lit(c).alias("Slicer"), F.col(c).cast("string").alias("Value"))
+                      for c in cols])
+    return (df.select(F.inline(pairs)).filter(F.col("Value").isNotNull()).distinct()
+            .orderBy("Slicer", "Value"))
 
 
 # --- vacancy page ------------------------------------------------------------------------------

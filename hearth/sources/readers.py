@@ -6,6 +6,7 @@ import datetime as dt
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALES_CSV_SCHEMA = T.StructType([
@@ -68,5 +69,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    """SC7: a literal frame (unknown members, control rows)."""
-    return spark.createDataFrame(list(rows), ddl)
+    """SC7: a literal frame (code tables, control rows) as an expression, so
+    that the planner knows its size and may broadcast it.  Empty: no rows."""
+    empty = spark.createDataFrame([], ddl)
+    if not rows:
+        return empty
+    literal = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, empty.schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*literal)))

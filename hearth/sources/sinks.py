@@ -25,6 +25,36 @@ FACT_PROPERTY_SALES = (
     ("LoadTimestamp", "timestamp_ntz", None, False),
 )
 
+DIM_COUNTY = (("CountyKey", "int", None, True), ("CountyName", "string", 100, True))
+DIM_PROPERTY_TYPE = (("PropertyTypeKey", "int", None, True), ("PropertyType", "string", 100, True))
+DIM_SALE_TYPE = (("SaleTypeKey", "int", None, True), ("SaleType", "string", 100, True))
+DIM_DATE = (
+    ("DateKey", "int", None, True),
+    ("FullDate", "date", None, True),
+    ("Year", "int", None, True),
+    ("Quarter", "int", None, True),
+    ("Month", "int", None, True),
+    ("MonthName", "string", 20, True),
+)
+DIM_QUARTER = (
+    ("QuarterKey", "int", None, True),
+    ("Quarter", "string", 10, True),
+    ("QuarterStartDate", "date", None, True),
+    ("Year", "int", None, True),
+    ("QuarterNumber", "int", None, True),
+)
+FACT_HOUSING_VACANCY = (
+    ("HousingVacancyKey", "bigint", None, True),
+    ("QuarterKey", "int", None, True),
+    ("CountyKey", "int", None, True),
+    ("VacantDwellings", "bigint", None, False),
+    ("DwellingStock", "bigint", None, False),
+    ("VacancyRate", "decimal(5,1)", None, False),
+    ("SourceUpdatedTimestamp", "timestamp_ntz", None, False),
+    ("LoadDate", "date", None, False),
+    ("LoadTimestamp", "timestamp_ntz", None, False),
+)
+
 
 def save_staging(df: DataFrame, name: str, location: str | None = None) -> None:
     """SK3: overwrite a catalog table; with ``location`` the table's files
@@ -69,6 +99,13 @@ def load_warehouse_table(df: DataFrame, columns, strict: bool = True) -> DataFra
     return df.select(*out)
 
 
+def replace_warehouse_table(store: SnapshotStore, df: DataFrame, table: str, columns) -> DataFrame:
+    """SK5 as the loads run it: the checked rows replace the table's content
+    (a new version, so readers keep the old rows until it is complete)."""
+    store.overwrite(load_warehouse_table(df, columns), table)
+    return store.read(table)
+
+
 def roundtrip_layer(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """SK1 + SK6 + SC4: write a snapshot version and read it back."""
     store = SnapshotStore(spark, fresh_subdir(spark, "layers"))

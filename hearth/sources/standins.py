@@ -17,7 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearth.functions.cleaning import SECOND_HAND_LABEL
 from hearth.operators.keys import window_keys
+from hearth.sources.readers import inline_rows
 
 # Fixed values of the stand-in mapping (chosen for this fixture)
 DATE_SHIFT_MONTHS = 180                     # 1995-2001 → 2010-2016
@@ -30,6 +32,8 @@ SIZE_MEDIUM = "greater than or equal to 38 sq metres and less than 125 sq metres
 SIZE_LARGE = "greater than or equal to 125 sq metres"
 NULL_LAND_USE_SEGMENT = "HOUSEHOLD"
 REPEATED_EVERY, NO_DATE_EVERY, NO_PRICE_EVERY = 50, 83, 97   # by order key
+TWO_LANGUAGES_EVERY = 100
+UNLISTED_LAND_USE = "MACHINERY"        # applications name it, the lookup doesn't have it
 # decision texts by DecisionTypeID (id = orderkey mod 12; 0 → no decision)
 DECISION_TEXTS = (
     (1, "Grant Permission"),
@@ -72,6 +76,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every REPEATED_EVERY-th order is in the extract twice; some dates and prices are missing
     j = j.withColumn("_copy", F.explode(F.when(k % REPEATED_EVERY == 0, F.array(F.lit(1), F.lit(2)))
                                         .otherwise(F.array(F.lit(1)))))
+    english = (F.col("_copy") == 2) & (k % TWO_LANGUAGES_EVERY == 0)   # the repeat is translated
     return j.select(
         F.when(k % NO_DATE_EVERY != 0, F.date_format(sale_day, "dd/MM/yyyy"))
         .alias(SALES_CSV_COLUMNS[0]),
@@ -83,7 +88,8 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "Yes").otherwise("No")
         .alias("Not Full Market Price"),
         F.when(F.col("l_linestatus") == "O", "Yes").otherwise("No").alias("VAT Exclusive"),
-        F.when(F.col("p_type") == "PROMO", SECOND_HAND_IRISH)
+        F.when((F.col("p_type") == "PROMO") & english, SECOND_HAND_LABEL)
+        .when(F.col("p_type") == "PROMO", SECOND_HAND_IRISH)
         .when(F.col("p_type") == "SMALL", NEW_IRISH)
         .otherwise(F.col("p_type")).alias("Description of Property"),
         F.when(F.col("p_size") < 10, SIZE_SMALL).when(F.col("p_size") < 30, SIZE_MEDIUM)
@@ -141,7 +147,8 @@ def planning_extracts(spark: SparkSession, sf_dir: str, shift_months: int = 0
     n = table(spark, sf_dir, "nation")
     segments = window_keys(c.select("c_mktsegment").filter(F.col("c_mktsegment").isNotNull())
                            .distinct(), ["c_mktsegment"], "LandUseTypeID")  # 5 segments
-    land_use = segments.select("LandUseTypeID", F.col("c_mktsegment").alias("LandUseTypeName"))
+    land_use = (segments.where(F.col("c_mktsegment") != UNLISTED_LAND_USE)
+                .select("LandUseTypeID", F.col("c_mktsegment").alias("LandUseTypeName")))
     j = (o.join(c, o.o_custkey == c.c_custkey, "left")
          .join(segments, "c_mktsegment", "left"))
     received = (F.timestamp_add("MONTH", F.lit(shift_months), F.col("o_orderdate"))
@@ -191,8 +198,7 @@ def planning_extracts(spark: SparkSession, sf_dir: str, shift_months: int = 0
                       F.concat(F.lit("Status "), F.col("o_orderstatus"))
                       .alias("ApplicationStatusName"))
               .distinct())
-    decision = spark.createDataFrame(list(DECISION_TEXTS),
-                                     "DecisionTypeID INT, DecisionTypeName STRING")
+    decision = inline_rows(spark, DECISION_TEXTS, "DecisionTypeID INT, DecisionTypeName STRING")
     return {"PlanningApplication": app, "PlanningAuthority": authority,
             "ApplicationType": app_type, "ApplicationStatus": status,
             "DecisionType": decision, "LandUseType": land_use}

@@ -88,3 +88,13 @@ def test_vacancy_rate_zero_and_null_stock(spark):
     df = spark.createDataFrame([(5, 0), (5, None), (1, 3)], "v long, s long")
     got = [r[0] for r in df.select(oc.vacancy_rate("v", "s")).collect()]
     assert got == [None, None, 33.3]
+
+
+def test_flatten_explodes_cells_only(spark):
+    """No row after the explode carries the document or its arrays."""
+    text = spark.createDataFrame([("{}",)], "value string")
+    flat = oc.cube_flatten(vc.parse_documents(text), ["S", "Q", "A"])
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate inline" in line)
+    assert "doc#" not in generate.split("], false")[0].rsplit("[", 1)[-1]
+    assert flat.collect() == []

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hearth.operators import dims as od
 from hearth.operators.keys import (hash_key, latest_per_key, sequential_keys, stable_keys,
                                    with_unknown_member)
+from hearth.plans import sales as sl
 from tests.conftest import rows
 
 
@@ -81,3 +82,18 @@ def test_dims_from_values_one_pass(spark):
     dc, dt_ = od.dims_from_values(g, [("c", "CKey", "CName"), ("t", "TKey", "TName")])
     assert rows(dc, ["CKey"]) == [(0, "Not recorded"), (1, "a"), (2, "b")]
     assert rows(dt_, ["TKey"]) == [(0, "Not recorded"), (1, "x"), (2, "y")]
+
+
+def test_value_dim_keeps_stored_keys(spark):
+    first = od.dim_from_values(spark.createDataFrame([("Cork",), ("Mayo",)], "c string"), "c", "k")
+    g = spark.createDataFrame([("Carlow",), ("Mayo",), (None,), ("Cork",)], "c string")
+    assert rows(od.dim_from_values(g, "c", "k", existing=first), ["k"]) == [
+        (0, "Not recorded"), (1, "Cork"), (2, "Mayo"), (3, "Carlow")]
+
+
+def test_row_key_names_one_row(spark):
+    cols = sl.NATURAL_KEY
+    same = tuple("x" for _ in cols)
+    g = spark.createDataFrame([same, same, ("y",) + same[1:]], ", ".join(f"{c} string" for c in cols))
+    got = sl.with_row_key(g).select("PropertySaleKey", "PropertySaleOrdinal").collect()
+    assert len(set(got)) == 3 and sorted(r[1] for r in got) == [1, 1, 2]

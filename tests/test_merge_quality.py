@@ -223,3 +223,46 @@ def test_bucketed_table_keeps_its_bucket_count_and_refuses_null_keys(spark):
         mg.BucketedTable(spark, path, "k", 8)
     with pytest.raises(ValueError):
         mg.BucketedTable(spark, path, "k", 4).upsert(spark.createDataFrame([(None, "b")], frame.schema))
+
+
+def test_by_outcome_overrides_the_outcome_group(spark):
+    from hearth.operators.measures import by_outcome
+    star = spark.createDataFrame(
+        [(1, "Granted", 3), (1, "Refused", 1), (1, "Other", 2), (2, "Other", 5)],
+        "Year int, DecisionOutcome string, ApplicationCount int")
+    assert rows(by_outcome(star, ["Year"])) == sorted([
+        (1, "Granted", 3, 3, 1, 0.75), (1, "Refused", 1, 3, 1, 0.75), (1, "Other", 2, 3, 1, 0.75),
+        (2, "Other", 5, None, None, None)], key=lambda t: tuple(str(x) for x in t))
+
+
+def test_incremental_load_skips_without_newer_rows(spark):
+    import datetime
+    from hearth.plans import planning as pl
+    day = datetime.datetime(2024, 1, 1)
+    app = spark.createDataFrame([(day,)], "RecordLastUpdatedAt timestamp_ntz")
+    marks = spark.createDataFrame([("orders", day)],
+                                  "DatasetName string, LastWatermarkValue timestamp_ntz")
+    target = spark.range(3)
+    got, after = pl.incremental_load({"PlanningApplication": app}, target, marks, "orders",
+                                     "2024-01-02", "2024-01-02 00:00:00")
+    assert got is target and after is marks
+
+
+def test_one_pass_checks_on_empty_and_repeated_rows(spark):
+    empty = spark.createDataFrame([], "k int, v string")
+    assert rows(dq.profile(empty, ["k"], ["v"])) == [("DuplicateKeys", 0), ("Null v", 0),
+                                                     ("RowCount", 0)]
+    df = spark.createDataFrame([(1, None), (1, "a"), (None, "b"), (None, None)], "k int, v string")
+    assert rows(dq.profile(df, ["k"], ["v"])) == [("DuplicateKeys", 2), ("Null v", 2),
+                                                  ("RowCount", 4)]
+
+
+def test_report_order(spark):
+    """SO1, SO2, SO5, RQ14: the row order itself."""
+    from hearth.plans import reports as rq
+    fact = spark.createDataFrame([(1, 5.0), (2, 9.0), (0, 9.0)], "CountyKey int, SalePrice double")
+    dim = spark.createDataFrame([(0, "B"), (1, "A"), (2, "C")], "CountyKey int, CountyName string")
+    assert [r.CountyName for r in rq.price_by_county(fact, dim).collect()] == ["B", "C", "A"]
+    years = spark.createDataFrame([(1, 2012), (2, 2010), (0, 2011)], "DateKey int, Year int")
+    by_year = rq.price_by_year(fact.withColumnRenamed("CountyKey", "DateKey"), years)
+    assert [r.Year for r in by_year.collect()] == [2010, 2011, 2012]

@@ -39,8 +39,8 @@ def test_fact_keeps_every_gold_row(sales, planning):
 def test_dimension_keys_are_unique(sales, planning):
     for d, k in [(sales.dim_county, "CountyKey"), (sales.dim_property_type, "PropertyTypeKey"),
                  (sales.dim_sale_type, "SaleTypeKey"),
-                 (pl.dim_decision_type(planning.gold), "DecisionTypeKey"),
-                 (pl.dim_application_status(planning.gold), "ApplicationStatusKey")]:
+                 (pl.planning_dimension(planning.gold, "dim_decision_type"), "DecisionTypeKey"),
+                 (pl.planning_dimension(planning.gold, "dim_application_status"), "ApplicationStatusKey")]:
         assert d.count() == d.select(k).distinct().count()
     keys = sorted(r[0] for r in sales.dim_county.select("CountyKey").collect())
     assert keys == list(range(len(keys)))                       # 0 = unknown, then 1..n
@@ -67,10 +67,5 @@ def test_decision_recorded_matches_outcome(planning):
 def test_one_pass_planning_dimensions_equal_single_builds(planning):
     from tests.conftest import rows
     together = pl.planning_dimensions(planning.gold)
-    singles = {"dim_planning_authority": pl.dim_planning_authority,
-               "dim_application_type": pl.dim_application_type,
-               "dim_application_status": pl.dim_application_status,
-               "dim_decision_type": pl.dim_decision_type,
-               "dim_land_use_type": pl.dim_land_use_type}
-    for name, build in singles.items():
-        assert rows(together[name]) == rows(build(planning.gold)), name
+    for name in pl.DIMENSIONS:
+        assert rows(together[name]) == rows(pl.planning_dimension(planning.gold, name)), name

@@ -79,3 +79,11 @@ def test_stage_tables_need_a_shared_folder_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         shared_dir(Cluster())
     assert shared_dir(spark)
+
+
+def test_inline_rows(spark):
+    from hearth.sources.readers import inline_rows
+    assert [tuple(r) for r in inline_rows(spark, [(1, "a"), (None, None)], "k INT, v STRING")
+            .collect()] == [(1, "a"), (None, None)]
+    empty = inline_rows(spark, [], "k INT, v STRING")
+    assert empty.columns == ["k", "v"] and empty.count() == 0
