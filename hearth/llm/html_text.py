@@ -52,12 +52,16 @@ NOT_ARTICLE = re.compile(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
         "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
         "th": {"td", "th", "tr", "tbody", "tfoot"}}
+ITEMS = frozenset().union(*ENDS.values())
 #: an implied end never reaches beyond these
 SCOPE = frozenset("html body table ul ol dl article section main div td th blockquote".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|"
-    r"<(/?)([a-zA-Z][^\s/>]*)([^'\">]*(?:\"[^\"]*\"[^'\">]*|'[^']*'[^'\">]*)*)>", re.S)
+    # a value in quotes may hold ">", a stray quote may not; possessive: linear in the page
+    r"<(/?)([a-zA-Z][^\s/>]*+)([^>=]*+(?:=(?:\s*+(?:\"[^\"]*+\"|'[^']*+'))?+[^>=]*+)*+)>", re.S)
+#: what may still begin where no ">" follows
+UNFINISHED = re.compile(r"<[!?].*\Z", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
@@ -72,16 +76,16 @@ class Node:
 
 def parse(page: str) -> Node:
     root = here = Node("html", None)
-    at, end = 0, len(page)
+    at, end, last = 0, len(page), page.rfind(">")
     while at < end:
-        m = TOKEN.search(page, at)
+        m = (TOKEN if at <= last else UNFINISHED).search(page, at)
         if m is None:
             here.children.append(html.unescape(page[at:]))
             break
         if m.start() > at:
             here.children.append(html.unescape(page[at:m.start()]))
         at = m.end()
-        if m[2] is None:
+        if m.lastindex is None:
             continue
         tag = m[2].lower()
         if m[1]:
@@ -120,7 +124,7 @@ def _imply(here: Node, tag: str) -> Node:
                 here = node.parent
                 break
             node = node.parent
-    node = here
+    node = here if tag in ITEMS else None
     while node is not None and node.parent is not None:
         if tag in ENDS.get(node.tag, ()):
             here = node.parent
@@ -212,8 +216,16 @@ def score(root: Node) -> Node | None:
 
 
 def _flat(node: Node) -> str:
-    return "".join(c if isinstance(c, str) else " " if c.tag == "br" else _flat(c)
-                   for n in (node,) for c in n.children)
+    out, stack = [], [node]
+    while stack:  # no recursion: elements may be nested without limit
+        item = stack.pop()
+        if isinstance(item, str):
+            out.append(item)
+        elif item.tag == "br":
+            out.append(" ")
+        else:
+            stack += reversed(item.children)
+    return "".join(out)
 
 
 def kept(root: Node) -> list[Node]:

@@ -289,6 +289,11 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><b
     ("<p>a < b & c &lt; d", "a < b & c < d"), ("<article><p>short</article><p>out", "short"),
     ("<!-- never closed <p>x</p>", ""), ("<script>never closed", ""), ("<" * 5000, "<" * 5000),
     ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+    ("<p>a " + "<b>" * 20_000 + "deep" + "</b>" * 20_000 + "</p>", "a deep"),
+    ('<article><p class="a" ">one</p><p title="a>b">two</p><p title=\'it\'s\'>three</p></article>',
+     "one\ntwo\nthree"),
+    ("<p>x</p>" + "<p a='y " * 50_000, "x\n" + ("<p a='y " * 50_000).strip()),
+    ("<p>x</p><!-- y", "x"), ("<p>x</p>y <? z", "x\ny"),
 ])
 def test_main_text(page, text):
     assert html_text.main_text(page) == text
