@@ -35,8 +35,10 @@ from hearth.llm.frames import apart, spread_sample, steps
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
 #: distinct words whose ids a task remembers
 REMEMBERED = 400_000
-#: where special tokens begin; punctuation after a letter at the end of a word
-SPECIAL, ENDING = b"<|", re.compile(rb"([a-z])([.,!?;:]+)(?=[\x20\x09-\x0D]|\Z)")
+#: where special tokens begin, and (U+0300 to U+036F) combining marks
+LEFT_ALONE = (b"<|", b"\xcc", b"\xcd")
+#: punctuation after a letter at the end of a word
+ENDING = re.compile(rb"([a-z])([.,!?;:]+)(?=[\x20\x09-\x0D]|\Z)")
 
 BLOCKS = ("shard int, block int, first_id bigint, last_id bigint, dict_hash string, "
           "start_in_shard bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, "
@@ -50,8 +52,9 @@ class WordTokens:
     across white space nor keep letters and punctuation together (``by_word``),
     allow this: a text's ids are its words' ids in order, A-Z may be lowered
     before, and a space may go between a letter and the punctuation that ends a
-    word.  Both make more words alike.  Texts with a special token's opening
-    are left as they are.  Unseen words go to the library joined by spaces;
+    word.  Both make more words alike.  Texts with a special token's opening or
+    a combining mark (which may compose with a small letter only) are left as
+    they are.  Unseen words go to the library joined by spaces;
     its offsets tell whose ids are whose.  Other files encode text by text."""
 
     def __init__(self, definition: str):
@@ -85,7 +88,8 @@ class WordTokens:
         if not self.by_word:
             found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
-        words = [(t if SPECIAL in t else ENDING.sub(rb"\1 \2", t.lower())).split() for t in texts]
+        words = [(t if any(x in t for x in LEFT_ALONE) else ENDING.sub(rb"\1 \2", t.lower())).split()
+                 for t in texts]
         seen = {w for ws in words for w in ws}
         new = seen.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:

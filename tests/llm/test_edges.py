@@ -374,7 +374,8 @@ def test_words_encode_as_whole_texts_do():
 
     texts = [t or "" for _, t in TEXTS] + [
         "Don't stop, OK?! (really...) it's 3.14; e.g., U.S.A. x.y é, É. é. İ! ..., a.b.c.",
-        "<|ENDOFTEXT|>. <|endoftext|>, x<|startoftext|>y", "ß, ǅ.  z . 한국어. Ａ１. ²³.", "a\x00. b\x1c, c"]
+        "<|ENDOFTEXT|>. <|endoftext|>, x<|startoftext|>y", "ß, ǅ.  z . 한국어. Ａ１. ²³.", "a\x00. b\x1c, c",
+        "H\u0331 T\u0308 J\u030c I\u0307 E\u0301, h\u0331 t\u0308. e\u0301! x.\u0301 y"]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         with open(public_tokenizers.path(name), encoding="utf-8") as f:
             encoder = token_files.WordTokens(f.read())
