@@ -90,8 +90,10 @@ def _rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return apart(documents, id_col, text_col)[0].select(
         F.col(id_col).alias("_doc"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("_id"),
-        # tells rows of one identifier apart
-        F.xxhash64(text_col).bitwiseAND(0x7FFF).cast("smallint").alias("_th"),
+        # tells rows of one identifier apart: a few such rows by 15 bits, those
+        # without an identifier, which may be many, by 64
+        F.when(F.col(id_col).cast("bigint").isNull(), F.xxhash64(text_col))
+        .otherwise(F.xxhash64(text_col).bitwiseAND(0x7FFF)).alias("_th"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
 
 
@@ -112,12 +114,9 @@ def _seed(rows: DataFrame, window: int, gram: int) -> DataFrame:
             if not len(of):
                 continue
             flat = np.concatenate(per)
-            values, at, inverse = np.unique(flat, return_index=True, return_inverse=True)
-            least = np.full(len(values), LAST, np.int64)
-            most = np.full(len(values), -LAST, np.int64)
-            np.minimum.at(least, inverse, ids[of])
-            np.maximum.at(most, inverse, ids[of])
-            shared = least < most
+            values, at, inverse, held = np.unique(
+                flat, return_index=True, return_inverse=True, return_counts=True)
+            shared = held > 1  # by rows, as several may have one identifier
             one = np.argsort(at)  # in the documents' order: rows alike compress well
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values[one].view(np.int64)), pa.array(ids[of[at[one]]]),
@@ -131,7 +130,7 @@ def _seed(rows: DataFrame, window: int, gram: int) -> DataFrame:
                  _blobs(np.split(flat[told], begin[1:]) if len(docs) else [])], names)
 
     sent = rows.select("_id", "_th", "_text").mapInArrow(
-        run, "anchor bigint, _id bigint, _th smallint, shared boolean, known binary")
+        run, "anchor bigint, _id bigint, _th bigint, shared boolean, known binary")
     # rows of one anchor: one per batch at most
     same = Window.partitionBy("anchor", "list")
     told = sent.withColumn("list", F.col("known").isNotNull()).select(
@@ -202,7 +201,7 @@ def _extend(seeded: DataFrame, window: int, gram: int) -> DataFrame:
                      pa.array(ths[docs]), pa.nulls(len(docs), pa.int32()), pa.array(spans, pa.binary())], names)
 
     asked = seeded.mapInArrow(
-        run, "h1 bigint, h2 smallint, _id bigint, _th smallint, start int, spans binary")
+        run, "h1 bigint, h2 smallint, _id bigint, _th bigint, start int, spans binary")
     least = F.min("_id").over(Window.partitionBy("h1", "h2"))
     # rows without h2 were settled in their batch
     found = asked.withColumn("_least", least).where("h2 is null or _id > _least")

@@ -213,6 +213,15 @@ def test_substring(spark):
         assert rows_of(found, *found.columns) == expected(brute.repeats(TEXTS))
 
 
+def test_substring_of_many_rows_without_identifier(spark):
+    # 600 texts: 15 bits would take some of them for one
+    texts = [(None, " ".join(f"u{k}x{j}" for j in range(k % 40)) + " a b c d e f g h i j k l m" * (k % 3))
+             for k in range(600)] + [(1, "a b c d e f g h i j k l m")]
+    found = sub.substring_dedup(documents(spark, texts).repartition(5))
+    found = found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("k"))
+    assert rows_of(found, *found.columns) == expected(brute.repeats(texts))
+
+
 def test_substring_spans(spark):
     docs = documents(spark, [(1, "p q " + " ".join(f"w{k}" for k in range(20)) + " r"),
                              (2, "x " + " ".join(f"w{k}" for k in range(20)) + " y z"), (3, "short")])
