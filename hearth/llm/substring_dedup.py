@@ -234,10 +234,13 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 words = text.as_py().split()
                 held = np.zeros(len(words) + 1, np.int64)
                 single = np.array(starts.as_py() or [], np.int64)
+                # starts beyond the text are of another row that 15 bits didn't tell apart
+                single = single[single + window <= len(words)]
                 np.add.at(held, single, 1)
                 np.add.at(held, np.minimum(single + window, len(words)), -1)
                 for b in packed.as_py() or []:
                     ends = np.frombuffer(b, np.int32).reshape(-1, 2)
+                    ends = ends[ends[:, 1] - 1 + window <= len(words)]
                     np.add.at(held, ends[:, 0], 1)
                     np.add.at(held, np.minimum(ends[:, 1] - 1 + window, len(words)), -1)
                 cover = np.cumsum(held)[:len(words)] > 0
