@@ -1,9 +1,11 @@
 """Licence statements by sentence rules (built-in functions only).
 
-A text is cut into sentences; each is normalised (A-Z lowered, everything but
-letters and digits as one space) and looked up among known licence sentences.
-What is left of a text is the short sequence of identifiers it holds, in
-order.  Ordered rules then name licences: a rule matches where its identifiers
+A text is cut into sentences (a sentence may go on over line ends, a blank line
+ends it); each is normalised (A-Z lowered, everything but letters and digits as
+one space, so comment signs vanish) and searched for known licence sentences,
+which may stand inside a longer one; of two that overlap the first counts, of
+two that begin together the longer.  What is left of a text is the short
+sequence of identifiers it holds, in order.  Ordered rules then name licences: a rule matches where its identifiers
 follow each other, and takes them out of the sequence, so a longer rule goes
 before the shorter ones it contains.  Identifiers that no rule took are given
 as they are: a known sentence without its licence.
@@ -18,12 +20,15 @@ table gives no rows; other columns aren't read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.frames import apart
 
-# Normalised sentences of public licence notices.
+# Normalised sentences of public licence notices (the SQL
+# formulation reads these too).
 SENTENCES = {
     "licensed under the apache license version 2 0": "ApacheShort",
     "licensed under the apache license version 2 0 the license": "ApacheNotice",
@@ -86,23 +91,60 @@ RULES = [
     ("CC-BY-NC-ND-4.0", ["CcByNcNd"]),
     ("CC0-1.0", ["Cc0"]),
 ]
-SENTENCE_END = "([.!?;:])[\\x20\\x09-\\x0D]+"
+GPL_WORK = "this work is licensed under the gnu general public license version"
+GPL_TERMS = ("this program is free software you can redistribute it and or modify it under the terms of the "
+             "gnu general public license")
+LATER = ("or at your option any later version", "or any later version", "or later")
+CC_KINDS = {"sharealike": "CcBySa", "noncommercial": "CcByNc", "noderivatives": "CcByNd",
+            "noncommercial sharealike": "CcByNcSa", "noncommercial noderivatives": "CcByNcNd"}
+# What else the full notices say, and the forms that change a licence.
+NOTICES = {
+    "mit license": "MitTitle",
+    **{f"{GPL_WORK} {v} {later}": f"Gpl{v}LaterWork" for v in (2, 3) for later in LATER},
+    **{f"{either}version {v} of the license {later}": f"LaterThan{v}"
+       for v in (2, 3) for later in LATER for either in ("", "either ")},
+    **{f"{GPL_TERMS} version {v} as published by the free software foundation": f"Gpl{v}Free" for v in (2, 3)},
+    **{f"this work is licensed under a creative commons attribution {kind} 4 0 international license": name
+       for kind, name in CC_KINDS.items()},
+    "has waived all copyright and related or neighboring rights to": "Cc0",
+    "all advertising materials mentioning features or use of this software must display the following "
+    "acknowledgement": "BsdAdvert",
+    "may be used to endorse or promote products derived from this software without specific prior written "
+    "permission": "BsdEndorse",
+}
+# Tried before the rules above, as these contain some of them.
+NOTICE_RULES = [
+    ("GPL-3.0-or-later", ["Gpl3LaterWork"]),
+    ("GPL-2.0-or-later", ["Gpl2LaterWork"]),
+    ("GPL-3.0-only", ["Gpl3Free"]),
+    ("GPL-2.0-only", ["Gpl2Free"]),
+    ("BSD-4-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdAdvert", "BsdEndorse"]),
+    ("BSD-3-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse"]),
+]
+#: . ! or ? before white space, or a line without letters and digits
+SENTENCE_END = "[.!?][\\x20\\x09-\\x0D]|\\n[^a-z0-9\\n]*+\\n"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences: a text ends one at a line end, and at . ! ? ; or :
-    before white space; empty ones are left out."""
-    lined = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SENTENCE_END, "\n")
-    plain = F.regexp_replace(lined, "[^a-z0-9\\n]+", " ")
-    return F.filter(F.transform(F.split(plain, "\n"), lambda s: F.trim(s)), lambda s: s != "")
+    """The normalised sentences as one text, a Z (no other capital is left) between them."""
+    lined = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SENTENCE_END, " Z ")
+    return F.regexp_replace(F.concat(F.lit(" "), lined, F.lit(" ")), "[^a-z0-9Z]+", " ")
+
+
+def pattern(known: dict[str, str]) -> str:
+    """Any known sentence as whole words, by first word, the longest of each first."""
+    by_first: dict[str, list[str]] = {}
+    for s in sorted(known, key=len, reverse=True):
+        first = s.split(" ", 1)[0]
+        by_first.setdefault(first, []).append(re.escape(s[len(first):]))
+    return " (" + "|".join(f"{re.escape(w)}(?:{'|'.join(rest)})" for w, rest in by_first.items()) + ")(?= )"
 
 
 def identifiers(text: Column, known: dict[str, str]) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    held = F.array(*[F.lit(s) for s in known])
-    hits = F.filter(sentences(text), lambda s: F.array_contains(held, s))
+    hits = F.regexp_extract_all(sentences(text), F.lit(pattern(known)), F.lit(1))
     return F.transform(hits, lambda s: F.element_at(table, s))
 
 
@@ -112,7 +154,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row: identifier, ``sentence_ids`` (array of the known sentences' names, in
     order), ``licenses`` (array of names, in the rules' order) and ``unmatched``
     (the sentence names that no rule took)."""
-    known, rules = known or SENTENCES, rules or RULES
+    known, rules = known or SENTENCES | NOTICES, rules or NOTICE_RULES + RULES
     marked = apart(docs, id_col, text_col)[0].select(
         id_col, identifiers(F.col(text_col), known).alias("sentence_ids"))
 
