@@ -2,8 +2,10 @@
 
 A page becomes a tree of elements (implied end tags as browsers do).  What is
 never article is cut first: scripts, styles, forms, menus, and elements whose
-tag, role, class or id says menu, header, footer, sidebar, notice, advert or
-comment.  Then every paragraph passes points for its length and its commas to
+tag, role, or a whole word of class or id says menu, header, footer, sidebar,
+notice, advert or comment.  A form or an element so named stays if it holds a
+``main``, or an ``article`` no shorter than those elsewhere, or most of the text of a
+page that has no article elsewhere, with little of it in links.  Then every paragraph passes points for its length and its commas to
 its ancestors, fewer with each level, and a container's points are discounted
 by the share of its text inside links.  The best container is widened to the
 ``article`` (else ``main``) around it, its siblings that look like more of the
@@ -36,18 +38,23 @@ BLOCK = frozenset((
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
     "p pre section summary table tbody td tfoot th thead tr ul").split())
 CUT = frozenset((
-    "head script style noscript template iframe object embed svg canvas math audio video nav header "
-    "footer aside form button select textarea input label fieldset dialog menu map").split())
+    "head script style noscript template iframe object embed svg canvas annotation annotation-xml audio "
+    "video nav header footer aside form button select textarea input label fieldset dialog menu map").split())
 PARAGRAPH = frozenset("p pre td blockquote li dd div section article main".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-NEVER_CUT = frozenset("html body main article".split())
-#: words of class, id and role that mark what isn't the article
-NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|"
-    r"header|masthead|footer|contentinfo|side-?bar\w*|complementary|widget\w*|notices?|alert\w*|"
-    r"cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscri\w+|sign-?up|login|search|share|"
-    r"sharing|social|comments?|commentlist|disqus|replies|respond|related|recommend\w*|pagination|"
-    r"pager|toolbar|skip-?link|copyright)(?:$|[\s_-])", re.I)
+#: words that mark what isn't the article
+_WORD = (r"(?:ads?|advert[a-z]*|banner|sponsor[a-z]*|promo[a-z]*|nav[a-z]*|menu[a-z]*|breadcrumbs?|header|"
+         r"masthead|footer|contentinfo|side-?bar[a-z]*|complementary|widgets?|notices?|alert[a-z]*|cookies?|"
+         r"consent|gdpr|popup|modal|overlay|newsletter|subscri[a-z]+|sign-?up|login|search|share|sharing|"
+         r"social|comments?|commentlist|disqus|replies|respond|related|recommend[a-z]*|pagination|pager|"
+         r"toolbar|skip-?link|copyright)(?![a-z0-9])")
+#: what may stand before and after them (none is such a word itself); "no-", "has-", "-open" may not
+_PLACE = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|sub|mobile|desktop)"
+_KIND = (r"(?:slot|box|bar|list|links?|area|wrap|wrapper|container|section|block|unit|form|buttons?|icons?|"
+         r"panel|inner|item|items|title|body|left|right|primary|secondary|top|bottom|thread|message|media|"
+         r"posts?|articles?|stories|[0-9]+)(?![a-z0-9])")
+#: a whole word of class, id or role
+NOT_ARTICLE = re.compile(rf"(?:{_PLACE}[-_]+)*+{_WORD}(?:[-_]+(?:{_WORD}|{_KIND}))*+")
 #: an open element of the first set ends where one of the second begins
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
         "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
@@ -140,26 +147,69 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): html.unescape(a or b or c) for k, a, b, c in ATTRIBUTE.findall(text)}
 
 
-def _is_cut(node: Node) -> bool:
-    if node.tag in CUT:
-        return True
-    if not node.attributes.strip() or node.tag in NEVER_CUT and not NOT_ARTICLE.search(node.attributes):
-        return False
-    found = _attributes(node.attributes)
-    if node.tag not in ("html", "body") and (
-            "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I)):
-        return True
-    names = " ".join(found.get(k, "") for k in ("class", "id", "role"))
-    return node.tag not in ("html", "body", "main") and bool(NOT_ARTICLE.search(names))
+def _cut(node: Node) -> str:
+    """"always", "named" (unless it holds the article), or ""."""
+    if node.tag in CUT and node.tag != "form":
+        return "always"
+    named = node.tag == "form"
+    if node.attributes.strip() and node.tag not in ("html", "body"):
+        found = _attributes(node.attributes)
+        if ("hidden" in found or found.get("aria-hidden", "").lower() == "true"
+                or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I)):
+            return "always"
+        names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower().split()
+        named = named or node.tag != "main" and any(map(NOT_ARTICLE.fullmatch, names))
+    return "named" if named else ""
 
 
 def prune(root: Node) -> None:
-    stack = [root]
+    nodes, named, stack = [], set(), [root]
     while stack:
         node = stack.pop()
-        node.children = [c for c in node.children if isinstance(c, str) or not _is_cut(c)]
-        stack += [c for c in node.children if not isinstance(c, str)]
+        nodes.append(node)
+        left: list[Node | str] = []
+        for c in node.children:
+            cut = "" if isinstance(c, str) else _cut(c)
+            if cut == "always":
+                continue
+            left.append(c)
+            if not isinstance(c, str):
+                stack.append(c)
+            if cut:
+                named.add(c)
+        node.children = left
+    if named:
+        _prune_named(nodes, named)
+
+
+def _prune_named(nodes: list[Node], named: set[Node]) -> None:
+    """Cuts the named elements but those that hold the article; ``nodes`` has parents first."""
+    own = {n: len(" ".join(_own(n).split())) for n in nodes if n.tag in PARAGRAPH or n.tag == "form"}
+    total, sure = sum(own.values()), 0  # paragraph text, and that of articles which stay anyway
+    free, inside = {None: True}, {None: False}
+    for n in nodes:
+        free[n] = n not in named and free[n.parent]
+        inside[n] = n.tag in ("article", "main") or inside[n.parent]
+        sure += own.get(n, 0) if free[n] and inside[n] else 0
+    # of what stays in an element: text, that in links, paragraph text, that in articles, whether a main
+    held: dict[Node, tuple[int, int, int, int, bool]] = {}
+    stays = set()
+    for n in reversed(nodes):
+        text = link = article = 0
+        paragraphs, main = own.get(n, 0), False
+        for c in n.children:
+            if isinstance(c, str):
+                text += len(c.strip())
+            elif c not in named or c in stays:
+                t, k, p, a, m = held[c]
+                text, link, paragraphs, main = text + t, link + k, paragraphs + p, main or m or c.tag == "main"
+                article += p if c.tag in ("article", "main") else a
+        held[n] = text, text if n.tag == "a" else link, paragraphs, article, main
+        if n in named and text and (main or link < 0.25 * text and (
+                article and (n.tag == "form" or article >= sure) or not sure and 2 * paragraphs > total)):
+            stays.add(n)
+    for n in nodes:
+        n.children = [c for c in n.children if isinstance(c, str) or c not in named or c in stays]
 
 
 def walk(root: Node):
@@ -192,9 +242,7 @@ def score(root: Node) -> Node | None:
     for node in walk(root):
         if node.tag not in PARAGRAPH:
             continue
-        own = " ".join(c if isinstance(c, str) else "" if c.tag in BLOCK else _flat(c)
-                       for c in node.children).split()
-        own = " ".join(own)
+        own = " ".join(_own(node).split())
         if not own:
             continue
         points = 1 + own.count(",") + min(len(own) / 100, 3)
@@ -215,6 +263,11 @@ def score(root: Node) -> Node | None:
     return best
 
 
+def _own(node: Node) -> str:
+    """Its text outside of blocks in it."""
+    return " ".join(c if isinstance(c, str) else "" if c.tag in BLOCK else _flat(c) for c in node.children)
+
+
 def _flat(node: Node) -> str:
     out, stack = [], [node]
     while stack:  # no recursion: elements may be nested without limit
