@@ -9,7 +9,8 @@ page that has no article elsewhere, with little of it in links.  Then every para
 its ancestors, fewer with each level, and a container's points are discounted
 by the share of its text inside links.  The best container is widened to the
 ``article`` (else ``main``) around it, its siblings that look like more of the
-same are kept, and the blocks left are the text.
+same are kept (within a ``main`` or ``article`` at each level up to that), and the
+blocks left are the text.
 
 Pages are independent: one pass, no shuffle, memory of one page at a time.
 
@@ -42,6 +43,7 @@ CUT = frozenset((
     "video nav header footer aside form button select textarea input label fieldset dialog menu map").split())
 PARAGRAPH = frozenset("p pre td blockquote li dd div section article main".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+MORE = frozenset("p pre blockquote ul ol dl table figure section article".split())
 #: words that mark what isn't the article
 _WORD = (r"(?:ads?|advert[a-z]*|banner|sponsor[a-z]*|promo[a-z]*|nav[a-z]*|menu[a-z]*|breadcrumbs?|header|"
          r"masthead|footer|contentinfo|side-?bar[a-z]*|complementary|widgets?|notices?|alert[a-z]*|cookies?|"
@@ -296,23 +298,40 @@ def kept(root: Node) -> list[Node]:
             break
     inside = [n for n in walk(best) if n.tag in ("article", "main") and n.points >= best.points / 5]
     outer = [n for n in inside if n.parent not in inside]
+    start = best
     if len(outer) == 1:  # the best container holds the article and more
         best = outer[0]
-    if best.tag in ("article", "main") or best.parent is None:
+    above, up = [], best.parent
+    while up is not None:
+        above.append(up)
+        up = up.parent
+    # up to the outermost main or article around it, and to the container it was found in
+    wide = max((k for k, n in enumerate(above) if n.tag in ("article", "main")), default=-1)
+    if best.tag == "main" and wide < 0:
         return [best]
-    size = measure(best.parent)
-    out = []
-    for node in best.parent.children:
-        if isinstance(node, str):
-            continue
-        text, link = size[node]
-        density = link / text if text else 1
-        if (node is best or node.points >= max(2, best.points / 5) or node.tag in HEADING
-                or node.tag in ("p", "pre", "blockquote") and density < 0.25):
-            out.append(node)
+    last = max(0, wide + (wide >= 0 and above[wide].tag == "article"),
+               above.index(start) if start is not best else 0)
+    size = measure(root)
+    out, node = [best], best
+    for k, up in enumerate(above[:last + 1]):
+        # outside of main and article only what is surely of the article's kind
+        strict = k > wide and (best.tag == "article" or wide >= 0)
+        at = next(i for i, c in enumerate(up.children) if c is node)
+        before, after = ([c for c in part if not isinstance(c, str) and _is_more(c, best, size[c], strict)]
+                         for part in (up.children[:at], up.children[at + 1:]))
+        out, node = before + out + after, up
     return out
 
 
+def _is_more(node: Node, best: Node, size: tuple[int, int], strict: bool) -> bool:
+    """Whether a sibling looks like more of the best container."""
+    text, link = size
+    low = link < 0.25 * text
+    if strict:
+        return low and (node.tag in HEADING or node.tag in ("article", "section") and node.points > 0)
+    return node.points >= max(2, best.points / 5) or node.tag in HEADING or low and node.tag in MORE
+
+
 def blocks(nodes: list[Node]) -> list[str]:
     """Texts of the blocks in page order, white space as single spaces."""
     out, held = [], []

@@ -50,3 +50,28 @@ def test_long_names_and_deep_forms_are_linear():
     page = '<div class="' + "nav-" * 50_000 + 'x">' + f"<p>{A}</p></div>" + "<form>" * 3000 + f"<p>{B}</p>" * 2
     assert B in html_text.main_text(page)
     assert html_text.main_text(f"<p>{A}</p>" + "<b class='ad'>" * 20_000 + "x") == A
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<main><article><p>{A}</p></article><article><p>{B}</p></article></main>", f"{A}\n{B}"),
+    (f"<body><article><p>{A}</p></article><article><p>{B}</p></article><p>out</p></body>", f"{A}\n{B}\nout"),
+    (f"<main><h1>Title</h1><article><p>{A}</p></article><section><p>{B}</p></section></main>", f"Title\n{A}\n{B}"),
+    (f"<main><h1>Title</h1><div><article><p>{A}</p></article></div><section><p>{B}</p></section><p>end</p></main>",
+     f"Title\n{A}\n{B}\nend"),
+    (f"<article><p>{A}</p><article><p>{B}</p><p>{A}</p></article><p>end</p></article>", f"{A}\n{B}\n{A}\nend"),
+    (f'<main><article><p>{A}</p></article><ul><li><a href="/">Other story</a></ul></main>', A),
+    (f'<body><article><p>{A}</p></article><section><p><a href="/">Other story</a></p></section></body>', A),
+])
+def test_siblings_of_an_article(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("more, text", [
+    ("<ul><li>one</ul>", "one"), ("<ol><li>one</ol>", "one"), ("<table><tr><td>one</table>", "one"),
+    ("<figure><figcaption>one</figcaption></figure>", "one"), ("<section><p>one</p></section>", "one"),
+    ("<dl><dt>one<dd>two</dl>", "one\ntwo")])
+def test_short_siblings_of_a_long_container(more, text):
+    long = f"<div><p>{A}</p><p>{B}</p></div>"
+    links = '<ul><li><a href="/">Home</a></ul><table><tr><td><a href="/">x</a></table>'
+    page = f'<div class="page">{long}{more}{links}</div>'
+    assert html_text.main_text(page.replace("</p><p>", f"</p>{'<p>' + A + '</p>'}<p>")) == f"{A}\n{A}\n{B}\n{text}"
