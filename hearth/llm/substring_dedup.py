@@ -19,7 +19,9 @@ is one row per batch and value, so a passage that a third of all documents
 hold is as many rows as there are batches.  Window hashes have 80 bits.
 
 The texts cross the network once, by identifier; both later joins use that
-same exchange.
+same exchange.  Rows that share an identifier are told apart by a 64-bit hash of
+their text; which identifiers do is counted first and sent to all tasks as at
+most ``CELLS`` hash cells.
 
 Defined cases: a null text has no words; fewer than ``window`` words hold no
 repeat; a null identifier is larger than all others; rows that repeat an
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from hearth.llm.frames import apart
 
 LAST = 2**63 - 1
+CELLS = 1 << 18
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 ROOTS = (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93))
 
@@ -87,14 +90,19 @@ def packed(starts: np.ndarray) -> bytes:
 
 
 def _rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return apart(documents, id_col, text_col)[0].select(
+    rows = apart(documents, id_col, text_col)[0].select(
         F.col(id_col).alias("_doc"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("_id"),
-        # tells rows of one identifier apart: a few such rows by 15 bits, those
-        # without an identifier, which may be many, by 64
-        F.when(F.col(id_col).cast("bigint").isNull(), F.xxhash64(text_col))
-        .otherwise(F.xxhash64(text_col).bitwiseAND(0x7FFF)).alias("_th"),
-        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+        F.col(text_col).alias("_given"))
+    # hash cells of the identifiers that several rows have: CELLS rows at most
+    cell = F.pmod(F.xxhash64("_id"), F.lit(CELLS))
+    repeated = (rows.groupBy("_id").count().where("count > 1")
+                .select(cell.alias("_cell")).distinct())
+    return rows.join(F.broadcast(repeated), cell == F.col("_cell"), "left").select(
+        "_doc", "_id",
+        # tells rows of one identifier apart; nothing is sent for those with their own
+        F.when(F.col("_cell").isNotNull(), F.xxhash64("_given")).otherwise(F.lit(0)).alias("_th"),
+        F.coalesce("_given", F.lit("")).cast("binary").alias("_text"))
 
 
 def _blobs(values: list[np.ndarray]) -> pa.Array:
@@ -234,7 +242,7 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 words = text.as_py().split()
                 held = np.zeros(len(words) + 1, np.int64)
                 single = np.array(starts.as_py() or [], np.int64)
-                # starts beyond the text are of another row that 15 bits didn't tell apart
+                # starts beyond the text are of another row that its hash didn't tell apart
                 single = single[single + window <= len(words)]
                 np.add.at(held, single, 1)
                 np.add.at(held, np.minimum(single + window, len(words)), -1)
