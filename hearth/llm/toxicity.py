@@ -8,7 +8,8 @@ most ``2**bits``, in practice hundreds) and broadcast to score all documents
 without a shuffle.
 
 The classifier is fitted on a bounded sample: ``sample_rows`` labelled rows (at
-most twice as many) by a hash of their identifier.  Only that sample's features meet in
+most twice as many) by a hash of their identifier; of rows that repeat an
+identifier it holds one, the text of the smallest hash.  Only that sample's features meet in
 one task, which makes ``epochs`` passes over them; scoring covers all rows.
 
 Defined cases: a null text is empty and scores by the bias alone; null labels
@@ -78,13 +79,24 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              .agg(F.max(F.col(label_col).cast("int")).alias("_label")))
     picked = (spread_sample(known, "_lid", sample_rows)
               .withColumn("_order", F.xxhash64("_lid", F.lit(1))))
-    sample = (apart(docs, id_col, text_col)[0]
-              .select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-              .join(F.broadcast(picked), F.col("_id") == F.col("_lid"))  # 2 * sample_rows ids
+    texts = (apart(docs, id_col, text_col)[0]
+             .select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+             .join(F.broadcast(picked), F.col("_id") == F.col("_lid"))  # 2 * sample_rows ids
+             .withColumn("_hash", F.xxhash64("_text")))
+    # of rows that repeat an identifier the text of the smallest hash, from each task once
+    least = texts.groupBy("_lid").agg(F.min("_hash").alias("_least")).withColumnRenamed("_lid", "_one")
+    sample = (texts.join(F.broadcast(least), (F.col("_lid") == F.col("_one")) & (F.col("_hash") == F.col("_least")))
               .select("_order", "_label", "_text"))
 
     def extract(batches):
+        seen = set()  # 2 * sample_rows at most
         for batch in batches:
+            new = []
+            for k, order in enumerate(batch.column(0).to_pylist()):
+                if order not in seen:
+                    seen.add(order)
+                    new.append(k)
+            batch = batch.take(pa.array(new, pa.int64()))
             rows = [np.unique(np.append(features(t.as_py(), bits), np.int32(BIAS)))
                     for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
@@ -103,7 +115,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                 [pa.array(at.astype(np.int32)), pa.array(w[at])], ["index", "weight"])
 
     return (sample.mapInArrow(extract, "_order bigint, _label int, _features array<int>")
-            .repartition(1).sortWithinPartitions("_order", F.hash("_features"))
+            .dropDuplicates(["_order"]).repartition(1).sortWithinPartitions("_order", F.hash("_features"))
             .select("_label", "_features").mapInArrow(fit, "index int, weight double"))
 
 

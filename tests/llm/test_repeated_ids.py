@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from hearth.llm import substring_dedup as sub
+from hearth.llm import toxicity
 from tests.llm import brute
 from tests.llm.test_edges import documents, expected, rows_of
 
@@ -14,3 +15,18 @@ def test_substring_of_many_rows_under_one_identifier(spark):
     found = sub.substring_dedup(documents(spark, texts).repartition(5))
     found = found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("k"))
     assert rows_of(found, *found.columns) == expected(brute.repeats(texts))
+
+
+def test_toxicity_learns_from_one_row_of_each_identifier(spark):
+    base = [(k, ("you are a blorg " if k % 3 == 0 else "what a fine day ") + f"w{k}") for k in range(60)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id long, toxic int")
+    hot = [(3, f"you are a blorg v{k % 40}") for k in range(400)]
+    least = {r["text"] for r in documents(spark, hot + [base[3]]).orderBy(F.xxhash64(F.col("text").cast("binary")))
+             .limit(1).collect()}
+    one = [(i, t) for i, t in base if i != 3] + [(3, t) for t in least]
+
+    def weights(texts):
+        return rows_of(toxicity.train_toxicity(documents(spark, texts).repartition(6), labels, l1=0.1),
+                       "index", "weight")
+
+    assert weights(base + hot) == weights(one)
