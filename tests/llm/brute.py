@@ -149,3 +149,107 @@ def water_levels(sizes, weights=(1, 2, 3), most=3):
         else:
             high = mid
     return [min(most * s, x * high) for s, x in zip(sizes, w, strict=True)]
+
+
+def runs(w, least=6, copies=4):
+    """(start, length, period) of every run, straight from its definition."""
+    found = []
+    for q in range(1, len(w) // copies + 1):
+        start = 0
+        while start + q < len(w):
+            end = start + q
+            while end < len(w) and w[end] == w[end - q]:
+                end += 1
+            length = end - start
+            if length >= max(least, copies * q) and not any(
+                    all(w[k] == w[k - p] for k in range(start + p, end)) for p in range(1, q)):
+                found.append((start, length, q))
+            start = max(start + 1, end - q + 1)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def planted(doc_id, text):
+    """The words of op11's contract."""
+    w = words(text)
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    if doc_id is None or h % 10 or not n:
+        return w
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def periodic(docs):
+    """The rows of op11."""
+    out = []
+    for i, text in docs:
+        w = planted(i, text)
+        found = runs(w)
+        gone = {k for s, n, q in found for k in range(s + q, s + n)}
+        best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        told = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        listed = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((i, len(found), *told, hashlib.sha256(listed.encode()).hexdigest(),
+                    hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def lines_kept(docs, least=10, chars=1):
+    """(doc_id, n_lines, n_dropped, kept text) of (doc_id, text) rows."""
+    def key(line):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c
+                       for c in line.strip(" \t\n\x0b\x0c\r"))
+
+    split = [(text or "").split("\n") for _, text in docs]
+    held = {}
+    for lines in split:
+        for k in {key(line) for line in lines}:
+            held[k] = held.get(k, 0) + 1
+    out = []
+    for (i, _), lines in zip(docs, split, strict=True):
+        kept = [x for x in lines if len(key(x)) < chars or held[key(x)] < least]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def hash_up(level, fan=2):
+    """(root, per leaf the list of (before, after) from the leaf up)."""
+    ways, at = [[] for _ in level], list(range(len(level)))
+    while len(level) > 1:
+        for leaf, k in enumerate(at):
+            first = k - k % fan
+            ways[leaf].append(("".join(level[first:k]), "".join(level[k + 1:first + fan])))
+        level = [sha(*level[k:k + fan]) for k in range(0, len(level), fan)]
+        at = [k // fan for k in at]
+    return level[0], ways
+
+
+def manifest(rows, fan=2):
+    """op13's rows from (doc_id, source, lang, n_chars, text) rows."""
+    def leaf(values):
+        return sha(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+    order = sorted(rows, key=lambda r: (r[2] is not None, (r[2] or "").encode(),
+                                        r[0] is not None, r[0] or 0, leaf(r)))
+    langs = list(dict.fromkeys(r[2] for r in order))
+    trees = {lang: hash_up([leaf(r) for r in order if r[2] == lang], fan) for lang in langs}
+    if not rows:
+        return []
+    root, top_ways = hash_up([trees[lang][0] for lang in langs], fan)
+    out = []
+    for lang, top in zip(langs, top_ways, strict=True):
+        subroot, ways = trees[lang]
+        for r, way in zip([r for r in order if r[2] == lang], ways, strict=True):
+            odd = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0
+            at = leaf((*r[:3], r[3] + 1 if odd and r[3] is not None else r[3], r[4]))
+            for before, after in way + top:
+                at = sha(before, at, after)
+            out.append((r[0], leaf(r), subroot, root, sha(*[b + a for b, a in way + top]),
+                        at, at == root))
+    return out

@@ -39,11 +39,12 @@ def result(spark, name, *columns, folder=SF):
 
 def test_every_operator_has_one_query():
     named = [n for n in QUERIES if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in named) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in named) == list(range(1, 14))
     assert "pipeline" in QUERIES
 
 
-@pytest.mark.parametrize("name", ["op1_license_scan", "op6_mixing", "op7_exact_dedup"])
+@pytest.mark.parametrize("name", ["op1_license_scan", "op6_mixing", "op7_exact_dedup",
+                                  "op11_periodic_runs", "op12_line_dedup", "op13_merkle_manifest"])
 def test_sql(spark, con, name):
     cur = con.execute(SQL[name])
     columns = [d[0] for d in cur.description]
