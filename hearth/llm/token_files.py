@@ -10,7 +10,13 @@ dictionary keeps even short frames small.  Spark's Parquet writer stores the
 blocks: any file system, committed by task, safe to rerun.
 
 Texts go once over the network, to ranges of identifiers; ids are never
-shuffled.  The starts of all documents need one total per written range.
+shuffled.  The starts of all documents need one total per written range.  Rows of
+one identifier, or without one, are dealt further by a hash of their text and by
+the place they came from, so that many of them are many ranges.
+
+A Python worker keeps its tokenizer and the ids of up to ``REMEMBERED`` words from
+task to task (in its copy of the broadcast), so a word is looked up in the
+library about once per worker.  A worker that starts anew is only slower.
 
 Defined cases: a null text is empty and has the end id only; null identifiers
 come first; equal identifiers follow each other by a hash of their texts; an
@@ -90,7 +96,7 @@ class WordTokens:
             return [np.array(e.ids, "<u4").tobytes() for e in found]
         words = [(t if any(x in t for x in LEFT_ALONE) else ENDING.sub(rb"\1 \2", t.lower())).split()
                  for t in texts]
-        seen = {w for ws in words for w in ws}
+        seen = set().union(*words)
         new = seen.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {w: self.known[w] for w in seen.difference(new)}
@@ -109,14 +115,23 @@ def train_dictionary(docs: DataFrame, definition: str, end_id: int, text_col: st
                      dictionary_bytes: int = 65536) -> bytes:
     """A zstandard dictionary from serialized id arrays of a bounded sample: about
     ``sample_docs`` documents (at most twice as many) by a hash of their identifier,
-    of each at most ``sample_bytes``.  Too little data for one gives ``b""``."""
+    of each at most ``sample_bytes`` from a hashed place on.  They are encoded in
+    tasks; only their ids are collected.  Too little data for one gives ``b""``."""
     import zstandard
 
-    picked = (spread_sample(_texts(docs, id_col, text_col), "_id", sample_docs)
-              .select(F.substring("_text", 1, sample_bytes).alias("_text")).collect())
-    whole = sorted(bytes(r["_text"]).decode(errors="ignore").encode() for r in picked)
+    texts = spread_sample(_texts(docs, id_col, text_col), "_id", sample_docs)
+    begin = F.pmod(F.xxhash64("_text"), F.greatest(F.lit(1), F.octet_length("_text") - sample_bytes))
+    slices = texts.select(F.substring("_text", (begin + 1).cast("int"), F.lit(sample_bytes)).alias("_text"))
     end = np.array([end_id], "<u4").tobytes()
-    samples = [ids + end for ids in WordTokens(definition).encode(whole)]
+
+    def run(batches):
+        encoder = WordTokens(definition)
+        for batch in batches:
+            whole = [t.as_py().decode(errors="ignore").encode() for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids + end for ids in encoder.encode(whole)], pa.binary())], ["ids"])
+
+    samples = sorted(bytes(r["ids"]) for r in slices.mapInArrow(run, "ids binary").collect())
     try:
         return zstandard.train_dictionary(dictionary_bytes, samples, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
@@ -134,15 +149,21 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: str, end_id: i
     digest = hashlib.sha256(trained).hexdigest()
     (spark.createDataFrame([(digest, bytearray(trained))], "dict_hash string, dictionary binary")
      .coalesce(1).write.parquet(f"{path}/dictionary"))
-    shared = spark.sparkContext.broadcast((definition, trained))
-    ordered = (_texts(docs, id_col, text_col).repartitionByRange(F.col("_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("_id").asc_nulls_first(), F.xxhash64("_text")))
+    shared = spark.sparkContext.broadcast({"definition": definition, "dictionary": trained})
+    place = [F.col("_id").asc_nulls_first(), F.col("_hash"), F.col("_at")]
+    ordered = (_texts(docs, id_col, text_col)
+               .select("_id", "_text", F.xxhash64("_text").alias("_hash"),
+                       F.monotonically_increasing_id().alias("_at"))
+               .repartitionByRange(*place).sortWithinPartitions(*place).select("_id", "_text"))
 
     def run(batches):
         import zstandard
 
-        text_of, dictionary = shared.value
-        encoder, end = WordTokens(text_of), np.array([end_id], "<u4").tobytes()
+        held_by_worker = shared.value
+        if "encoder" not in held_by_worker:
+            held_by_worker["encoder"] = WordTokens(held_by_worker["definition"])
+        encoder, dictionary = held_by_worker["encoder"], held_by_worker["dictionary"]
+        end = np.array([end_id], "<u4").tobytes()
         packer = zstandard.ZstdCompressor(
             level=level, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None,
             write_content_size=True)
