@@ -3,7 +3,10 @@
 A page becomes a tree of elements (implied end tags as browsers do).  What is
 never article is cut first: scripts, styles, forms, menus, and elements whose
 tag, role, or a whole word of class or id says menu, header, footer, sidebar,
-notice, advert or comment.  A form or an element so named stays if it holds a
+notice, advert or comment; a compound name says what its last word says, words of
+kind ("-box", "-list") aside, unless it speaks of layout or state ("no-", "-open").
+Readers' comments without such a name are known by their heading or by items that
+can each be answered.  A form or an element so named stays if it holds a
 ``main``, or an ``article`` no shorter than those elsewhere, or most of the text of a
 page that has no article elsewhere, with little of it in links.  Then every paragraph passes points for its length and its commas to
 its ancestors, fewer with each level, and a container's points are discounted
@@ -57,6 +60,23 @@ _KIND = (r"(?:slot|box|bar|list|links?|area|wrap|wrapper|container|section|block
          r"posts?|articles?|stories|[0-9]+)(?![a-z0-9])")
 #: a whole word of class, id or role
 NOT_ARTICLE = re.compile(rf"(?:{_PLACE}[-_]+)*+{_WORD}(?:[-_]+(?:{_WORD}|{_KIND}))*+")
+#: words that mark a name as such by standing last in it, whatever stands before
+#: ("reader-comments", "google-ad", "js-cookie-notice"), words of kind after them aside
+LAST_WORD = re.compile(
+    r"(?:ads?|advert[a-z]*|sponsor(?:ed|s|ship)?|promos?|promotions?|side-?bars?|cookies?|notices?|consent|gdpr|"
+    r"popups?|newsletters?|comments?|commentlist|disqus|replies|share|sharing|social|related|"
+    r"recommend[a-z]*|breadcrumbs?|pagination|pager|footer|menu|navbar|navigation)")
+#: likewise, but for a section of an article that only its heading or its items give away
+TALK = frozenset("discussion discussions thread threads feedback responses reactions".split())
+#: a name with one of these words speaks of something else's layout or state
+LAYOUT = frozenset("no not non has with without hide show".split())
+#: paragraph text beside which a page's talk is not its article
+LEAST_TEXT = 80
+KIND_WORD = re.compile(_KIND)
+#: a heading over readers' comments, and a comment's link to answer it
+TALK_HEADING = re.compile(r"(?:\W|\d|all|reader'?s?|user)*(?:comments?|replies|reader responses)(?:\W|\d)*|"
+                          r"(?:leave|post|add|write) a (?:comment|reply)\W*|join the (?:conversation|discussion)\W*", re.I)
+ANSWER = re.compile(r"\W*(?:reply|reply to .{1,40}|answer|quote|report|flag|upvote|like)\W*\d*\W*", re.I)
 #: an open element of the first set ends where one of the second begins
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
         "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
@@ -149,23 +169,75 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): html.unescape(a or b or c) for k, a, b, c in ATTRIBUTE.findall(text)}
 
 
+def _named(name: str) -> bool:
+    """Whether a word of class, id or role says that its element isn't the article."""
+    if NOT_ARTICLE.fullmatch(name.lower()):
+        return True
+    words = [w for w in re.split(r"[-_]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w]
+    if LAYOUT.intersection(words):
+        return False
+    while len(words) > 1 and KIND_WORD.fullmatch(words[-1]) and not LAST_WORD.fullmatch(words[-1]):
+        words.pop()
+    return bool(words) and bool(LAST_WORD.fullmatch(words[-1]))
+
+
+def _talk(node: Node, names: list[str]) -> bool:
+    """Whether an element holds readers' comments: by its heading; by items that each can
+    be answered; or, outside of an article, by its name alone."""
+    if node.tag not in ("div", "section", "ul", "ol"):
+        return False
+    inner = [c for c in node.children if not isinstance(c, str)]
+    head = inner[0] if inner else None
+    for _ in range(3):
+        if head is not None and head.tag in ("div", "header"):
+            head = next((c for c in head.children if not isinstance(c, str)), None)
+    if head is not None and head.tag in HEADING and TALK_HEADING.fullmatch(" ".join(_flat(head).split())):
+        return True
+    answered: dict[str, int] = {}
+    for c in inner:
+        if c.tag in ("li", "div", "section", "article") and _answered(c):
+            answered[c.tag] = answered.get(c.tag, 0) + 1
+    if max(answered.values(), default=0) > 1 and 2 * sum(answered.values()) > len(inner):
+        return True
+    if not any(TALK.intersection(re.split(r"[-_]+", n.lower())) and not LAYOUT.intersection(
+            re.split(r"[-_]+", n.lower())) for n in names):
+        return False
+    up = node.parent
+    while up is not None and up.tag != "article":
+        up = up.parent
+    return up is None
+
+
+def _answered(item: Node) -> bool:
+    """Whether an item has a link or button to answer it, within its first elements."""
+    stack, seen = [item], 0
+    while stack and seen < 40:
+        node = stack.pop()
+        seen += 1
+        if node.tag in ("a", "button") and ANSWER.fullmatch(" ".join(_flat(node).split())):
+            return True
+        stack += [c for c in node.children if not isinstance(c, str)]
+    return False
+
+
 def _cut(node: Node) -> str:
-    """"always", "named" (unless it holds the article), or ""."""
+    """"always", "named" (unless it holds the article), "talk" (unless there is nothing
+    else), or ""."""
     if node.tag in CUT and node.tag != "form":
         return "always"
-    named = node.tag == "form"
+    named, names = node.tag == "form", []
     if node.attributes.strip() and node.tag not in ("html", "body"):
         found = _attributes(node.attributes)
         if ("hidden" in found or found.get("aria-hidden", "").lower() == "true"
                 or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I)):
             return "always"
-        names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower().split()
-        named = named or node.tag != "main" and any(map(NOT_ARTICLE.fullmatch, names))
-    return "named" if named else ""
+        names = " ".join(found.get(k, "") for k in ("class", "id", "role")).split()
+        named = named or node.tag != "main" and any(map(_named, names))
+    return "talk" if _talk(node, names) else "named" if named else ""
 
 
 def prune(root: Node) -> None:
-    nodes, named, stack = [], set(), [root]
+    nodes, named, stack = [], {}, [root]
     while stack:
         node = stack.pop()
         nodes.append(node)
@@ -178,13 +250,13 @@ def prune(root: Node) -> None:
             if not isinstance(c, str):
                 stack.append(c)
             if cut:
-                named.add(c)
+                named[c] = cut
         node.children = left
     if named:
         _prune_named(nodes, named)
 
 
-def _prune_named(nodes: list[Node], named: set[Node]) -> None:
+def _prune_named(nodes: list[Node], named: dict[Node, str]) -> None:
     """Cuts the named elements but those that hold the article; ``nodes`` has parents first."""
     own = {n: len(" ".join(_own(n).split())) for n in nodes if n.tag in PARAGRAPH or n.tag == "form"}
     total, sure = sum(own.values()), 0  # paragraph text, and that of articles which stay anyway
@@ -208,7 +280,8 @@ def _prune_named(nodes: list[Node], named: set[Node]) -> None:
                 article += p if c.tag in ("article", "main") else a
         held[n] = text, text if n.tag == "a" else link, paragraphs, article, main
         if n in named and text and (main or link < 0.25 * text and (
-                article and (n.tag == "form" or article >= sure) or not sure and 2 * paragraphs > total)):
+                article and (n.tag == "form" or article >= sure) or not sure and (
+                    2 * paragraphs > total if named[n] == "named" else total - paragraphs < LEAST_TEXT))):
             stays.add(n)
     for n in nodes:
         n.children = [c for c in n.children if isinstance(c, str) or c not in named or c in stays]
@@ -267,10 +340,12 @@ def score(root: Node) -> Node | None:
 
 def _own(node: Node) -> str:
     """Its text outside of blocks in it."""
-    return " ".join(c if isinstance(c, str) else "" if c.tag in BLOCK else _flat(c) for c in node.children)
+    return " ".join(c if isinstance(c, str) else "" if c.tag in BLOCK else _flat(c, BLOCK)
+                    for c in node.children)
 
 
-def _flat(node: Node) -> str:
+def _flat(node: Node, without: frozenset = frozenset()) -> str:
+    """Text of an element, but for elements ``without`` in it."""
     out, stack = [], [node]
     while stack:  # no recursion: elements may be nested without limit
         item = stack.pop()
@@ -278,7 +353,7 @@ def _flat(node: Node) -> str:
             out.append(item)
         elif item.tag == "br":
             out.append(" ")
-        else:
+        elif item.tag not in without:
             stack += reversed(item.children)
     return "".join(out)
 
@@ -332,6 +407,18 @@ def _is_more(node: Node, best: Node, size: tuple[int, int], strict: bool) -> boo
     return node.points >= max(2, best.points / 5) or node.tag in HEADING or low and node.tag in MORE
 
 
+def _prune_cells(best: Node) -> None:
+    """Where the article is a cell of a table layout, cuts the cells of links beside it."""
+    if best.tag not in ("table", "tbody", "tr"):
+        return
+    size = measure(best)
+    for row in walk(best):
+        cells = [c for c in row.children if not isinstance(c, str) and c.tag in ("td", "th")]
+        most = max((size[c][0] for c in cells), default=0)
+        gone = {c for c in cells if 2 * size[c][1] > size[c][0] and 5 * size[c][0] < most}
+        row.children = [c for c in row.children if c not in gone]
+
+
 def blocks(nodes: list[Node]) -> list[str]:
     """Texts of the blocks in page order, white space as single spaces."""
     out, held = [], []
@@ -365,7 +452,10 @@ def main_text(page: str | None) -> str:
         return ""
     root = parse(page)
     prune(root)
-    return "\n".join(blocks(kept(root)))
+    found = kept(root)
+    for node in found:
+        _prune_cells(node)
+    return "\n".join(blocks(found))
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
