@@ -21,7 +21,9 @@ hold is as many rows as there are batches.  Window hashes have 80 bits.
 The texts cross the network once, by identifier; both later joins use that
 same exchange.  Rows that share an identifier are told apart by a 64-bit hash of
 their text; which identifiers do is counted first and sent to all tasks as at
-most ``CELLS`` hash cells.
+most ``CELLS`` hash cells.  Rows that repeat identifier and text are made one
+before the first step, and the result of that one is joined to all of them at the
+end: however many there are, they ask once.
 
 Defined cases: a null text has no words; fewer than ``window`` words hold no
 repeat; a null identifier is larger than all others; rows that repeat an
@@ -37,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.llm.frames import apart
+from hearth.session import materialize
 
 LAST = 2**63 - 1
 CELLS = 1 << 18
@@ -89,20 +92,26 @@ def packed(starts: np.ndarray) -> bytes:
                     axis=1).astype(np.int32).tobytes()
 
 
-def _rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _rows(documents: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """Rows with ``_doc`` and ``_th``, NULL where the identifier is the row's own; and
+    whether any identifier may be shared."""
     rows = apart(documents, id_col, text_col)[0].select(
         F.col(id_col).alias("_doc"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("_id"),
         F.col(text_col).alias("_given"))
     # hash cells of the identifiers that several rows have: CELLS rows at most
     cell = F.pmod(F.xxhash64("_id"), F.lit(CELLS))
-    repeated = (rows.groupBy("_id").count().where("count > 1")
-                .select(cell.alias("_cell")).distinct())
-    return rows.join(F.broadcast(repeated), cell == F.col("_cell"), "left").select(
-        "_doc", "_id",
-        # tells rows of one identifier apart; nothing is sent for those with their own
-        F.when(F.col("_cell").isNotNull(), F.xxhash64("_given")).otherwise(F.lit(0)).alias("_th"),
+    repeated = materialize(rows.groupBy("_id").count().where("count > 1")
+                           .select(cell.alias("_cell")).distinct(), "shared-ids")
+    told = rows.join(F.broadcast(repeated), cell == F.col("_cell"), "left").select(
+        "_doc", "_id", F.when(F.col("_cell").isNotNull(), F.xxhash64("_given")).alias("_th"),
         F.coalesce("_given", F.lit("")).cast("binary").alias("_text"))
+    return told, not repeated.isEmpty()
+
+
+def _mixed(ids: np.ndarray, ths: np.ndarray) -> np.ndarray:
+    """A key that spreads the rows of one identifier by their texts."""
+    return (ids.view(np.uint64) ^ (ths.view(np.uint64) * SPREAD)).view(np.int64)
 
 
 def _blobs(values: list[np.ndarray]) -> pa.Array:
@@ -133,7 +142,7 @@ def _seed(rows: DataFrame, window: int, gram: int) -> DataFrame:
             told = shared[inverse]
             docs, begin = np.unique(of[told], return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[docs]), pa.array(ids[docs]), pa.array(ths[docs]),
+                [pa.array(_mixed(ids[docs], ths[docs])), pa.array(ids[docs]), pa.array(ths[docs]),
                  pa.array(np.ones(len(docs), bool)),
                  _blobs(np.split(flat[told], begin[1:]) if len(docs) else [])], names)
 
@@ -205,8 +214,10 @@ def _extend(seeded: DataFrame, window: int, gram: int) -> DataFrame:
                 docs, begin = np.unique(of, return_index=True)
                 spans = [packed(s) for s in np.split(start, begin[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[docs]), pa.nulls(len(docs), pa.int16()), pa.array(ids[docs]),
-                     pa.array(ths[docs]), pa.nulls(len(docs), pa.int32()), pa.array(spans, pa.binary())], names)
+                    [pa.array(_mixed(ids[docs], ths[docs])), pa.nulls(len(docs), pa.int16()),
+                     pa.array(ids[docs]),
+                     pa.array(ths[docs]), pa.nulls(len(docs), pa.int32()),
+                     pa.array(spans, pa.binary())], names)
 
     asked = seeded.mapInArrow(
         run, "h1 bigint, h2 smallint, _id bigint, _th bigint, start int, spans binary")
@@ -224,7 +235,24 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
     joined by one space)."""
     if not 0 < gram <= window:
         raise ValueError("gram must be between 1 and window")
-    rows = _rows(documents, id_col, text_col)
+    rows, some_shared = _rows(documents, id_col, text_col)
+    own = rows.where("_th is null").select("_doc", "_id", F.lit(0).cast("bigint").alias("_th"), "_text")
+    if not some_shared:
+        return _dedup(own, window, gram).drop("_id", "_th").withColumnRenamed("_doc", id_col)
+    shared = rows.where("_th is not null")
+    key = ["_doc", "_id", "_th"]
+    one = shared.groupBy(*key).agg(F.first("_text").alias("_text"))
+    done = _dedup(own.unionByName(one), window, gram)
+    # a row's own identifier has no partner here; many rows of one key are split by the join
+    back = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in key]
+    copies = rows.select("_doc", "_id", F.coalesce("_th", F.lit(0)).alias("_th"))
+    return (copies.join(done.withColumnsRenamed({c: f"_of{c}" for c in key}), back)
+            .select("_doc", "n_words", "n_removed", "repeats", "kept")
+            .withColumnRenamed("_doc", id_col))
+
+
+def _dedup(rows: DataFrame, window: int, gram: int) -> DataFrame:
+    """The result for rows that differ in (``_id``, ``_th``), with ``_doc`` and both."""
     shared = _seed(rows, window, gram)
     on = ["_id", "_th"]
     # the columns of both joins' left side are the same: one exchange of the texts
@@ -232,7 +260,7 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
               .select("_id", "_th", "_text", "_anchors", "_known", "_doc"))
     found = _extend(seeded, window, gram)
     marked = rows.join(found, on, "left").select("_doc", "_text", "_starts", "_spans", *on)
-    names = ["_doc", "n_words", "n_removed", "repeats", "kept"]
+    names = ["_doc", "_id", "_th", "n_words", "n_removed", "repeats", "kept"]
     repeats = pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))
 
     def run(batches):
@@ -258,11 +286,11 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 kept.append(b" ".join([w for w, c in zip(words, cover.tolist(), strict=True) if not c]
                                       if gone[-1] else words).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(spans, repeats), pa.array(kept, pa.string())], names)
+                [batch.column(0), batch.column(4), batch.column(5), pa.array(counts, pa.int64()),
+                 pa.array(gone, pa.int64()), pa.array(spans, repeats), pa.array(kept, pa.string())],
+                names)
 
     kind = rows.schema["_doc"].dataType.simpleString()
     return marked.mapInArrow(
-        run, f"_doc {kind}, n_words bigint, n_removed bigint, "
-             "repeats array<struct<first: int, past: int>>, kept string").withColumnRenamed(
-        "_doc", id_col)
+        run, f"_doc {kind}, _id bigint, _th bigint, n_words bigint, n_removed bigint, "
+             "repeats array<struct<first: int, past: int>>, kept string")
