@@ -11,6 +11,9 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.operators.selection import exact_median
+from hearth.session import materialize
+
 Measure = Callable[[], Column]
 
 
@@ -23,7 +26,6 @@ SALES = {
     "Total Sales": lambda: F.sum("SalePrice"),
     "Sales Count": lambda: F.count(F.lit(1)),
     "Average Sale Price": lambda: F.avg("SalePrice"),
-    "Median Sale Price": lambda: F.median(F.col("SalePrice").cast("double")),
     "Highest Sale Price": lambda: F.max("SalePrice"),
     "Lowest Sale Price": lambda: F.min("SalePrice"),
     "Data Last Updated": lambda: F.max("LoadTimestamp"),
@@ -69,6 +71,9 @@ OPERATIONS = {
         F.count_if(F.col("RunStatus") == "Failed"), F.lit(0)),
 }
 
+# M4: a median isn't one aggregate (``selection.exact_median``): measure → column
+MEDIANS = {"Median Sale Price": "SalePrice"}
+
 REGISTRY: dict[str, Measure] = {**SALES, **VACANCY, **PLANNING, **OPERATIONS}
 
 
@@ -78,8 +83,23 @@ def column_name(measure: str) -> str:
 
 def evaluate(df: DataFrame, names: Sequence[str], by: Sequence[str] = (),
              alias: Callable[[str], str] = column_name) -> DataFrame:
-    aggs = [REGISTRY[n]().alias(alias(n)) for n in names]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    """``by`` and the named measures.  All but medians are one aggregate; with a
+    median among them the rows are stored once, and both read that."""
+    medians = [n for n in names if n in MEDIANS]
+    if medians:
+        df = materialize(df, "measured")
+    aggs = [REGISTRY[n]().alias(alias(n)) for n in names if n not in MEDIANS]
+    out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs or [F.count(F.lit(1)).alias("_rows")])
+    for n in medians:
+        found = exact_median(df, MEDIANS[n], "_median", by, stored=True)
+        if by:
+            found = found.select(*[F.col(b).alias(f"_by{k}") for k, b in enumerate(by)], "_median")
+            on = [F.col(b).eqNullSafe(F.col(f"_by{k}")) for k, b in enumerate(by)]
+            out = out.join(found, on, "left").drop(*[f"_by{k}" for k in range(len(by))])
+        else:                       # one row each
+            out = out.withColumn("_median", F.lit(found.first()[0]).cast("double"))
+        out = out.withColumnRenamed("_median", alias(n))
+    return out.select(*by, *[alias(n) for n in names])
 
 
 def by_outcome(star: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -99,61 +119,6 @@ def by_outcome(star: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                                    .cast("double")).alias("PlanningGrantRate"))
 
 
-def exact_median(df: DataFrame, col: str, out: str = "Median",
-                 by: Sequence[str] = ()) -> DataFrame:
-    """Exact median of a column (per group of ``by``) without a one-task
-    buffer.
-
-    ``median()`` merges every partition's value map in a single task per
-    group, which does not scale with the number of distinct values of a
-    big group.  Here the values are sorted once by range partitioning on
-    (group, value, row id) and stamped (``keys.range_stamped``), so a
-    group — or a single value — holding a third of all rows is still
-    spread over many partitions.  Row counts per partition give each
-    group's middle ranks as stamps; only those one or two rows are read
-    and averaged, the same interpolation as ``median``
-    (``a + (b - a) * 0.5`` as double)."""
-    from hearth.operators.keys import _LOCAL_BITS, _LOCAL_MASK, range_stamped, rows_at_ranks
-
-    by = list(by)
-    vals = (df.select(*by, F.col(col).cast("double").alias("_v"))
-            .filter(F.col("_v").isNotNull()))
-    interp = (F.when(F.count(F.lit(1)) == 1, F.first("_v"))
-              .otherwise(F.min("_v") + (F.max("_v") - F.min("_v")) * 0.5).alias(out))
-    if not by:
-        # one sorted, stamped copy; the per-partition counts locate the one or
-        # two middle rows, which are read back by stamp (no join, no re-scan)
-        ordered = range_stamped(vals.withColumn("_tb", F.monotonically_increasing_id()),
-                                ["_v", "_tb"])
-        middle = lambda n: sorted({(n + 1) // 2, (n + 2) // 2} - {0})
-        return rows_at_ranks(ordered, middle).agg(interp)
-    # per group: the same sorted, stamped copy; the (partition, group) counts
-    # — at most #partitions rows per group, so a hot group stays small here —
-    # give each group's running offsets and the stamps of its middle rows,
-    # and one semi-join on the stamp picks those rows (<= 2 per group)
-    ordered = range_stamped(vals.withColumn("_tb", F.monotonically_increasing_id()),
-                            ["_v", "_tb"], by)
-    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    local = F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK))
-    counts = ordered.groupBy(pid.alias("_pid"), *by).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(local).alias("_first"))
-    w = Window.partitionBy(*by).orderBy("_pid")
-    spans = counts.select("_pid", "_n", "_first",
-                          (F.sum("_n").over(w) - F.col("_n")).alias("_off"),
-                          F.sum("_n").over(Window.partitionBy(*by)).alias("_t"))
-    k = F.array_distinct(F.array(F.floor((F.col("_t") + 1) / 2), F.floor((F.col("_t") + 2) / 2)))
-    spans = spans.select("_pid", "_n", "_first", "_off", F.explode(k).alias("_k"))
-    wanted = spans.filter((F.col("_k") > F.col("_off"))
-                          & (F.col("_k") <= F.col("_off") + F.col("_n"))).select(
-        (F.shiftleft(F.col("_pid"), _LOCAL_BITS) + F.col("_first")
-         + F.col("_k") - F.col("_off") - 1).alias("_mid"))
-    mid = ordered.join(wanted, "_mid", "left_semi")
-    med = mid.groupBy(*[F.col(b).alias(f"_m_{b}") for b in by]).agg(interp)
-    groups = df.select(*by).distinct()                 # groups with only NULL values stay
-    return (groups.join(med, [F.col(b).eqNullSafe(F.col(f"_m_{b}")) for b in by], "left")
-            .select(*by, out))
-
-
 def latest_run_duration(run_log: DataFrame) -> DataFrame:
     """M21: minutes of the run with the latest start (of equal starts the
     largest run): (max end − min start) seconds / 60; NULL while no child of

@@ -12,7 +12,7 @@ import datetime as dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.dates import seconds_between
@@ -202,6 +202,14 @@ class SnapshotStore:
         df.write.mode("errorifexists").parquet(f"{self.root}/{table}/version={v}")
         return v
 
+    def overwrite_counted(self, df: DataFrame, table: str, keep_schema: bool = False
+                          ) -> tuple[int, int]:
+        """SK6 / DQ5 without a second look: the new version and its number of rows, as
+        the writing job counted them."""
+        seen = Observation()
+        v = self.overwrite(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, keep_schema)
+        return v, seen.get["rows"]
+
     def create_or_merge(self, source: DataFrame, table: str, key, ts: str | None = None) -> int:
         """MG2: first load creates the table, later loads merge into it."""
         if not self.exists(table):

@@ -15,18 +15,22 @@ from pyspark.sql import functions as F
 
 from hearth.operators import aggregates as ag
 from hearth.operators import cube as oc
+from hearth.operators import cube_variant as cv
 from hearth.operators import measures as M
 from hearth.operators import merge as mg
 from hearth.operators import quality as dq
 from hearth.operators.dims import dim_date
 from hearth.operators.joins import missing_members, star_join
+from hearth.operators.registry import DimensionRegistry
+from hearth.plans import cubes as cb
 from hearth.plans import planning as pl
 from hearth.plans import reports as rq
 from hearth.plans import sales as sl
 from hearth.plans import vacancy as vc
-from hearth.sources import sinks
+from hearth.session import fresh_subdir
+from hearth.sources import checked, footers, sinks
 from hearth.sources import standins as st
-from hearth.sources.readers import inline_rows
+from hearth.sources.readers import inline_rows, read_extract_window
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +41,10 @@ YEAR_CHOICES = (2010, 2014)
 MERGE_CUT = "1998-01-01 00:00:00"
 WINDOW_LAST = "1997-01-01 00:00:00"
 CHANGED_PRIORITY = "1-URGENT"
+BUCKETS = 16
+EXTRACT_WINDOWS = {"orders": ("1996-12-31", "1997-06-30"), "lineitem": ("1995-01-01", "2000-01-01")}
+LEAST_PRICE, TOO_CHEAP = 2000, "SalePrice is too low"
+CUSTOMER_CSV = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 EARLIER_RUN_DATE = "2024-06-29"
 SHORT_CALENDAR = "2012-01-01"
 REMOVED_MEMBERS = {"dim_planning_authority": 3, "dim_decision_type": 0}
@@ -104,10 +112,19 @@ def q_distinct_values(spark, sf):
 
 
 def q_table_totals(spark, sf):
-    m = _sales(spark, sf)
-    fact = m.fact                                    # stores the silver layer
-    return ag.table_totals({"silver_sales": m.stored_silver, "gold_sales": m.stored_gold,
-                            "fact_property_sales": fact}, ts_col="LoadTimestamp")
+    """The layers as a load stores them; their totals come from the files' footers."""
+    base, m = fresh_subdir(spark, "layers"), _sales(spark, sf)
+    layers = {}
+
+    def store(name, df):
+        layers[name] = f"{base}/{name}"
+        footers.with_load_micros(df).write.parquet(layers[name])
+        return spark.read.parquet(layers[name]).drop(footers.MICROS)
+
+    m.stored_silver = store("silver_sales", m.silver)
+    store("gold_sales", m.stored_gold)
+    store("fact_property_sales", m.fact)
+    return footers.footer_totals(spark, layers)
 
 
 def q_dim_county(spark, sf):
@@ -200,8 +217,39 @@ def q_cube_flatten(spark, sf):
 
 
 def q_cube_validate(spark, sf):
+    """The documents, and the first region's once more without its last value."""
     d = vc.parse_documents(vc.cube_documents(spark, sf), keep=["RegionKey"])
-    return oc.cube_validate(d).select("RegionKey", "ExpectedCells", "ValueCount", "IsValid")
+    short = F.expr("slice(doc.value, 1, size(doc.value) - 1)")
+    cut = d.where("RegionKey = 0").select((F.col("RegionKey") + 100).alias("RegionKey"),
+                                          F.col("doc").withField("value", short).alias("doc"))
+    return oc.cube_validate(d.unionByName(cut)).select(
+        "RegionKey", "ExpectedCells", "ValueCount", "IsValid")
+
+
+def q_cube_any_dimensions(spark, sf):
+    """JS1-JS3 by each document's own dimensions: 2, 3 and 4 of them."""
+    cubes = cv.parse_cubes(cb.cube_texts(spark, sf), keep=["Document"])
+
+    def told(column, sign):
+        entries = F.transform(F.map_entries(column), lambda e: F.concat(e["key"], F.lit(sign), e["value"]))
+        return F.array_join(entries, "|").alias(column)
+
+    return cv.decode_cubes(cubes, keep=["Document"]).select(
+        "Document", "Updated", "Position", told("Codes", "="), told("Labels", ": "), "Unit", "Value")
+
+
+def q_cube_present_cells(spark, sf):
+    """The cells that hold a value, as columns; dimensions that a document lacks are NULL."""
+    cubes = cv.parse_cubes(cb.cube_texts(spark, sf), keep=["Document"])
+    cells = cv.decode_cubes(cubes, keep=["Document"], present=True)
+    return cv.cube_columns(cells, {dim: name for dim, (_, name) in cb.DIMS.items()}, ["Document"])
+
+
+def q_cube_problems(spark, sf):
+    """JS2: documents and damaged copies of them, with what doesn't fit."""
+    texts = cb.cube_texts(spark, sf)
+    cubes = cv.parse_cubes(texts.unionByName(cb.damaged_texts(texts)), keep=["Document"])
+    return cv.check_cubes(cubes).select("Document", "ExpectedCells", "ValueCount", "Problem")
 
 
 def q_cube_metadata(spark, sf):
@@ -217,18 +265,18 @@ def q_county_rollup(spark, sf):
     return _vacancy(spark, sf).gold
 
 
-def _vacancy_star(spark, sf, stored: bool = True):
-    """Vacancy fact keyed to the sales county dimension.  Reports read the
-    gold layer twice (fact + quarter dimension), so they use the stored
-    gold; a single read (the fact alone) skips the write."""
+def _vacancy_star(spark, sf):
+    """Vacancy model, county members and fact.  The load registers its counties in
+    the stored dimension; fact and reports read that, not the sales."""
     v = _vacancy(spark, sf)
-    s = _sales(spark, sf)
-    fact = vc.fact_housing_vacancy(v.stored_gold if stored else v.gold, s.dim_county)
-    return v, s, fact
+    counties = DimensionRegistry(spark, fresh_subdir(spark, "registry"), "dim_county",
+                                 "CountyKey", "CountyName")
+    counties.register(v.stored_gold, "County")
+    return v, counties.members(), vc.fact_housing_vacancy(v.stored_gold, counties.members())
 
 
 def q_fact_vacancy(spark, sf):
-    return _vacancy_star(spark, sf, stored=False)[2]
+    return _vacancy_star(spark, sf)[2]
 
 
 def q_dim_quarter(spark, sf):
@@ -243,38 +291,38 @@ def _sales_stamp_source(spark, sf) -> DataFrame:
 
 
 def q_kpi_vacancy(spark, sf):
-    v, s, fact = _vacancy_star(spark, sf)
-    return rq.kpi_vacancy(fact, v.dim_quarter(), s.gold, SELECTED_QUARTERS)
+    v, _, fact = _vacancy_star(spark, sf)
+    return rq.kpi_vacancy(fact, v.dim_quarter(), _sales_stamp_source(spark, sf), SELECTED_QUARTERS)
 
 
 def q_vacant_by_county(spark, sf):
-    v, s, fact = _vacancy_star(spark, sf)
-    return rq.vacant_by_county(fact, v.dim_quarter(), s.dim_county, SELECTED_QUARTERS)
+    v, counties, fact = _vacancy_star(spark, sf)
+    return rq.vacant_by_county(fact, v.dim_quarter(), counties, SELECTED_QUARTERS)
 
 
 def q_rate_by_county(spark, sf):
-    v, s, fact = _vacancy_star(spark, sf)
-    return rq.rate_by_county(fact, v.dim_quarter(), s.dim_county, SELECTED_QUARTERS)
+    v, counties, fact = _vacancy_star(spark, sf)
+    return rq.rate_by_county(fact, v.dim_quarter(), counties, SELECTED_QUARTERS)
 
 
 def q_rate_by_year(spark, sf):
-    v, s, fact = _vacancy_star(spark, sf)
+    v, _, fact = _vacancy_star(spark, sf)
     return rq.rate_by_year(fact, v.dim_quarter())
 
 
 def q_vacancy_map(spark, sf):
-    v, s, fact = _vacancy_star(spark, sf)
-    return rq.vacancy_map(fact, v.dim_quarter(), s.dim_county)
+    v, counties, fact = _vacancy_star(spark, sf)
+    return rq.vacancy_map(fact, v.dim_quarter(), counties)
 
 
 def q_scaled_measure(spark, sf):
-    v, s, fact = _vacancy_star(spark, sf)
-    g = rq.vacant_by_county(fact, v.dim_quarter(), s.dim_county, SELECTED_QUARTERS)
+    v, counties, fact = _vacancy_star(spark, sf)
+    g = rq.vacant_by_county(fact, v.dim_quarter(), counties, SELECTED_QUARTERS)
     return rq.scaled_measure(g, "TotalVacantDwellings", "ScaledVacant")
 
 
 def q_fact_checks(spark, sf):
-    return dq.fact_checks(_vacancy_star(spark, sf, stored=False)[2], "HousingVacancyKey")
+    return dq.fact_checks(_vacancy_star(spark, sf)[2], "HousingVacancyKey")
 
 
 # --- planning -------------------------------------------------------------------------------------
@@ -508,6 +556,32 @@ def q_incremental_window(spark, sf):
                                  current)
 
 
+def q_bucketed_merge(spark, sf):
+    """JN7 / MG1 into a bucketed table: two loads, the changed rows one after the other."""
+    from hearth.sources.bucketed import BucketedTarget
+    target, source = merge_inputs(spark, sf)
+    where = fresh_subdir(spark, "bucketed")
+    table = BucketedTarget(spark, "orders_" + where.rsplit("-", 1)[1], where, "o_orderkey", BUCKETS)
+    table.create(target)
+    late = F.col("UpdatedAt") > F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")
+    table.merge(source.where(~late), ts="UpdatedAt")
+    table.merge(source.where(late), ts="UpdatedAt", keep_newer_target=True)
+    return table.read()
+
+
+def q_extract_window(spark, sf):
+    """SC3 + MG3: the dated folders that the control table's window names."""
+    base = fresh_subdir(spark, "extracts")
+    o = st.table(spark, sf, "orders").select(*ORDER_COLS)
+    (o.withColumn("load_date", F.trunc("o_orderdate", "month")).repartition("load_date")
+     .write.partitionBy("load_date").parquet(f"{base}/orders"))
+    control = [(n, *w) for n, w in EXTRACT_WINDOWS.items()]
+    (spark.createDataFrame(control, "DatasetName STRING, LastLoadDate STRING, CurrentLoadDate STRING")
+     .select("DatasetName", F.to_date("LastLoadDate").alias("LastLoadDate"),
+             F.to_date("CurrentLoadDate").alias("CurrentLoadDate")).write.parquet(f"{base}/control"))
+    return read_extract_window(spark, base, "orders", spark.read.parquet(f"{base}/control"), "orders")
+
+
 def _watermark_table(spark):
     rows = [(1, "orders", "orders", "o_orderdate", "1997-01-01 00:00:00", True),
             (2, "lineitem", "lineitem", "l_shipdate", "2100-01-01 00:00:00", True),
@@ -549,16 +623,72 @@ def q_extract_roundtrip(spark, sf):
     return roundtrip_csv(spark, st.sales_raw(spark, sf))
 
 
+def _sales_load(spark, sf) -> checked.CheckedLoad:
+    """The fact loaded into its declared table, with a rule of the load's own."""
+    return checked.load_checked(
+        _sales(spark, sf).fact, sinks.FACT_PROPERTY_SALES, fresh_subdir(spark, "loads") + "/fact",
+        **{TOO_CHEAP: F.col("SalePrice") < LEAST_PRICE})
+
+
 def q_staging_load(spark, sf):
-    from hearth.sources.sinks import load_warehouse_table, FACT_PROPERTY_SALES
-    priced = _sales(spark, sf).fact.where("SalePrice is not null")   # the column is NOT NULL there
-    return load_warehouse_table(priced, FACT_PROPERTY_SALES).drop("PropertySaleKey")
+    """SK5: the rows that fit the declared table."""
+    return _sales_load(spark, sf).loaded.drop("PropertySaleKey")
+
+
+def q_rejected_rows(spark, sf):
+    """SK5: the rows that don't, with the rules they break."""
+    return _sales_load(spark, sf).rejected.select(
+        *FACT_SALES_COLS, F.array_join(checked.REASONS, "; ").alias("Reasons"))
+
+
+def q_load_counts(spark, sf):
+    """SK6 / DQ5: what the writing job counted, beside what the two tables hold."""
+    done = _sales_load(spark, sf)
+    told = inline_rows(spark, sorted(done.counts.items()), "Name STRING, Counted BIGINT")
+    rows = (done.loaded.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("Name"), "n")
+            .unionByName(done.rejected.select(F.inline(F.array(
+                *[F.struct(F.lit(n).alias("Name"), F.lit(1).cast("bigint").alias("n"))
+                  for n in ("rows", "rejected")])))
+                .unionByName(done.rejected.select(F.explode(checked.REASONS).alias("Name"),
+                                                  F.lit(1).cast("bigint").alias("n")))))
+    held = rows.groupBy("Name").agg(F.sum("n").alias("Stored"))
+    return told.join(held, "Name", "left").select("Name", "Counted",
+                                                  F.coalesce("Stored", F.lit(0)).alias("Stored"))
+
+
+def _customer_lines(spark, sf):
+    """Customers as CSV files with a header, some lines damaged by customer key."""
+    c = st.table(spark, sf, "customer").select(*CUSTOMER_CSV)
+    k = F.col("c_custkey")
+    fields = [F.col(n).cast("string") for n in CUSTOMER_CSV]
+    line = (F.when(k % 7 == 0, F.concat_ws(",", *fields[:-1]))                  # short
+            .when(k % 11 == 0, F.concat_ws(",", *fields, F.lit("more")))        # long
+            .when(k % 13 == 0, F.concat_ws(",", fields[0], F.concat(F.lit('"'), fields[1]), *fields[2:]))
+            .when(k % 17 == 0, F.concat_ws(",", F.lit("none"), *fields[1:]))    # no number
+            .otherwise(F.concat_ws(",", *fields)))
+    path = fresh_subdir(spark, "customers") + "/csv"
+    (c.select(line.alias(",".join(CUSTOMER_CSV))).write.option("header", True).option("sep", "\u0001")
+     .option("quote", "\u0000").option("escapeQuotes", False).csv(path))
+    return checked.read_csv_checked(
+        spark, path, "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+        encoding="UTF-8")
+
+
+def q_csv_good_rows(spark, sf):
+    """SC1: the rows of a file with damaged lines."""
+    return _customer_lines(spark, sf).loaded
+
+
+def q_csv_damaged_lines(spark, sf):
+    """SC1: the damaged lines of that file, as they stand in it."""
+    return _customer_lines(spark, sf).rejected.select(
+        "Line", F.col("File").endswith(".csv").alias("HasFile"),
+        F.array_join(checked.REASONS, "; ").alias("Reasons"))
 
 
 def q_cube_from_files(spark, sf):
     """SC2: cube documents land as files; each file is read whole as one
     text row on the executors and decoded (no driver ``first()``)."""
-    from hearth.session import fresh_subdir
     from hearth.sources.readers import read_json_documents
     path = fresh_subdir(spark, "bronze-cube") + "/docs"
     vc.cube_documents(spark, sf).select("value").write.text(path)
@@ -665,6 +795,25 @@ def q_stable_county_keys(spark, sf):
     return sl.dim_county(m.gold, existing=first)
 
 
+def q_county_registry(spark, sf):
+    """DM1, S6: the vacancy load registers its counties, the sales load new ones
+    after them, a second sales load none; both facts carry the stored keys."""
+    counties = DimensionRegistry(spark, fresh_subdir(spark, "registry"), "dim_county",
+                                 "CountyKey", "CountyName")
+    gold = _vacancy(spark, sf).stored_gold
+    names = _sales(spark, sf).gold.select("County")
+    counties.register(gold, "County")
+    counties.register(names, "County")
+    counties.register(names, "County")
+    vacancy = vc.fact_housing_vacancy(gold, counties.members()).groupBy("CountyKey").agg(
+        F.count(F.lit(1)).alias("VacancyRows"))
+    sold = sl.keyed_sales(names, {"dim_county": counties.members()}, []).groupBy("CountyKey").agg(
+        F.count(F.lit(1)).alias("SalesRows"))
+    return (counties.stored().join(vacancy, "CountyKey", "left").join(sold, "CountyKey", "left")
+            .select("CountyKey", "CountyName", "LoadNumber",
+                    *[F.coalesce(c, F.lit(0)).alias(c) for c in ("VacancyRows", "SalesRows")]))
+
+
 def q_largest_sales(spark, sf):
     """SO3: the twenty largest sales."""
     rest = ["Address", "SaleDate", "Eircode", "PropertyType", "PropertySizeCategory", "SaleType",
@@ -689,21 +838,19 @@ def q_county_from_default_map(spark, sf):
 
 def q_snapshot_merge(spark, sf):
     """MG2 + SK2 + SK6: the first load creates the table, the second merges into
-    it, a third replaces its rows under the same schema and is counted."""
-    from hearth.session import fresh_subdir
+    it, a third replaces its rows under the same schema; each write counts its rows."""
     target, source = merge_inputs(spark, sf)
     store = mg.SnapshotStore(spark, fresh_subdir(spark, "snapshots"))
     store.create_or_merge(target, "orders", "o_orderkey")
-    store.create_or_merge(source, "orders", "o_orderkey", ts="UpdatedAt")
-    merged = store.read("orders")
-    version = store.overwrite(merged, "orders", keep_schema=True)
-    if not store.readback_check("orders", merged.count()):
+    merged = mg.merge_upsert(store.read("orders"), source, "o_orderkey", ts="UpdatedAt")
+    _, rows = store.overwrite_counted(merged, "orders")
+    version, kept = store.overwrite_counted(store.read("orders"), "orders", keep_schema=True)
+    if kept != rows:
         raise RuntimeError("the stored table lost rows")
-    return store.read("orders").withColumn("Version", F.lit(version))
+    return store.read("orders").withColumns({"Version": F.lit(version), "RowsWritten": F.lit(rows)})
 
 
 def _warehouse(spark, df, table, columns) -> DataFrame:
-    from hearth.session import fresh_subdir
     from hearth.sources.sinks import replace_warehouse_table
     store = mg.SnapshotStore(spark, fresh_subdir(spark, "warehouse"))
     return replace_warehouse_table(store, df, table, columns)
@@ -734,7 +881,7 @@ def q_warehouse_dim_quarter(spark, sf):
 
 
 def q_warehouse_fact_vacancy(spark, sf):
-    return _warehouse(spark, _vacancy_star(spark, sf, stored=False)[2], "fact_housing_vacancy",
+    return _warehouse(spark, _vacancy_star(spark, sf)[2], "fact_housing_vacancy",
                       sinks.FACT_HOUSING_VACANCY)
 
 

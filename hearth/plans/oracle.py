@@ -272,7 +272,13 @@ dim_quarter AS (
          QuarterNumber FROM gold_vacancy
 )"""
 
-VAC_STAR = STAR_SALES + "," + VAC_MEASURES + """,
+VAC_STAR = VAC_MEASURES + """,
+dim_county AS (
+  SELECT 0 AS CountyKey, 'Not recorded' AS CountyName
+  UNION ALL
+  SELECT CAST(row_number() OVER (ORDER BY County) AS INTEGER), County
+  FROM (SELECT DISTINCT County FROM gold_vacancy WHERE County IS NOT NULL) x
+),
 fact_vacancy AS (
   SELECT CAST(CAST(g.QuarterCode AS INTEGER) AS BIGINT) * 100 + c.CountyKey AS HousingVacancyKey,
          CAST(g.QuarterCode AS INTEGER) AS QuarterKey, c.CountyKey,
@@ -292,11 +298,71 @@ RATE = "CAST(SUM(VacantDwellings) AS DOUBLE) / NULLIF(CAST(SUM(DwellingStock) AS
 SQL["cube_flatten"] = f"""WITH {CUBE_LONG}
 SELECT StatisticCode, Statistic, QuarterCode, Quarter, LocalAuthorityCode, LocalAuthority, Unit,
        Value, SourceUpdatedTimestamp, LoadDate, IngestedTimestamp FROM silver_vacancy"""
-SQL["cube_validate"] = f"""WITH {CUBE_LONG}
-SELECT RegionKey, CAST(3 * COUNT(DISTINCT QuarterCode) * COUNT(DISTINCT LocalAuthorityCode) AS BIGINT)
-       AS ExpectedCells, CAST(COUNT(*) * 3 AS BIGINT) AS ValueCount, TRUE AS IsValid
-FROM (SELECT DISTINCT RegionKey, QuarterCode, LocalAuthorityCode FROM silver_vacancy) x
-GROUP BY RegionKey"""
+SQL["cube_validate"] = f"""WITH {CUBE_LONG}, cells AS (
+  SELECT RegionKey, CAST(3 * COUNT(DISTINCT QuarterCode) * COUNT(DISTINCT LocalAuthorityCode) AS BIGINT)
+         AS ExpectedCells, CAST(COUNT(*) * 3 AS BIGINT) AS ValueCount
+  FROM (SELECT DISTINCT RegionKey, QuarterCode, LocalAuthorityCode FROM silver_vacancy) x
+  GROUP BY RegionKey)
+SELECT RegionKey, ExpectedCells, ValueCount, TRUE AS IsValid FROM cells
+UNION ALL
+SELECT RegionKey + 100, ExpectedCells, ValueCount - 1, FALSE FROM cells WHERE RegionKey = 0"""
+
+
+def _cubes() -> str:
+    """Cells of the cubes by 2, 3 and 4 dimensions, straight from the orders."""
+    ids = ("STATUS", "TLIST(A1)", "PRIORITY", "SEGMENT")
+    fine = """fine AS (
+  SELECT n.n_regionkey AS region, o.o_orderstatus AS c0, 'Status ' || o.o_orderstatus AS l0,
+         CAST(year(o.o_orderdate) AS VARCHAR) AS c1, 'Year ' || CAST(year(o.o_orderdate) AS VARCHAR) AS l1,
+         substr(o.o_orderpriority, 1, 1) AS c2, o.o_orderpriority AS l2,
+         c.c_mktsegment AS c3, lower(c.c_mktsegment) AS l3
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+    axes = [f"""axis{i} AS (
+  SELECT region, c{i}, l{i}, row_number() OVER (PARTITION BY region ORDER BY c{i}) - 1 AS at{i},
+         COUNT(*) OVER (PARTITION BY region) AS size{i}
+  FROM (SELECT DISTINCT region, c{i}, l{i} FROM fine) x)""" for i in range(4)]
+    parts = []
+    for k in (2, 3, 4):
+        join = " ".join(f"JOIN axis{i} USING (region)" for i in range(1, k))
+        on = " AND ".join(f"a.c{i} = v.c{i}" for i in range(k))
+        codes = " || '|' || ".join(f"'{ids[i]}=' || a.c{i}" for i in range(k))
+        labels = " || '|' || ".join(f"'{ids[i]}: ' || a.l{i}" for i in range(k))
+        place = " + ".join(" * ".join([f"at{i}", *[f"size{j}" for j in range(i + 1, k)]])
+                           for i in range(k))
+        columns = ", ".join(f"a.c{i} AS c{i}, a.l{i} AS l{i}" if i < k else
+                            f"NULL AS c{i}, NULL AS l{i}" for i in range(4))
+        group = ", ".join(f"c{i}" for i in range(k))
+        size = " * ".join(f"size{i}" for i in range(k))
+        parts.append(f"""SELECT '{k}-' || CAST(a.region AS VARCHAR) AS Document,
+         CAST({place} AS BIGINT) AS Position, {codes} AS Codes, {labels} AS Labels,
+         CAST(v.n AS DOUBLE) AS Value, {columns}, CAST({size} AS BIGINT) AS cells,
+         (a.region + {k}) % 2 = 0 AS sparse, a.size0
+  FROM (SELECT * FROM axis0 {join}) a
+  LEFT JOIN (SELECT region, {group}, COUNT(*) AS n FROM fine GROUP BY ALL) v
+       ON a.region = v.region AND {on}""")
+    return ",\n".join([fine, *axes, "cubes AS (\n  " + "\n  UNION ALL ".join(parts) + ")"])
+
+
+SQL["cube_any_dimensions"] = f"""WITH {_cubes()}
+SELECT Document, '2024-06-30T00:00:00.000Z' AS Updated, Position, Codes, Labels, 'Orders' AS Unit, Value
+FROM cubes"""
+SQL["cube_present_cells"] = f"""WITH {_cubes()}
+SELECT Document, c0 AS StatusCode, l0 AS Status, c1 AS YearCode, l1 AS Year, c2 AS PriorityCode,
+       l2 AS Priority, c3 AS SegmentCode, l3 AS Segment, 'Orders' AS Unit, Value
+FROM cubes WHERE Value IS NOT NULL"""
+SQL["cube_problems"] = f"""WITH {_cubes()},
+documents AS (
+  SELECT Document, any_value(cells) AS cells, any_value(size0) AS size0, any_value(cells) // any_value(size0) AS others,
+         CASE WHEN any_value(sparse) THEN COUNT(Value) ELSE COUNT(*) END AS held
+  FROM cubes GROUP BY Document)
+SELECT Document, cells AS ExpectedCells, held AS ValueCount, NULL AS Problem FROM documents
+UNION ALL
+SELECT 'bad-' || Document, CASE Document[1] WHEN '2' THEN size0
+         WHEN '3' THEN CAST('9' || size0 AS BIGINT) * others ELSE cells END,
+       CASE WHEN Document[1] <> '4' THEN held END,
+       CASE Document[1] WHEN '4' THEN 'no values' ELSE 'a dimension of another size' END
+FROM documents"""
 SQL["cube_metadata"] = f"""WITH {CUBE_LONG}
 SELECT RegionKey, 'Vacant dwellings by local authority and quarter' AS Label,
        'Statistics office' AS Source, '2024-06-30T00:00:00.000Z' AS Updated,
@@ -310,7 +376,8 @@ SQL["fact_vacancy"] = f"WITH {VAC_STAR} SELECT * FROM fact_vacancy"
 SQL["dim_quarter"] = f"WITH {VAC_MEASURES} SELECT * FROM dim_quarter"
 SQL["kpi_vacancy"] = f"""WITH {VAC_STAR}
 SELECT SUM(VacantDwellings) AS TotalVacantDwellings, SUM(DwellingStock) AS TotalDwellingStock,
-       {RATE} AS VacancyRate, (SELECT MAX(LoadTimestamp) FROM fact_sales) AS DataLastUpdated
+       {RATE} AS VacancyRate,
+       (SELECT MAX(ts) FROM (SELECT {RUN_TS} AS ts FROM lineitem) s) AS DataLastUpdated
 FROM vstar WHERE Quarter IN ({SEL_Q})"""
 SQL["vacant_by_county"] = f"""WITH {VAC_STAR}
 SELECT CountyName, SUM(VacantDwellings) AS TotalVacantDwellings FROM vstar
@@ -721,7 +788,40 @@ FROM wm w LEFT JOIN probes p ON w.DatasetName = p.DatasetName"""
 SQL["layer_roundtrip"] = SQL["gold_sales"]
 SQL["staging_load"] = f"""WITH {STAR_SALES}
 SELECT DateKey, CountyKey, PropertyTypeKey, SaleTypeKey, Address, Eircode, SalePrice,
-       IsFullMarketPrice, LoadTimestamp FROM fact_sales WHERE SalePrice IS NOT NULL"""
+       IsFullMarketPrice, LoadTimestamp FROM fact_sales WHERE SalePrice >= 2000"""
+SQL["rejected_rows"] = f"""WITH {STAR_SALES}, numbered AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY SaleDate, Address, County, Eircode, SalePrice,
+         IsFullMarketPrice, PropertyType, PropertySizeCategory, SaleType) AS INTEGER) AS PropertySaleOrdinal
+  FROM fact_sales)
+SELECT PropertySaleOrdinal, DateKey, CountyKey, PropertyTypeKey, SaleTypeKey, Address, Eircode, SalePrice,
+       IsFullMarketPrice, LoadTimestamp,
+       CASE WHEN SalePrice IS NULL THEN 'SalePrice is NULL' ELSE 'SalePrice is too low' END AS Reasons
+FROM numbered WHERE SalePrice IS NULL OR SalePrice < 2000"""
+SQL["load_counts"] = f"""WITH {STAR_SALES}, f AS (
+  SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE SalePrice IS NULL) AS missing,
+         COUNT(*) FILTER (WHERE SalePrice < 2000) AS cheap FROM fact_sales)
+SELECT Name, Counted, Counted AS Stored FROM (
+  SELECT 'rows' AS Name, n AS Counted FROM f
+  UNION ALL SELECT 'rejected', missing + cheap FROM f
+  UNION ALL SELECT 'SalePrice is NULL', missing FROM f
+  UNION ALL SELECT 'SalePrice is too low', cheap FROM f
+  UNION ALL SELECT unnest(['PropertySaleKey is NULL', 'PropertySaleKey is no bigint', 'DateKey is NULL',
+    'DateKey is no int', 'CountyKey is NULL', 'CountyKey is no int', 'PropertyTypeKey is NULL',
+    'PropertyTypeKey is no int', 'SaleTypeKey is NULL', 'SaleTypeKey is no int', 'Address is no string',
+    'Address is longer than 500', 'Eircode is no string', 'Eircode is longer than 10',
+    'SalePrice is no decimal(18,2)', 'IsFullMarketPrice is no string',
+    'IsFullMarketPrice is longer than 3', 'LoadTimestamp is no timestamp_ntz']), 0) x"""
+SQL["csv_good_rows"] = """
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0"""
+SQL["csv_damaged_lines"] = """
+SELECT CASE WHEN c_custkey % 7 = 0 THEN concat_ws(',', c_custkey, c_name, c_nationkey)
+            WHEN c_custkey % 11 = 0 THEN concat_ws(',', c_custkey, c_name, c_nationkey, c_mktsegment, 'more')
+            WHEN c_custkey % 13 = 0 THEN concat_ws(',', c_custkey, '"' || c_name, c_nationkey, c_mktsegment)
+            ELSE concat_ws(',', 'none', c_name, c_nationkey, c_mktsegment) END AS Line,
+       TRUE AS HasFile, 'fields don''t fit' AS Reasons
+FROM customer
+WHERE c_custkey % 7 = 0 OR c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0"""
 SQL["extract_roundtrip"] = f"""
 SELECT CASE WHEN l.l_orderkey % 83 <> 0 THEN strftime(o.o_orderdate + INTERVAL 15 YEAR, '%d/%m/%Y') END
        AS "Date of Sale (dd/mm/yyyy)",
@@ -823,7 +923,27 @@ SELECT COALESCE(m.name, n.n_name || ' County Council') AS LocalAuthority, COUNT(
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN named m ON n.n_nationkey = m.k
 GROUP BY 1, 3"""
-SQL["snapshot_merge"] = f"SELECT *, 3 AS Version FROM ({SQL['merge_upsert']}) x"
+SQL["snapshot_merge"] = f"""SELECT *, 3 AS Version, COUNT(*) OVER () AS RowsWritten
+FROM ({SQL['merge_upsert']}) x"""
+SQL["bucketed_merge"] = SQL["merge_upsert"]
+SQL["extract_window"] = """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS load_date, o.*
+FROM (SELECT ORDER_COLUMNS FROM orders) o
+WHERE date_trunc('month', o_orderdate) > DATE '1996-12-31'
+  AND date_trunc('month', o_orderdate) <= DATE '1997-06-30'""".replace(
+    "ORDER_COLUMNS", ", ".join(cat.ORDER_COLS))
+SQL["county_registry"] = f"""WITH {GOLD_SALES},{VAC_MEASURES},
+first_load AS (SELECT DISTINCT County AS c FROM gold_vacancy WHERE County IS NOT NULL),
+members AS (
+  SELECT 0 AS CountyKey, 'Not recorded' AS CountyName, 0 AS LoadNumber
+  UNION ALL SELECT row_number() OVER (ORDER BY c), c, 1 FROM first_load
+  UNION ALL SELECT (SELECT COUNT(*) FROM first_load) + row_number() OVER (ORDER BY c), c, 2
+  FROM (SELECT DISTINCT County AS c FROM gold_sales
+        WHERE County IS NOT NULL AND County NOT IN (SELECT c FROM first_load)) x)
+SELECT CountyKey, CountyName, LoadNumber,
+       (SELECT COUNT(*) FROM gold_vacancy g WHERE g.County = CountyName) AS VacancyRows,
+       (SELECT COUNT(*) FROM gold_sales g WHERE COALESCE(g.County, 'Not recorded') = CountyName) AS SalesRows
+FROM members"""
 SQL["granted_by_outcome"] = f"""WITH {PLAN_STAR}, {DIM_DATE}, per AS (
   SELECT dd.Year, d.DecisionOutcome, SUM(f.ApplicationCount) AS n FROM fact_planning f
   LEFT JOIN dim_decision d ON f.DecisionTypeKey = d.DecisionTypeKey

@@ -58,6 +58,20 @@ def read_extracts(spark: SparkSession, base: str, load_date: str | None = None,
     return {t: read_parquet_extract(spark, base, t, load_date) for t in tables}
 
 
+def read_extract_window(spark: SparkSession, base: str, table: str, control: DataFrame,
+                        dataset: str, date_col: str = "load_date") -> DataFrame:
+    """SC3 + MG3: the dated folders in ``(LastLoadDate, CurrentLoadDate]`` of the control
+    table's row for ``dataset``.  Nothing of the control table comes to the driver:
+    its days are joined to the folders' date, so that the scan prunes folders while
+    it runs (dynamic partition pruning).  The days of one window are broadcast, at
+    most one row per calendar day.  No such row, or no new day: no rows."""
+    day = F.explode(F.sequence(F.date_add("LastLoadDate", 1), F.col("CurrentLoadDate")))
+    days = (control.where((F.col("DatasetName") == dataset)
+                          & (F.col("LastLoadDate") < F.col("CurrentLoadDate")))
+            .select(day.alias(date_col)))
+    return read_parquet_extract(spark, base, table).join(F.broadcast(days), date_col)
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """SC4: read a layer table by path."""
     return spark.read.format(fmt).load(path)
