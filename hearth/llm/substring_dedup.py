@@ -236,7 +236,9 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
     if not 0 < gram <= window:
         raise ValueError("gram must be between 1 and window")
     rows, some_shared = _rows(documents, id_col, text_col)
-    own = rows.where("_th is null").select("_doc", "_id", F.lit(0).cast("bigint").alias("_th"), "_text")
+    # not a literal: the optimizer would join on the identifier alone, and deal once more
+    none = F.coalesce("_th", F.lit(0)).alias("_th")
+    own = rows.where("_th is null").select("_doc", "_id", none, "_text")
     if not some_shared:
         return _dedup(own, window, gram).drop("_id", "_th").withColumnRenamed("_doc", id_col)
     shared = rows.where("_th is not null")
@@ -245,7 +247,7 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
     done = _dedup(own.unionByName(one), window, gram)
     # a row's own identifier has no partner here; many rows of one key are split by the join
     back = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in key]
-    copies = rows.select("_doc", "_id", F.coalesce("_th", F.lit(0)).alias("_th"))
+    copies = rows.select("_doc", "_id", none)
     return (copies.join(done.withColumnsRenamed({c: f"_of{c}" for c in key}), back)
             .select("_doc", "n_words", "n_removed", "repeats", "kept")
             .withColumnRenamed("_doc", id_col))
