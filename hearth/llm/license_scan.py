@@ -121,6 +121,72 @@ NOTICE_RULES = [
     ("BSD-4-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdAdvert", "BsdEndorse"]),
     ("BSD-3-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse"]),
 ]
+# The other GNU licences; their notices differ in a word and a version.
+GNU = {"Lgpl": "lesser", "LibGpl": "library", "Agpl": "affero"}
+GNU_TERMS = "is free software you can redistribute it and or modify it under the terms of the gnu {} general public license"
+FAMILIES = {
+    **{f"this {what} {GNU_TERMS.format(kind)} as published by the free software foundation": f"{name}Free"
+       for name, kind in GNU.items() for what in ("program", "library", "file", "software")},
+    **{f"this {what} {GNU_TERMS.format('').replace('  ', ' ')} as published by the free software foundation": "GplFree"
+       for what in ("library", "file", "software")},
+    **{f"{either}version 2 1 of the license {later}": "LaterThan21" for later in LATER for either in ("", "either ")},
+    "version 2 1 of the license": "Only21",
+    # "v. 2.0" ends the sentence before its number; older versions have another notice
+    "this source code form is subject to the terms of the mozilla public license": "Mpl2",
+    **{f"permission to use copy modify {word} distribute this software for any purpose with or without fee is "
+       f"hereby granted{terms}": name for word in ("and or", "and")
+       for terms, name in (("", "ZeroBsdGrant"), (" provided that the above copyright notice and this permission "
+                                                  "notice appear in all copies", "IscGrant"))},
+    "this is free and unencumbered software released into the public domain": "Unlicense",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to "
+    "alter it and redistribute it freely subject to the following restrictions": "ZlibGrant",
+    "boost software license version 1 0": "Boost1",
+    **{f"eclipse public license {v}{n} 0": f"Epl{n}" for v in ("", "v", "v ", "version ") for n in (1, 2)},
+}
+# Names of licences as SPDX lists them, for lines "SPDX-License-Identifier: name".
+SPDX = ("0BSD AFL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause "
+        "BSD-4-Clause BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 "
+        "CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 CECILL-2.1 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.2 GFDL-1.3-only "
+        "GFDL-1.3-or-later GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.0-only "
+        "LGPL-2.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later LPPL-1.3c MIT MIT-0 "
+        "MPL-1.1 MPL-2.0 MS-PL MS-RL NCSA OFL-1.1 OSL-3.0 PostgreSQL Python-2.0 Unlicense UPL-1.0 Vim W3C WTFPL X11 "
+        "Zlib ZPL-2.1").split()
+# Names that SPDX has given up for the "-only" and "-or-later" ones.
+SPDX_OLD = {f"{name}{plus}": f"{name}-{'or-later' if plus else 'only'}" for plus in ("", "+") for name in
+            ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0")}
+
+
+def spdx_sentence(name: str) -> str:
+    return "spdx license identifier " + re.sub("[^a-z0-9]+", " ", name.lower()).strip()
+
+
+# "GPL-2.0" and "GPL-2.0+" are one sentence; the sign is kept apart by ``sentences``
+SPDX_LINES = {spdx_sentence(n): f"Spdx {n}" for n in SPDX} | {
+    spdx_sentence(old) + (" plussign" if old.endswith("+") else ""): f"Spdx {new}" for old, new in SPDX_OLD.items()}
+# Creative Commons before 4.0: version, and the word that ends its name.
+CC_OLD = {"3.0": "unported", "2.5": "generic", "2.0": "generic", "1.0": "generic"}
+CC_SHORT = {"": "BY", **{k: "BY-" + v for k, v in {
+    "sharealike": "SA", "noncommercial": "NC", "noderivatives": "ND", "noncommercial sharealike": "NC-SA",
+    "noncommercial noderivatives": "NC-ND"}.items()}}
+CC_LINES = {}
+for _kind, _short in CC_SHORT.items():
+    for _version, _word in CC_OLD.items():
+        _name, _v = f"Cc {_short} {_version}", _version.replace(".", " ")
+        CC_LINES[f"licensed under cc {_short.lower().replace('-', ' ')} {_v}"] = _name
+        for _end in (_word, "international"):
+            CC_LINES[re.sub(" +", " ", f"this work is licensed under a creative commons attribution {_kind} {_v} "
+                            f"{_end} license")] = _name
+# Sequences of the families, tried before the rules above.
+FAMILY_RULES = [
+    *[(f"{name}-{version}-{end}", [f"{free}Free", f"{words}{v}"])
+      for end, words in (("or-later", "LaterThan"), ("only", "Only"))
+      for name, free, version, v in (("LGPL", "Lgpl", "3.0", "3"), ("LGPL", "Lgpl", "2.1", "21"),
+                                     ("LGPL", "LibGpl", "2.0", "2"), ("AGPL", "Agpl", "3.0", "3"))],
+    ("MPL-2.0", ["Mpl2"]), ("ISC", ["IscGrant"]), ("0BSD", ["ZeroBsdGrant"]), ("Unlicense", ["Unlicense"]),
+    ("Zlib", ["ZlibGrant"]), ("BSL-1.0", ["Boost1"]), ("EPL-2.0", ["Epl2"]), ("EPL-1.0", ["Epl1"]),
+    *[(name, [f"Spdx {name}"]) for name in SPDX],
+    *[(f"CC-{short}-{version}", [f"Cc {short} {version}"]) for short in CC_SHORT.values() for version in CC_OLD],
+]
 #: . ! or ? before white space, or a line without letters and digits
 SENTENCE_END = "[.!?][\\x20\\x09-\\x0D]|\\n[^a-z0-9\\n]*+\\n"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -128,7 +194,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def sentences(text: Column) -> Column:
     """The normalised sentences as one text, a Z (no other capital is left) between them."""
-    lined = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SENTENCE_END, " Z ")
+    small = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    # the one sign that tells two licence names apart
+    signed = F.regexp_replace(small, "(spdx-license-identifier:[\\x20\\x09]*(?:[al]?gpl)-[0-9.]+)\\+", "$1 plussign ")
+    lined = F.regexp_replace(signed, SENTENCE_END, " Z ")
     return F.regexp_replace(F.concat(F.lit(" "), lined, F.lit(" ")), "[^a-z0-9Z]+", " ")
 
 
@@ -154,7 +223,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row: identifier, ``sentence_ids`` (array of the known sentences' names, in
     order), ``licenses`` (array of names, in the rules' order) and ``unmatched``
     (the sentence names that no rule took)."""
-    known, rules = known or SENTENCES | NOTICES, rules or NOTICE_RULES + RULES
+    known = known or SENTENCES | NOTICES | FAMILIES | SPDX_LINES | CC_LINES
+    rules = rules or NOTICE_RULES + FAMILY_RULES + RULES
     marked = apart(docs, id_col, text_col)[0].select(
         id_col, identifiers(F.col(text_col), known).alias("sentence_ids"))
 

@@ -10,7 +10,8 @@ from hearth.llm.bpe import decode_ids, encode_texts
 from hearth.llm.exact_dedup import exact_groups
 from hearth.llm.html_text import extract_main_text
 from hearth.llm.lattice_dedup import embedding_groups
-from hearth.llm.license_scan import RULES, SENTENCES, scan_licenses
+from hearth.llm.license_scan import scan_licenses
+from hearth.llm.license_sql import LICENSE_SQL
 from hearth.llm.line_dedup import line_dedup
 from hearth.llm.merkle_manifest import build_manifest, digest, fold, leaf_paths, siblings
 from hearth.llm.mixing import mix_sources
@@ -195,36 +196,6 @@ plan as (
 """
 
 
-
-def _license_sql() -> str:
-    """The same sentence table and rules, a rule at a time over the sequence."""
-    known = ", ".join(f"('{s}', '{n}')" for s, n in SENTENCES.items())
-    steps, last = [], "s0"
-    for k, (name, ids) in enumerate(RULES, 1):
-        seq = "".join(f"<{i}>" for i in ids)
-        steps.append(f"""s{k} as (select * exclude (ids, found), replace(ids, '{seq}', '') as ids,
-  case when contains(ids, '{seq}') and not list_contains(found, '{name}')
-       then list_append(found, '{name}') else found end as found from {last})""")
-        last = f"s{k}"
-    return rf"""
-with known(sentence, name) as (values {known}),
-texts as (select row_number() over () as r, doc_id,
-  regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                 '([.!?;:])[\x20\x09-\x0D]+', chr(10), 'g') as t from documents),
-lines as (select r, unnest(string_split(t, chr(10))) as line,
-                 generate_subscripts(string_split(t, chr(10)), 1) as pos from texts),
-hits as (select r, pos, name from lines join known
-         on trim(regexp_replace(line, '[^a-z0-9]+', ' ', 'g')) = sentence),
-seqs as (select r, string_agg(name, ',' order by pos) as sentence_ids,
-                string_agg('<' || name || '>', '' order by pos) as ids from hits group by r),
-s0 as (select doc_id, coalesce(sentence_ids, '') as sentence_ids, coalesce(ids, '') as ids,
-              cast([] as varchar[]) as found from texts left join seqs using (r)),
-{", ".join(steps)}
-select doc_id, sentence_ids, array_to_string(found, ',') as licenses,
-       replace(trim(replace(replace(ids, '<', ' '), '>', '')), ' ', ',') as unmatched
-from {last}"""
-
-
 # unsigned CRC-32 of the decimal doc_id, a byte at a time by the table of its polynomial
 _CRC = r"""
 with crc_table as (
@@ -342,7 +313,7 @@ select doc_id, leaf, subroot, root, sha256(coalesce(joined, '')) as proof_sha256
 from ranked join subroots using (tree) left join paths using (r)
 join (select r, folded from folds where path is null or k > len(path)) using (r),
 (select digest as root from tops where n = 1)""",
-    "op1_license_scan": _license_sql(),
+    "op1_license_scan": LICENSE_SQL,
     "op6_mixing": _MIX_SIZES + r"""
 , before as (
   select d.doc_id, d.size, p.source_size, p.target, p.whole, p.quota,
