@@ -33,15 +33,15 @@ def spread_sample(df: DataFrame, column: str, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(column), F.lit(every)) == 0).limit(2 * rows)
 
 
-def steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``STEP_BYTES`` bytes of text, or values of a list,
+def steps(batch: pa.RecordBatch, column: int, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text, or values of a list,
     in ``column``: what a task holds beside its batch."""
     held = batch.column(column)
     sizes = (pc.list_value_length if pa.types.is_list(held.type) else pc.binary_length)(held)
     ends = np.concatenate([[0], np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False))])
     at = 0
     while at < batch.num_rows:
-        upto = int(np.searchsorted(ends, ends[at] + STEP_BYTES, side="right"))
+        upto = int(np.searchsorted(ends, ends[at] + size, side="right"))
         upto = min(max(upto - 1, at + 1), batch.num_rows)
         yield batch.slice(at, upto - at)
         at = upto

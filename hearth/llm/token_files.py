@@ -32,6 +32,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,12 +40,14 @@ from pyspark.sql import functions as F
 from hearth.llm.frames import apart, spread_sample, steps
 
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
-#: distinct words whose ids a task remembers
-REMEMBERED = 400_000
+#: distinct words whose ids a worker remembers
+REMEMBERED = 1_500_000
+#: texts that are split and looked up at once
+STEP_BYTES = 1 << 22
 #: where special tokens begin, and (U+0300 to U+036F) combining marks
-LEFT_ALONE = (b"<|", b"\xcc", b"\xcd")
-#: punctuation after a letter at the end of a word
-ENDING = re.compile(rb"([a-z])([.,!?;:]+)(?=[\x20\x09-\x0D]|\Z)")
+LEFT_ALONE = re.compile("<\\||[\u0300-\u036f]")
+#: punctuation after a letter at the end of a line
+ENDING = re.compile("([a-z])([.,!?;:]+)$", re.M)
 
 BLOCKS = ("shard int, block int, first_id bigint, last_id bigint, dict_hash string, "
           "start_in_shard bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, "
@@ -57,17 +60,20 @@ class WordTokens:
     Files that lower their input, whose normalizer and splitter never look
     across white space nor keep letters and punctuation together (``by_word``),
     allow this: a text's ids are its words' ids in order, A-Z may be lowered
-    before, and a space may go between a letter and the punctuation that ends a
-    word.  Both make more words alike.  Texts with a special token's opening or
-    a combining mark (which may compose with a small letter only) are left as
-    they are.  Unseen words go to the library joined by spaces;
-    its offsets tell whose ids are whose.  Other files encode text by text."""
+    before, and a word that ends in a letter and punctuation is these two.  Both
+    leave fewer words to look up.  Words with a special token's opening or a
+    combining mark (which may compose with a small letter only) are left as they
+    are.  Texts are split and their distinct words found by Arrow; unseen words go
+    to the library joined by spaces, and its offsets tell whose ids are whose.  Of
+    the words seen, those used since the last half of ``REMEMBERED`` are kept.
+    Other files encode text by text."""
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         made = json.loads(definition)
         normal = (made["normalizer"] or {}).get("normalizers", [])
         split = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
@@ -76,62 +82,83 @@ class WordTokens:
             [n["type"] for n in normal] == ["NFC", "Replace", "Lowercase"]
             and normal[1]["pattern"] == {"Regex": "\\s+"} and normal[1]["content"] == " "
             and split.get("behavior") == "Removed" and split.get("invert")
-            and pattern.endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"))
+            and pattern.endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+            and all(t["content"].startswith("<|") and not re.search("\\s", t["content"])
+                    for t in made["added_tokens"]))
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         for k in range(0, len(words), 256):
-            part = [w.decode() for w in words[k:k + 256]]
+            part = words[k:k + 256]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             data = np.array(found.ids, "<u4").tobytes()
             at = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
             begins = np.cumsum([0, *(len(w) + 1 for w in part)])
             cut = (4 * np.searchsorted(at, begins)).tolist()
             self.known.update((w, data[a:b]) for w, a, b in zip(
-                words[k:k + 256], cut[:-1], cut[1:], strict=True))
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+                part, cut[:-1], cut[1:], strict=True))
+
+    def _of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {"": b""}
+        known, older = self.known, self.older
+        new = [w for w in words if w not in known]
+        if new:
+            lines = "\n".join(new)
+            alone = LEFT_ALONE.search(lines)
+            # bytes are lowered from A to Z only
+            lines = ENDING.sub(r"\1 \2", lines.encode().lower().decode()).split("\n")
+            if alone:
+                lines = [w if LEFT_ALONE.search(w) else x for w, x in zip(new, lines, strict=True)]
+            parts = [p for p in dict.fromkeys([p for x in lines for p in x.split(" ")]) if p not in known]
+            known.update((p, older[p]) for p in parts if p in older)
+            self._learn([p for p in parts if p not in older])
+            get = known.__getitem__
+            known.update(zip(new, [b"".join(map(get, x.split(" "))) if " " in x else get(x)
+                                   for x in lines], strict=True))
+        return list(map(known.__getitem__, words))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.by_word:
-            found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+            found = self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
-        words = [(t if any(x in t for x in LEFT_ALONE) else ENDING.sub(rb"\1 \2", t.lower())).split()
-                 for t in texts]
-        seen = set().union(*words)
-        new = seen.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {w: self.known[w] for w in seen.difference(new)}
-        self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+        split = pc.ascii_split_whitespace(texts)
+        ends = (split.offsets.to_numpy() - split.offsets[0].as_py()).tolist()
+        coded = split.flatten().dictionary_encode()
+        ids = self._of(coded.dictionary.to_numpy(zero_copy_only=False).tolist()).__getitem__
+        at = coded.indices.to_numpy().tolist()
+        return [b"".join(map(ids, at[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return apart(docs, id_col, text_col)[0].select(
         F.col(id_col).cast("bigint").alias("_id"),
-        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
 def train_dictionary(docs: DataFrame, definition: str, end_id: int, text_col: str = "text",
-                     id_col: str = "doc_id", sample_docs: int = 600, sample_bytes: int = 8192,
+                     id_col: str = "doc_id", sample_docs: int = 600, sample_chars: int = 8192,
                      dictionary_bytes: int = 65536) -> bytes:
     """A zstandard dictionary from serialized id arrays of a bounded sample: about
     ``sample_docs`` documents (at most twice as many) by a hash of their identifier,
-    of each at most ``sample_bytes`` from a hashed place on.  They are encoded in
+    of each at most ``sample_chars`` from a hashed place on.  They are encoded in
     tasks; only their ids are collected.  Too little data for one gives ``b""``."""
     import zstandard
 
-    texts = spread_sample(_texts(docs, id_col, text_col), "_id", sample_docs)
-    begin = F.pmod(F.xxhash64("_text"), F.greatest(F.lit(1), F.octet_length("_text") - sample_bytes))
-    slices = texts.select(F.substring("_text", (begin + 1).cast("int"), F.lit(sample_bytes)).alias("_text"))
+    texts = _texts(docs, id_col, text_col)
+    begin = F.pmod(F.xxhash64("_text"), F.greatest(F.lit(1), F.length("_text") - sample_chars))
+    slices = spread_sample(texts.select("_id", F.substring(
+        "_text", (begin + 1).cast("int"), F.lit(sample_chars)).alias("_text")), "_id", sample_docs)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder = WordTokens(definition)
         for batch in batches:
-            whole = [t.as_py().decode(errors="ignore").encode() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids + end for ids in encoder.encode(whole)], pa.binary())], ["ids"])
+                [pa.array([ids + end for ids in encoder.encode(batch.column(0))], pa.binary())], ["ids"])
 
-    samples = sorted(bytes(r["ids"]) for r in slices.mapInArrow(run, "ids binary").collect())
+    samples = sorted(bytes(r["ids"]) for r in slices.select("_text").mapInArrow(run, "ids binary").collect())
     try:
         return zstandard.train_dictionary(dictionary_bytes, samples, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
@@ -183,9 +210,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: str, end_id: i
                 [c.split()[0] for c in BLOCKS.split(", ")]), total
 
         for batch in batches:
-            for step in steps(batch, 1):
-                texts = [t.as_py() for t in step.column(1)]
-                for i, data in zip(step.column(0).to_pylist(), encoder.encode(texts), strict=True):
+            for step in steps(batch, 1, STEP_BYTES):
+                for i, data in zip(step.column(0).to_pylist(), encoder.encode(step.column(1)),
+                                   strict=True):
                     data += end
                     ids.append(i)
                     counts.append(len(data) // 4)

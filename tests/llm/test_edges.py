@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -390,6 +391,6 @@ def test_words_encode_as_whole_texts_do():
             encoder = token_files.WordTokens(f.read())
         assert encoder.by_word == (name == "word_bpe_49k.json")
         whole = Tokenizer.from_file(public_tokenizers.path(name))
-        for got, text in zip(encoder.encode([t.encode() for t in texts]), texts, strict=True):
+        for got, text in zip(encoder.encode(pa.array(texts)), texts, strict=True):
             ids = np.frombuffer(got, "<u4").tolist()
             assert ids == whole.encode(text, add_special_tokens=False).ids, text[:80]
