@@ -16,6 +16,11 @@ large group costs a comparison per pair, but rows in proportion to its
 members.  A cell with more than ``tile`` vectors is dealt over tasks as
 pairs of salted tiles.
 
+What travels is kept small: cells are first counted from (node, cell) rows alone.
+Cells with the same members meet nobody new after the first of them, so the
+others are dropped before any vector moves.  A vector moves as it was given (not
+as the doubles it is compared in), with its cells up to the table at hand.
+
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing (``n_links`` 0, their own component); vectors of
 different lengths never link; equal vectors link with each other; repeated
@@ -32,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearth.llm.components import components
 from hearth.llm.frames import apart
@@ -118,31 +124,36 @@ def _matrix(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b].astype(np.float64) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1, in double precision."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the length
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _coded(distinct: DataFrame, tables: int, probes: int, blocks: int, width: float,
            seed: int) -> DataFrame:
-    """Unit vectors with their cells."""
+    """The distinct vectors with their cells."""
+    named = distinct.select("vector", *[c for c in distinct.columns if c != "vector"])
 
     def run(batches):
         known: dict[int, Cells] = {}
         for batch in batches:
-            vectors = _matrix(batch.column(2))
+            vectors = _matrix(batch.column(0))
             for dim in sorted({len(v) for v in vectors}):
                 at = [k for k, v in enumerate(vectors) if len(v) == dim]
-                x = np.stack([vectors[k] for k in at])
-                x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the length
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit(np.stack([vectors[k] for k in at]))
                 if dim not in known:
                     known[dim] = Cells(dim, tables, probes, blocks, width, seed)
-                homes, probed = known[dim].of(x)
                 part = batch.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1),
-                     *(pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), m.shape[1]).cast(
-                         pa.list_(pa.array(m.ravel()[:1]).type)) for m in (x, homes, probed))],
-                    ["node", "copies", "unit", "homes", "probed"])
+                    [*part.columns, *(pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), m.shape[1])
+                                      .cast(pa.list_(pa.int64())) for m in known[dim].of(x))],
+                    [*batch.schema.names, "homes", "probed"])
 
-    return distinct.select("node", "copies", "vector").mapInArrow(
-        run, "node bigint, copies bigint, unit array<double>, homes array<bigint>, probed array<bigint>")
+    cells = T.ArrayType(T.LongType())
+    return named.mapInArrow(run, T.StructType([*named.schema.fields, T.StructField("homes", cells),
+                                               T.StructField("probed", cells)]))
 
 
 def _wide(column: pa.Array) -> np.ndarray:
@@ -156,7 +167,7 @@ def links_in_cell(g: dict, least: float, probes: int) -> tuple[np.ndarray, np.nd
     counting the pairs that meet nowhere before."""
     node, copies, side, table = g["node"], g["copies"], g["side"], int(g["table"][0])
     home = g["home"]
-    x, homes = _wide(g["unit"]), _wide(g["homes"])
+    x, homes = unit(_wide(g["vector"])), _wide(g["homes"])
     probed = _wide(g["probed"]).reshape(len(node), -1, probes)
     split = g["low"][0] != g["high"][0]
     counts, parent = np.zeros(len(node), np.int64), np.arange(len(node))
@@ -202,9 +213,22 @@ def _linked(coded: DataFrame, least: float, probes: int, tile: int) -> DataFrame
         "node", "cell", (F.col("at") < F.col("tables")).alias("home"),
         F.when(F.col("at") < F.col("tables"), F.col("at"))
         .otherwise(F.floor((F.col("at") - F.col("tables")) / probes)).cast("int").alias("table"))
-    entries = materialize(entries, "lattice-entries")
-    met = (entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived"))
-           .where("n > 1 and lived").select(F.col("cell").alias("_cell"), "n"))
+    # 128 bits name the members of a cell; where two meet it is no matter which one lives there
+    def named(*salt):
+        return F.bit_xor(F.xxhash64(*salt, "node")), F.bit_xor(F.xxhash64(*salt, "node", "home"))
+
+    (one, one_home), (two, two_home) = named(), named(F.lit(1))
+    pair = F.col("n") == 2
+    met = (entries.groupBy("cell")
+           .agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived"), F.min("table").alias("table"),
+                one.alias("one"), one_home.alias("one_home"), two.alias("two"),
+                two_home.alias("two_home"), F.min_by("home", "node").alias("least_lives"))
+           .where("n > 1 and lived")
+           .groupBy("n", F.when(pair, F.col("one")).otherwise(F.col("one_home")).alias("m1"),
+                    F.when(pair, F.col("two")).otherwise(F.col("two_home")).alias("m2"))
+           # of a pair's cells in one table that of its smaller node counts it
+           .agg(F.min(F.struct("table", ~F.col("least_lives"), "cell")).alias("first"))
+           .select(F.col("first.cell").alias("_cell"), "n"))
     salts = F.ceil(F.col("n") / tile).cast("bigint")
     dealt = (entries.join(met, F.col("cell") == F.col("_cell"))
              .withColumn("own", F.pmod(F.xxhash64("node"), salts))
@@ -214,8 +238,11 @@ def _linked(coded: DataFrame, least: float, probes: int, tile: int) -> DataFrame
                      (F.col("own") > F.col("other")).cast("int").alias("side"), "table", "home",
                      F.col("node").alias("_node")))
     group = ["cell", "low", "high"]
+    upto = F.col("table") + 1
     full = (dealt.join(coded, F.col("_node") == F.col("node"))
-            .select(*group, "side", "table", "home", "node", "copies", "unit", "homes", "probed"))
+            .select(*group, "side", "table", "home", "node", "copies", "vector",
+                    F.slice("homes", F.lit(1), upto).alias("homes"),
+                    F.slice("probed", F.lit(1), upto * probes).alias("probed")))
 
     def run(batches):
         held, size = [], 0
@@ -242,7 +269,7 @@ def _linked(coded: DataFrame, least: float, probes: int, tile: int) -> DataFrame
 
 def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                      least: float = 0.95, tables: int = 8, probes: int = 4, blocks: int = 2,
-                     width: float = 1.7, seed: int = 42, tile: int = 2048) -> DataFrame:
+                     width: float = 1.7, seed: int = 42, tile: int = 1024) -> DataFrame:
     """Per row: identifier, ``n_links`` and ``component_id``."""
     v = F.col(vector_col)
     usable = (v.isNotNull() & (F.size(v) > 0)
@@ -256,12 +283,11 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 .agg(F.min("_id").alias("least_id"), F.count(F.lit(1)).alias("copies"),
                      F.first("_vector").alias("vector"))
                 .withColumn("node", F.monotonically_increasing_id()))
-    distinct = materialize(distinct, "distinct-vectors")
     coded = materialize(_coded(distinct, tables, probes, blocks, width, seed), "lattice-cells")
     linked = materialize(_linked(coded, least, probes, tile), "lattice-links")
     counts = linked.groupBy(F.col("node").alias("_n")).agg(F.sum("links").alias("_links"))
     roots = components(linked, "node", "root").withColumnsRenamed({"node": "_m", "root": "_root"})
-    tagged = (distinct.join(counts, F.col("node") == F.col("_n"), "left")
+    tagged = (coded.join(counts, F.col("node") == F.col("_n"), "left")
               .join(roots, F.col("node") == F.col("_m"), "left")
               .select("_h1", "_h2", "least_id", F.coalesce("_root", "node").alias("_root"),
                       (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
