@@ -60,7 +60,8 @@ def dim_from_values(df: DataFrame, value_col: str, key: str,
                .filter(F.col(name).isNotNull()).distinct())
     if existing is not None:
         return stable_keys(existing, members, key, [name])
-    dim = sequential_keys(members, [name], key=key).select(key, name)
+    # a member's key is an INT in the declared tables
+    dim = sequential_keys(members, [name], key=key).select(F.col(key).cast("int").alias(key), name)
     if unknown is not None:
         dim = with_unknown_member(dim, {key: 0, name: unknown})
     return dim

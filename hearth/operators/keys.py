@@ -67,7 +67,7 @@ def rows_at_ranks(ordered: DataFrame, ranks) -> DataFrame:
 
 def sequential_keys(df: DataFrame, order_by: Sequence, key: str = "Key",
                     start: int = 1, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Dense row numbers from ``start`` in ``order_by`` order (ties broken by
+    """Dense row numbers (bigint) from ``start`` in ``order_by`` order (ties broken by
     the remaining columns so that the numbering is deterministic); with
     ``partition_by`` the numbering restarts in every group.
 
@@ -98,7 +98,7 @@ def sequential_keys(df: DataFrame, order_by: Sequence, key: str = "Key",
     # where the size is bounded by the partition count; else AQE decides
     out = ordered.join(offsets if groups else F.broadcast(offsets), cond, "inner")
     number = F.col("_off") + local - F.col("_first") + F.lit(start)
-    return out.select(*[ordered[c] for c in df.columns], number.cast("int").alias(key))
+    return out.select(*[ordered[c] for c in df.columns], number.cast("bigint").alias(key))
 
 
 def window_keys(df: DataFrame, order_by: Sequence, key: str = "Key") -> DataFrame:
@@ -116,7 +116,9 @@ def stable_keys(existing: DataFrame, values: DataFrame, key: str,
     # one scalar (the current top key) comes back to the driver
     top = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
     fresh = sequential_keys(new, value_cols, key=key, start=int(top) + 1)
-    return existing.select(key, *value_cols).unionByName(fresh)
+    kind = existing.schema[key].dataType
+    return existing.select(key, *value_cols).unionByName(
+        fresh.withColumn(key, F.col(key).cast(kind)))
 
 
 def hash_key(*cols) -> Column:

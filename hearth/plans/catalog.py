@@ -42,6 +42,7 @@ MERGE_CUT = "1998-01-01 00:00:00"
 WINDOW_LAST = "1997-01-01 00:00:00"
 CHANGED_PRIORITY = "1-URGENT"
 BUCKETS = 16
+TWICE_EVERY, LONG_TEXT_EVERY = 40, 50       # by source id: rows that came twice, long descriptions
 EXTRACT_WINDOWS = {"orders": ("1996-12-31", "1997-06-30"), "lineitem": ("1995-01-01", "2000-01-01")}
 LEAST_PRICE, TOO_CHEAP = 2000, "SalePrice is too low"
 CUSTOMER_CSV = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -322,7 +323,11 @@ def q_scaled_measure(spark, sf):
 
 
 def q_fact_checks(spark, sf):
-    return dq.fact_checks(_vacancy_star(spark, sf)[2], "HousingVacancyKey")
+    """DQ10 over a fact loaded while the first county's member was missing, with the
+    first quarters loaded twice."""
+    v, counties, _ = _vacancy_star(spark, sf)
+    fact = vc.fact_housing_vacancy(v.stored_gold, counties.where("CountyKey <> 1"))
+    return dq.fact_checks(fact.unionByName(fact.where("QuarterKey % 10 = 1")), "HousingVacancyKey")
 
 
 # --- planning -------------------------------------------------------------------------------------
@@ -412,7 +417,10 @@ def q_rowcount_preserved(spark, sf):
 
 
 def q_profile(spark, sf):
-    return dq.profile(_planning(spark, sf).silver, ["SourceObjectID"],
+    """DQ9 over silver rows of which some came twice."""
+    silver = _planning(spark, sf).silver
+    twice = silver.unionByName(silver.where(F.col("SourceObjectID") % TWICE_EVERY == 0))
+    return dq.profile(twice, ["SourceObjectID"],
                       ["ApplicationNumber", "ReceivedDate", "PlanningAuthority",
                        "ApplicationStatusID", "DecisionTypeID"])
 
@@ -719,6 +727,23 @@ def q_staging_table_roundtrip(spark, sf):
     return read_table(spark, "stg_dim_county_rt")
 
 
+def q_staging_tables(spark, sf):
+    """SK4 + DQ11: the planning dimensions, made in one pass, saved as staging tables
+    in one call; the schema report and row count of each, read back by name."""
+    where = fresh_subdir(spark, "staging")
+    tag = where.rsplit("-", 1)[1]
+    dims = pl.planning_dimensions(_planning(spark, sf).gold)
+    sinks.save_all({f"stg_{n}_{tag}": df for n, df in dims.items()}, where)
+    out = None
+    for n in dims:
+        saved = spark.table(f"stg_{n}_{tag}")
+        report = dq.schema_report(saved).select(
+            F.lit(f"stg_{n}").alias("TableName"), "Position", "ColumnName", "DataType",
+            F.lit(saved.count()).alias("TableRows"))        # one number per table
+        out = report if out is None else out.unionByName(report)
+    return out
+
+
 def q_latest_run(spark, sf):
     """WN3 / SO4: the run log row with the latest start (top-1 without a
     global sort: one ``max_by`` aggregate, ties broken by LogID)."""
@@ -768,9 +793,12 @@ def q_planning_measures(spark, sf):
 def q_audit_columns(spark, sf):
     """PR17 / PR18 / PR19: run stamps, source label and load date on every
     application row, the constant application count and the 4000-character
-    description cut of the warehouse column."""
+    description cut of the warehouse column, which some texts reach."""
     from hearth.functions import cleaning as fc
-    app = st.planning_extracts(spark, sf)["PlanningApplication"]
+    app = st.planning_extracts(spark, sf)["PlanningApplication"].withColumn(
+        "DevelopmentDescription", F.when(
+            F.col("SourceObjectID") % LONG_TEXT_EVERY == 0, F.repeat("DevelopmentDescription", F.lit(200)))
+        .otherwise(F.col("DevelopmentDescription")))
     stamped = fc.add_audit_columns(app, pl.SOURCE_SYSTEM, st.RUN_TS, load_date=st.RUN_DATE,
                                    date_col="LoadDate")
     return stamped.select("SourceObjectID", "LoadTimestamp", "SourceSystem", "LoadDate",

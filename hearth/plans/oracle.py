@@ -399,11 +399,14 @@ SELECT CountyName, TotalVacantDwellings,
        / NULLIF(MAX(COALESCE(CAST(TotalVacantDwellings AS DOUBLE), 0.0)) OVER ()
                 - MIN(COALESCE(CAST(TotalVacantDwellings AS DOUBLE), 0.0)) OVER (), 0) AS ScaledVacant
 FROM g"""
-SQL["fact_checks"] = f"""WITH {VAC_STAR}
+SQL["fact_checks"] = f"""WITH {VAC_STAR}, loaded AS (
+  SELECT QuarterKey, CASE WHEN CountyKey <> 1 THEN CountyKey END AS CountyKey,
+         CASE WHEN CountyKey <> 1 THEN HousingVacancyKey END AS HousingVacancyKey FROM fact_vacancy),
+twice AS (SELECT * FROM loaded UNION ALL SELECT * FROM loaded WHERE QuarterKey % 10 = 1)
 SELECT COUNT(*) AS RowCount, COUNT(*) FILTER (WHERE CountyKey IS NULL) AS MissingCountyKeys,
-       (SELECT COUNT(*) FROM (SELECT HousingVacancyKey FROM fact_vacancy GROUP BY 1
+       (SELECT COUNT(*) FROM (SELECT HousingVacancyKey FROM twice GROUP BY 1
         HAVING COUNT(*) > 1)) AS DuplicateFactKeys
-FROM fact_vacancy"""
+FROM twice"""
 
 # ---------------------------------------------------------------------------------------------
 # planning
@@ -629,14 +632,15 @@ FROM silver_planning"""
 SQL["rowcount_preserved"] = f"""WITH {PLAN}
 SELECT (SELECT COUNT(*) FROM app) AS SourceRows, (SELECT COUNT(*) FROM joined) AS JoinedRows,
        (SELECT COUNT(*) FROM joined) - (SELECT COUNT(*) FROM app) AS Difference"""
-SQL["profile"] = f"""WITH {PLAN}
-SELECT 'RowCount' AS Metric, COUNT(*) AS Value FROM silver_planning
-UNION ALL SELECT 'Null ApplicationNumber', COUNT(*) FILTER (WHERE ApplicationNumber IS NULL) FROM silver_planning
-UNION ALL SELECT 'Null ReceivedDate', COUNT(*) FILTER (WHERE ReceivedDate IS NULL) FROM silver_planning
-UNION ALL SELECT 'Null PlanningAuthority', COUNT(*) FILTER (WHERE PlanningAuthority IS NULL) FROM silver_planning
-UNION ALL SELECT 'Null ApplicationStatusID', COUNT(*) FILTER (WHERE ApplicationStatusID IS NULL) FROM silver_planning
-UNION ALL SELECT 'Null DecisionTypeID', COUNT(*) FILTER (WHERE DecisionTypeID IS NULL) FROM silver_planning
-UNION ALL SELECT 'DuplicateKeys', COUNT(*) FROM (SELECT SourceObjectID FROM silver_planning
+SQL["profile"] = f"""WITH {PLAN}, twice AS (
+  SELECT * FROM silver_planning UNION ALL SELECT * FROM silver_planning WHERE SourceObjectID % 40 = 0)
+SELECT 'RowCount' AS Metric, COUNT(*) AS Value FROM twice
+UNION ALL SELECT 'Null ApplicationNumber', COUNT(*) FILTER (WHERE ApplicationNumber IS NULL) FROM twice
+UNION ALL SELECT 'Null ReceivedDate', COUNT(*) FILTER (WHERE ReceivedDate IS NULL) FROM twice
+UNION ALL SELECT 'Null PlanningAuthority', COUNT(*) FILTER (WHERE PlanningAuthority IS NULL) FROM twice
+UNION ALL SELECT 'Null ApplicationStatusID', COUNT(*) FILTER (WHERE ApplicationStatusID IS NULL) FROM twice
+UNION ALL SELECT 'Null DecisionTypeID', COUNT(*) FILTER (WHERE DecisionTypeID IS NULL) FROM twice
+UNION ALL SELECT 'DuplicateKeys', COUNT(*) FROM (SELECT SourceObjectID FROM twice
                                                  GROUP BY 1 HAVING COUNT(*) > 1)"""
 
 PSTAR = f"WITH {STAR_SALES}, {PLAN_STAR}"
@@ -851,6 +855,25 @@ LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
 SQL["cube_from_files"] = SQL["cube_flatten"]
 SQL["planning_from_extracts"] = SQL["planning_silver"]
 SQL["staging_table_roundtrip"] = SQL["dim_county"]
+SQL["staging_tables"] = f"""WITH {PLAN}, tables(TableName, TableRows) AS (
+  SELECT 'stg_dim_planning_authority', COUNT(*) FROM dim_authority
+  UNION ALL SELECT 'stg_dim_application_type', COUNT(*) FROM dim_app_type
+  UNION ALL SELECT 'stg_dim_application_status', COUNT(*) FROM dim_status
+  UNION ALL SELECT 'stg_dim_decision_type', COUNT(*) FROM dim_decision
+  UNION ALL SELECT 'stg_dim_land_use_type', COUNT(*) FROM dim_land_use),
+columns(TableName, Position, ColumnName, DataType) AS (VALUES
+  ('stg_dim_planning_authority', 1, 'PlanningAuthorityKey', 'int'),
+  ('stg_dim_planning_authority', 2, 'PlanningAuthorityName', 'string'),
+  ('stg_dim_application_type', 1, 'ApplicationTypeKey', 'int'),
+  ('stg_dim_application_type', 2, 'ApplicationTypeName', 'string'),
+  ('stg_dim_application_status', 1, 'ApplicationStatusKey', 'int'),
+  ('stg_dim_application_status', 2, 'ApplicationStatusName', 'string'),
+  ('stg_dim_decision_type', 1, 'DecisionTypeKey', 'int'),
+  ('stg_dim_decision_type', 2, 'DecisionTypeName', 'string'),
+  ('stg_dim_decision_type', 3, 'DecisionOutcome', 'string'),
+  ('stg_dim_land_use_type', 1, 'LandUseTypeKey', 'int'),
+  ('stg_dim_land_use_type', 2, 'LandUseTypeName', 'string'))
+SELECT TableName, Position, ColumnName, DataType, TableRows FROM columns JOIN tables USING (TableName)"""
 SQL["latest_run"] = f"""WITH {RUN_LOG}
 SELECT * FROM run_log ORDER BY StartTime DESC NULLS LAST, LogID DESC LIMIT 1"""
 SQL["unmatched_reference"] = f"""WITH {PLAN}
@@ -882,7 +905,8 @@ FROM s GROUP BY Year"""
 SQL["audit_columns"] = f"""WITH {PLAN}
 SELECT SourceObjectID, {RUN_TS} AS LoadTimestamp, 'Irish Planning Applications' AS SourceSystem,
        {RUN_DATE} AS LoadDate, 1 AS ApplicationCount,
-       substr(DevelopmentDescription, 1, 4000) AS DevelopmentDescription
+       substr(CASE WHEN SourceObjectID % 50 = 0 THEN repeat(DevelopmentDescription, 200)
+                   ELSE DevelopmentDescription END, 1, 4000) AS DevelopmentDescription
 FROM app"""
 SQL["median_by_county"] = f"""WITH {STAR_SALES}
 SELECT c.CountyName, median(CAST(f.SalePrice AS DOUBLE)) AS MedianSalePrice

@@ -75,7 +75,7 @@ def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str,
     names = [f.name for f in schema.fields]
     lines = (spark.read.schema(T.StructType([*schema.fields, T.StructField("Line", T.StringType())]))
              .option("header", True).option("enforceSchema", False).option("encoding", encoding)
-             .option("sep", sep).option("mode", "PERMISSIVE")
+             .option("sep", sep).option("escape", '"').option("mode", "PERMISSIVE")
              .option("columnNameOfCorruptRecord", "Line").csv(path))
     # after a closing quote the parser keeps what follows as part of the raw value
     open_quote = F.lit(False)

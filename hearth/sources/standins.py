@@ -61,8 +61,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze property-sales rows (all text, CSV header names)."""
+    key = F.col("l_orderkey")
+    # every REPEATED_EVERY-th order is in the extract twice; copied while the rows are narrow
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag", "l_linestatus")
+        "l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag", "l_linestatus",
+        F.explode(F.when(key % REPEATED_EVERY == 0, F.array(F.lit(1), F.lit(2)))
+                  .otherwise(F.array(F.lit(1)))).alias("_copy"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -73,9 +77,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(p, F.col("l_partkey") == p.p_partkey, "left"))
     sale_day = F.add_months(F.col("o_orderdate"), DATE_SHIFT_MONTHS)
     k = F.col("l_orderkey")
-    # every REPEATED_EVERY-th order is in the extract twice; some dates and prices are missing
-    j = j.withColumn("_copy", F.explode(F.when(k % REPEATED_EVERY == 0, F.array(F.lit(1), F.lit(2)))
-                                        .otherwise(F.array(F.lit(1)))))
+    # some dates and prices are missing
     english = (F.col("_copy") == 2) & (k % TWO_LANGUAGES_EVERY == 0)   # the repeat is translated
     return j.select(
         F.when(k % NO_DATE_EVERY != 0, F.date_format(sale_day, "dd/MM/yyyy"))
