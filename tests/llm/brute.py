@@ -253,3 +253,41 @@ def manifest(rows, fan=2):
             out.append((r[0], leaf(r), subroot, root, sha(*[b + a for b, a in way + top]),
                         at, at == root))
     return out
+
+
+def toxic_features(text, bits):
+    """Distinct indices of words, pairs and skip-grams, and the bias, by plain integers."""
+    cut = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else " " if ord(c) < 128 and not c.isalnum() else c
+                  for c in text or "")
+    h = [zlib.crc32(w.encode()) for w in cut.split(" ") if w]
+    values = [x + 1 for x in h]
+    values += [a * 0x100000001B3 + b + 2 for a, b in zip(h, h[1:])]
+    values += [a * 0x1000193A5 + b + 3 for a, b in zip(h, h[2:])]
+    out = {0}
+    for v in values:
+        v &= 2**64 - 1
+        v ^= v >> 31
+        out.add((v * 0x9E3779B97F4A7C15 & (2**64 - 1)) >> (64 - bits))
+    return out
+
+
+def ftrl_weights(rows, epochs, alpha, beta, l1, l2):
+    """FTRL-proximal as published, one coordinate at a time: rows of (indices, label)."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * l1) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for indices, label in rows:
+            w = {i: weight(i) for i in indices}
+            g = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w.values()))))) - label
+            for i in indices:
+                before = n.get(i, 0.0)
+                sigma = (math.sqrt(before + g * g) - math.sqrt(before)) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = before + g * g
+    return {i: weight(i) for i in z if weight(i) or not i}
