@@ -89,7 +89,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     by_source = sizes.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     ranked = sequential_keys(by_source, [F.col("_source").asc_nulls_last()], key="_rank")
     weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]),
-                          (F.col("_rank") - 1) % len(weights) + 1)
+                          ((F.col("_rank") - 1) % len(weights) + 1).cast("int"))
     filled = fill_to_weights(
         materialize(ranked.withColumn("_weight", weight), "mix-sources"), max_epochs)
     words = F.round("target").cast("long")
