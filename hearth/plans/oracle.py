@@ -9,7 +9,6 @@ and rounded HALF_UP like Spark.
 
 from __future__ import annotations
 
-from hearth.functions import cleaning as fc
 from hearth.plans import catalog as cat
 from hearth.sources import standins as st
 
@@ -52,8 +51,8 @@ silver_sales AS (
            THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS SalePrice,
       CASE WHEN l.l_returnflag = 'R' THEN 'No' ELSE 'Yes' END AS IsFullMarketPrice,
       CASE WHEN l.l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS IsVATExclusive,
-      CASE WHEN p.p_type = 'PROMO' THEN {_q(fc.SECOND_HAND_LABEL)}
-           WHEN p.p_type = 'SMALL' THEN {_q(fc.NEW_DWELLING_LABEL)}
+      CASE WHEN p.p_type = 'PROMO' THEN 'Second-Hand Dwelling house /Apartment'
+           WHEN p.p_type = 'SMALL' THEN 'New Dwelling house /Apartment'
            ELSE p.p_type END AS PropertyType,
       CASE WHEN p.p_size < 10 THEN {_q(st.SIZE_SMALL)}
            WHEN p.p_size < 30 THEN {_q(st.SIZE_MEDIUM)}
@@ -835,7 +834,7 @@ SELECT CASE WHEN l.l_orderkey % 83 <> 0 THEN strftime(o.o_orderdate + INTERVAL 1
        CASE WHEN l.l_returnflag = 'R' THEN 'Yes' ELSE 'No' END AS "Not Full Market Price",
        CASE WHEN l.l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS "VAT Exclusive",
        CASE WHEN p.p_type = 'PROMO' AND l.copy = 2 AND l.l_orderkey % 100 = 0
-            THEN {_q(fc.SECOND_HAND_LABEL)}
+            THEN 'Second-Hand Dwelling house /Apartment'
             WHEN p.p_type = 'PROMO' THEN {_q(st.SECOND_HAND_IRISH)}
             WHEN p.p_type = 'SMALL' THEN {_q(st.NEW_IRISH)}
             ELSE p.p_type END AS "Description of Property",
