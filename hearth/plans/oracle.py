@@ -271,6 +271,14 @@ dim_quarter AS (
          QuarterNumber FROM gold_vacancy
 )"""
 
+FACT_VACANCY = """fact_vacancy AS (
+  SELECT CAST(CAST(g.QuarterCode AS INTEGER) AS BIGINT) * 100 + c.CountyKey AS HousingVacancyKey,
+         CAST(g.QuarterCode AS INTEGER) AS QuarterKey, c.CountyKey,
+         g.VacantDwellings, g.DwellingStock, CAST(g.VacancyRate AS DECIMAL(5,1)) AS VacancyRate,
+         g.SourceUpdatedTimestamp, g.LoadDate, g.GoldLoadTimestamp AS LoadTimestamp
+  FROM gold_vacancy g LEFT JOIN dim_county c ON g.County = c.CountyName
+)"""
+
 VAC_STAR = VAC_MEASURES + """,
 dim_county AS (
   SELECT 0 AS CountyKey, 'Not recorded' AS CountyName
@@ -278,13 +286,7 @@ dim_county AS (
   SELECT CAST(row_number() OVER (ORDER BY County) AS INTEGER), County
   FROM (SELECT DISTINCT County FROM gold_vacancy WHERE County IS NOT NULL) x
 ),
-fact_vacancy AS (
-  SELECT CAST(CAST(g.QuarterCode AS INTEGER) AS BIGINT) * 100 + c.CountyKey AS HousingVacancyKey,
-         CAST(g.QuarterCode AS INTEGER) AS QuarterKey, c.CountyKey,
-         g.VacantDwellings, g.DwellingStock, CAST(g.VacancyRate AS DECIMAL(5,1)) AS VacancyRate,
-         g.SourceUpdatedTimestamp, g.LoadDate, g.GoldLoadTimestamp AS LoadTimestamp
-  FROM gold_vacancy g LEFT JOIN dim_county c ON g.County = c.CountyName
-),
+""" + FACT_VACANCY + """,
 vstar AS (
   SELECT f.*, q.Quarter, q.Year, c.CountyName FROM fact_vacancy f
   LEFT JOIN dim_quarter q ON f.QuarterKey = q.QuarterKey
@@ -371,7 +373,7 @@ SELECT RegionKey, 'Vacant dwellings by local authority and quarter' AS Label,
 FROM agg GROUP BY RegionKey"""
 SQL["cube_pivot"] = f"WITH {VAC_MEASURES} SELECT * FROM la"
 SQL["county_rollup"] = f"WITH {VAC_MEASURES} SELECT * FROM gold_vacancy"
-SQL["fact_vacancy"] = f"WITH {VAC_STAR} SELECT * FROM fact_vacancy"
+SQL["fact_vacancy"] = f"WITH {STAR_SALES}, {VAC_MEASURES}, {FACT_VACANCY} SELECT * FROM fact_vacancy"
 SQL["dim_quarter"] = f"WITH {VAC_MEASURES} SELECT * FROM dim_quarter"
 SQL["kpi_vacancy"] = f"""WITH {VAC_STAR}
 SELECT SUM(VacantDwellings) AS TotalVacantDwellings, SUM(DwellingStock) AS TotalDwellingStock,
